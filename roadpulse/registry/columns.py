@@ -8,6 +8,7 @@ from roadpulse import fixtures, schemas
 from roadpulse.functions import station_ids, text
 from roadpulse.functions import timeparts as tp
 from roadpulse.registry.book import DETECTIONS, EVENTS, TRIPS, registered, with_views
+from roadpulse.registry.facts import detections_of, trips_of
 
 
 @registered("""
@@ -68,7 +69,7 @@ def number_parse(spark, sf_dir):
     FROM det GROUP BY ALL"""))
 def station_km(spark, sf_dir):
     station = F.col("station")
-    seen = fixtures.detections(spark, sf_dir).groupBy(F.col("GantryID").alias("station")).agg(
+    seen = detections_of(spark, sf_dir).groupBy(F.col("GantryID").alias("station")).agg(
         F.count(F.lit(1)).alias("n"))
     return seen.select("station", station_ids.km_post(station).alias("km"),
                        station_ids.road_code(station).alias("road"),
@@ -86,7 +87,7 @@ def station_km(spark, sf_dir):
     FROM x GROUP BY ALL"""))
 def labels(spark, sf_dir):
     """Vehicle and direction labels, codes outside the domain included."""
-    rows = fixtures.detections(spark, sf_dir).select(
+    rows = detections_of(spark, sf_dir).select(
         F.col("VehicleType").alias("code"), F.col("Direction").alias("direction"), "Volume")
     both = rows.unionByName(rows.select((F.col("code") + 1000).alias("code"),
                                         F.lit("X").alias("direction"), "Volume"))
@@ -106,7 +107,7 @@ def labels(spark, sf_dir):
     FROM trp"""))
 def text_times(spark, sf_dir):
     """Buckets, displays and differences of text times."""
-    rows = fixtures.trips(spark, sf_dir)
+    rows = trips_of(spark, sf_dir)
     time = F.col("DetectionTime_O")
     with_t = F.translate(time, " ", "T")
     return rows.select(

@@ -2,36 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse import fixtures
 from roadpulse.functions.timeparts import TimeRange
-from roadpulse.operators import alias as al
-from roadpulse.operators import flow, stations, stats
+from roadpulse.operators import flow, stats
 from roadpulse.registry.book import (ALIAS, DETECTIONS, GROUPS, SECTIONS, registered,
                                      with_views)
+from roadpulse.registry.facts import alias_of, detections_of, lookup_of
 
 MONTH = TimeRange.of("2024-01-01 00:00", "2024-01-30 23:59")
 STATIONS = ["01F0230N", "01F0345S", "03F1265S"]
 
 
-_ALIAS: dict[tuple[str, str], DataFrame] = {}
-
-
-def alias_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The alias table, derived once per application and kept as a stored table."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _ALIAS:
-        _ALIAS[key] = al.alias_table(fixtures.station_dimension(spark, sf_dir))
-    return _ALIAS[key]
-
-
-def lookup_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stations.group_lookup(stations.normalize_groups(
-        fixtures.station_groups(spark, sf_dir)))
-
-
 def series_sql(low: str, high: str, bucket: str, where: str = "TRUE", station: str = "g",
                views: tuple[str, ...] = (DETECTIONS,)) -> str:
     return with_views(*views, select=f"""
@@ -45,7 +28,7 @@ _LISTED = "g IN ('01F0230N', '01F0345S', '03F1265S')"
 
 
 def series_of(spark, sf_dir, span, **filters):
-    return flow.series(fixtures.detections(spark, sf_dir, span), span, **filters)
+    return flow.series(detections_of(spark, sf_dir, span), span, **filters)
 
 
 @registered(series_sql("2024-01-10 00:00", "2024-01-11 23:55", "ti", _LISTED))
@@ -102,7 +85,7 @@ def flow_alias_attributed(spark, sf_dir):
     ORDER BY ti, g, dir, vt, vol LIMIT 300 OFFSET 600"""))
 def flow_detail_page(spark, sf_dir):
     span = TimeRange.of("2024-01-05 00:00", "2024-01-25 23:59")
-    return flow.detail_page(fixtures.detections(spark, sf_dir, span), span, 300, 600,
+    return flow.detail_page(detections_of(spark, sf_dir, span), span, 300, 600,
                             vehicles=[31, 5])
 
 
@@ -128,7 +111,7 @@ def flow_capped_report(spark, sf_dir):
            (SELECT ti FROM s ORDER BY v DESC, ti LIMIT 1) AS peak_time,
            CAST((SELECT max(v) FROM s) AS BIGINT) AS peak_volume"""))
 def flow_metrics(spark, sf_dir):
-    rows = fixtures.detections(spark, sf_dir)
+    rows = detections_of(spark, sf_dir)
     return flow.metrics(renamed(rows))
 
 
@@ -146,7 +129,7 @@ def renamed(rows: DataFrame) -> DataFrame:
            sum(vol) / (SELECT count(DISTINCT substr(ti, 1, 10)) FROM det)::DOUBLE AS mean_per_day
     FROM det GROUP BY vt"""))
 def flow_vehicle_breakdown(spark, sf_dir):
-    return flow.vehicle_breakdown(renamed(fixtures.detections(spark, sf_dir)))
+    return flow.vehicle_breakdown(renamed(detections_of(spark, sf_dir)))
 
 
 @registered(with_views(DETECTIONS, GROUPS, select="""
@@ -157,7 +140,7 @@ def flow_vehicle_breakdown(spark, sf_dir):
            CAST(row_number() OVER (ORDER BY volume DESC, key) AS INTEGER) AS rank
     FROM r ORDER BY volume DESC, key LIMIT 12"""))
 def flow_station_ranking(spark, sf_dir):
-    return flow.station_ranking(renamed(fixtures.detections(spark, sf_dir)),
+    return flow.station_ranking(renamed(detections_of(spark, sf_dir)),
                                 lookup_of(spark, sf_dir), 12)
 
 
@@ -170,7 +153,7 @@ def flow_station_ranking(spark, sf_dir):
 def flow_station_ranking_ungrouped(spark, sf_dir):
     """Stations that belong to no section rank per station and direction."""
     nobody = lookup_of(spark, sf_dir).filter("station = ''")
-    return flow.station_ranking(renamed(fixtures.detections(spark, sf_dir)), nobody, 50)
+    return flow.station_ranking(renamed(detections_of(spark, sf_dir)), nobody, 50)
 
 
 @registered(with_views(DETECTIONS, select=f"""
@@ -180,7 +163,7 @@ def flow_station_ranking_ungrouped(spark, sf_dir):
 def flow_trend(spark, sf_dir):
     """Trend table: the first 200 buckets."""
     span = TimeRange.of("2024-01-03 00:00", "2024-01-17 00:00")
-    return flow.trend(renamed(flow.selected(fixtures.detections(spark, sf_dir, span), span)),
+    return flow.trend(renamed(flow.selected(detections_of(spark, sf_dir, span), span)),
                       span, 200)
 
 
@@ -190,7 +173,7 @@ def flow_trend(spark, sf_dir):
     FROM det LEFT JOIN mem ON mem.station = det.g"""))
 def detections_normalized(spark, sf_dir):
     """Columns under other spellings, a number with a thousands comma, no direction column."""
-    rows = fixtures.detections(spark, sf_dir)
+    rows = detections_of(spark, sf_dir)
     other = rows.select(
         F.lit("").alias("time"), F.concat(F.lit(" "), "TimeInterval").alias("TimeInterval"),
         F.col("GantryID").alias("etc_gantry_id"),
@@ -201,7 +184,7 @@ def detections_normalized(spark, sf_dir):
 
 def base_of(spark, sf_dir, first, last, hourly=False):
     span = TimeRange.days(first, last)
-    return stats.base(fixtures.detections(spark, sf_dir, span), span, hourly)
+    return stats.base(detections_of(spark, sf_dir, span), span, hourly)
 
 
 def _in_days(first: str, last: str) -> str:

@@ -11,6 +11,7 @@ from roadpulse.functions.timeparts import day_spine, rolling_days, spine_of
 from roadpulse.operators import quality
 from roadpulse.registry.book import (DETECTIONS, EVENTS, LISTING, TRIPS, grid_sql, registered,
                                      with_views)
+from roadpulse.registry.facts import detections_of, trips_of
 
 FIRST, LAST = date(2024, 1, 1), date(2024, 1, 31)
 AS_OF = date(2024, 3, 10)
@@ -223,7 +224,7 @@ def ready_days(spark, sf_dir):
     SELECT min(ti) AS min_time, max(ti) AS max_time, count(DISTINCT substr(ti, 1, 10)) AS days
     FROM det"""))
 def date_profile(spark, sf_dir):
-    return quality.date_profile(fixtures.detections(spark, sf_dir), "TimeInterval")
+    return quality.date_profile(detections_of(spark, sf_dir), "TimeInterval")
 
 
 @registered("""SELECT strftime(date_trunc('month', min(o_orderdate)), '%Y-%m-%d') AS min_date,
@@ -265,7 +266,7 @@ _DROPS = """, a AS (SELECT {key} AS key, count(*) AS raw_count FROM trp GROUP BY
 @registered(with_views(TRIPS, select=_DROPS.format(key="vt", name='"VehicleType"', tail="")))
 def drop_compare_vehicle(spark, sf_dir):
     """The whole drop against the cleaned one (trips that ended) by vehicle."""
-    whole = fixtures.trips(spark, sf_dir)
+    whole = trips_of(spark, sf_dir)
     return quality.compare_drops(whole, whole.filter("TripEnd = 'Y'"), F.col("VehicleType"),
                                  "VehicleType")
 
@@ -274,7 +275,7 @@ def drop_compare_vehicle(spark, sf_dir):
                                                    tail="ORDER BY day LIMIT 10")))
 def drop_compare_day(spark, sf_dir):
     """The same by day, the first ten."""
-    whole = fixtures.trips(spark, sf_dir)
+    whole = trips_of(spark, sf_dir)
     return quality.compare_drops(whole, whole.filter("TripEnd = 'Y'"),
                                  F.substring("DetectionTime_O", 1, 10), "day").orderBy(
         "day").limit(10)
@@ -289,7 +290,7 @@ def drop_compare_day(spark, sf_dir):
                  ('TripEnd', 'string'), ('TripInformation', 'string')) AS c("column", type)"""))
 def schema_diff(spark, sf_dir):
     """Trips against an all-text drop of them: rows and column types."""
-    whole = fixtures.trips(spark, sf_dir)
+    whole = trips_of(spark, sf_dir).drop("year", "month")
     text = whole.filter("TripEnd = 'Y'").select(*[F.col(c).cast("string") for c in whole.columns])
     return quality.schema_diff(whole, text)
 

@@ -11,11 +11,8 @@ from roadpulse.functions.paths import station_ids
 from roadpulse.operators import alias as al
 from roadpulse.operators import routes, stations
 from roadpulse.registry.book import (ALIAS, EVENTS, GROUPS, TRIPS, registered, with_views)
-from roadpulse.registry.flow_queries import alias_of, lookup_of
-
-
-def groups_of(spark, sf_dir):
-    return stations.normalize_groups(fixtures.station_groups(spark, sf_dir))
+from roadpulse.registry.facts import (alias_of, detections_of, groups_of, lookup_of,
+                                      trips_of)
 
 
 @registered(with_views(EVENTS, ALIAS, select="SELECT id, component, members FROM alias"))
@@ -106,7 +103,7 @@ _BUSY = """, busy AS (
 
 def busiest(spark, sf_dir, top=3):
     """Sections with the most volume: the starts of a request."""
-    rows = fixtures.detections(spark, sf_dir).groupBy("GantryID").agg(F.sum("Volume").alias("v"))
+    rows = detections_of(spark, sf_dir).groupBy("GantryID").agg(F.sum("Volume").alias("v"))
     found = rows.join(lookup_of(spark, sf_dir), rows["GantryID"] == F.col("station"))
     return (found.groupBy(F.col("group_id").alias("start_id")).agg(F.sum("v").alias("v"))
             .orderBy(F.desc("v"), "start_id").limit(top).select("start_id"))
@@ -132,7 +129,7 @@ def top_pairs(spark, sf_dir, top=10):
     """The most driven pairs of sections."""
     lookup = lookup_of(spark, sf_dir)
     at = lambda c, name: lookup.select(F.col("station").alias(c), F.col("group_id").alias(name))
-    counted = fixtures.trips(spark, sf_dir).groupBy("GantryID_O", "GantryID_D").agg(
+    counted = trips_of(spark, sf_dir).groupBy("GantryID_O", "GantryID_D").agg(
         F.count(F.lit(1)).alias("n"))
     return (counted.join(at("GantryID_O", "start_id"), "GantryID_O")
             .join(at("GantryID_D", "end_id"), "GantryID_D").filter("start_id <> end_id")
@@ -176,7 +173,7 @@ _WHOLE = """, whole AS (
     FROM placed WHERE lat0 IS NULL OR lat <> lat0 OR lng <> lng0"""))
 def route_points(spark, sf_dir):
     """Coordinates along the twenty most driven whole routes."""
-    driven = fixtures.trips(spark, sf_dir).groupBy(F.array_join(
+    driven = trips_of(spark, sf_dir).groupBy(F.array_join(
         station_ids(F.col("TripInformation")), ",").alias("route")).agg(
         F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "route").limit(20)
     return routes.route_points(driven, lookup_of(spark, sf_dir))
@@ -214,7 +211,7 @@ def route_fallback(spark, sf_dir):
     (starts at every second northbound position), else the corridor, else the two ends."""
     lookup = lookup_of(spark, sf_dir)
     at = lambda c, name: lookup.select(F.col("station").alias(c), F.col("group_id").alias(name))
-    driven = fixtures.trips(spark, sf_dir).groupBy("GantryID_O", "GantryID_D", F.array_join(
+    driven = trips_of(spark, sf_dir).groupBy("GantryID_O", "GantryID_D", F.array_join(
         station_ids(F.col("TripInformation")), ",").alias("route")).agg(
         F.count(F.lit(1)).alias("n"))
     best = (driven.join(at("GantryID_O", "start_id"), "GantryID_O")
@@ -273,7 +270,7 @@ def od_validity(spark, sf_dir):
     at = lambda c, name: lookup.select(
         F.col("station").alias(c), F.col("group_id").alias(f"{name}_group"),
         F.col("current_gantry_id").alias(f"{name}_gantry"))
-    counted = fixtures.trips(spark, sf_dir).groupBy("GantryID_O", "GantryID_D").agg(
+    counted = trips_of(spark, sf_dir).groupBy("GantryID_O", "GantryID_D").agg(
         F.count(F.lit(1)).alias("n"))
     keys = ["start_gantry", "end_gantry", "start_group", "end_group"]
     ways = [counted.join(at("GantryID_O", a), "GantryID_O").join(at("GantryID_D", b), "GantryID_D")
@@ -296,7 +293,7 @@ def od_oriented(spark, sf_dir):
     """Observed pairs named the wrong way round, put in driving direction."""
     lookup = lookup_of(spark, sf_dir)
     at = lambda c, name: lookup.select(F.col("station").alias(c), F.col("group_id").alias(name))
-    ends = fixtures.trips(spark, sf_dir).select("GantryID_O", "GantryID_D").distinct()
+    ends = trips_of(spark, sf_dir).select("GantryID_O", "GantryID_D").distinct()
     pairs = (ends.join(at("GantryID_D", "first_id"), "GantryID_D")
              .join(at("GantryID_O", "second_id"), "GantryID_O")
              .select("first_id", "second_id").distinct())

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from roadpulse import fixtures
 from roadpulse.functions.timeparts import TimeRange
 from roadpulse.operators import trips
 from roadpulse.operators.alias import expanded_ids
-from roadpulse.registry.book import ALIAS, TRIPS, registered, with_views
-from roadpulse.registry.flow_queries import alias_of
+from roadpulse.operators.quality import value_counts
+from roadpulse.registry.book import TRIPS, registered, with_views
+from roadpulse.registry.facts import alias_of, trips_of
 
 MONTH = TimeRange.of("2024-01-01 00:00:00", "2024-01-30 23:59:59")
 WEEK = TimeRange.of("2024-01-08 00:00:00", "2024-01-14 23:59:59")
@@ -48,7 +48,7 @@ WEEK_SQL = matched_sql("2024-01-08 00:00:00", "2024-01-14 23:59:59")
 
 def od_rows(spark, sf_dir, span=MONTH, vehicle=None):
     return trips.travel_time(trips.stretches(
-        fixtures.trips(spark, sf_dir, span), span, *ends_of(spark, sf_dir), vehicle))
+        trips_of(spark, sf_dir, span), span, *ends_of(spark, sf_dir), vehicle))
 
 
 @registered(with_views(TRIPS, select=f"""
@@ -58,7 +58,7 @@ def od_rows(spark, sf_dir, span=MONTH, vehicle=None):
     FROM trp WHERE {_HIT} AND time_o BETWEEN '2024-01-01 00:00:00' AND '2024-01-30 23:59:59'
     ORDER BY time_o, vt, g_o, time_d, g_d, len, fin, path LIMIT 200 OFFSET 20"""))
 def trip_detail_page(spark, sf_dir):
-    return trips.detail_page(fixtures.trips(spark, sf_dir, MONTH), MONTH,
+    return trips.detail_page(trips_of(spark, sf_dir, MONTH), MONTH,
                              *ends_of(spark, sf_dir), limit=200, offset=20)
 
 
@@ -66,7 +66,7 @@ def trip_detail_page(spark, sf_dir):
     SELECT time_o, g_o, g_d, path FROM trp WHERE {_HIT}"""))
 def od_pass_filter(spark, sf_dir):
     """All trips that pass a start before an end, both ids of a renumbered station."""
-    return trips.passing(fixtures.trips(spark, sf_dir), *ends_of(spark, sf_dir)).select(
+    return trips.passing(trips_of(spark, sf_dir), *ends_of(spark, sf_dir)).select(
         F.col("DetectionTime_O").alias("time_o"), F.col("GantryID_O").alias("g_o"),
         F.col("GantryID_D").alias("g_d"), F.col("TripInformation").alias("path"))
 
@@ -159,12 +159,12 @@ _ROUTES = f"""
 @registered(with_views(TRIPS, select=_ROUTES))
 def od_routes(spark, sf_dir):
     """Every driven station sequence from start to end with its trips."""
-    return trips.route_counts(fixtures.trips(spark, sf_dir), *ends_of(spark, sf_dir))
+    return trips.route_counts(trips_of(spark, sf_dir), *ends_of(spark, sf_dir))
 
 
 @registered(with_views(TRIPS, select=_ROUTES + " ORDER BY trips DESC, route LIMIT 1"))
 def od_modal_route(spark, sf_dir):
-    return trips.modal_route(fixtures.trips(spark, sf_dir), *ends_of(spark, sf_dir))
+    return trips.modal_route(trips_of(spark, sf_dir), *ends_of(spark, sf_dir))
 
 
 @registered(with_views(TRIPS, select="""
@@ -172,7 +172,7 @@ def od_modal_route(spark, sf_dir):
            st AS station FROM leg"""))
 def trip_legs(spark, sf_dir):
     """Every passed station of every trip."""
-    rows = fixtures.trips(spark, sf_dir).select(
+    rows = trips_of(spark, sf_dir).select(
         F.col("DetectionTime_O").alias("time_o"), F.col("VehicleType").alias("vehicle"),
         "TripInformation")
     return trips.trip_legs(rows)
@@ -189,7 +189,7 @@ def trip_legs(spark, sf_dir):
 def trips_normalized(spark, sf_dir):
     """Other spellings; minutes as a number, H:MM:SS or M:SS, else seconds, else the two times."""
     v, length = F.col("VehicleType"), F.col("TripLength")
-    rows = fixtures.trips(spark, sf_dir).select(
+    rows = trips_of(spark, sf_dir).select(
         F.col("DetectionTime_O").alias("entry_time"), F.col("DetectionTime_D").alias("exit_time"),
         F.col("GantryID_O").alias("gantry_from"), F.lit(None).cast("string").alias("gantry_to"),
         v.alias("car_type"),
@@ -199,8 +199,7 @@ def trips_normalized(spark, sf_dir):
     return trips.normalized(rows, end="X")
 
 
-@registered(with_views(TRIPS, ALIAS, select="""
+@registered(with_views(TRIPS, select="""
     SELECT fin AS "TripEnd", count(*) AS "count" FROM trp GROUP BY fin"""))
 def trip_end_counts(spark, sf_dir):
-    from roadpulse.operators.quality import value_counts
-    return value_counts(fixtures.trips(spark, sf_dir), "TripEnd")
+    return value_counts(trips_of(spark, sf_dir), "TripEnd")
