@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadpulse.functions.paths import computed_once
 from roadpulse.functions.station_ids import km_post, road_code
 from roadpulse.functions.timeparts import TimeRange, day_of, slot_of
 
@@ -79,7 +80,8 @@ def trips(spark: SparkSession, sf_dir: str, span: TimeRange | None = None) -> Da
 
     inside = F.filter(F.sequence(F.lit(0), F.col("k") % 5),
                       lambda i: (position + step * i).between(0, POSITIONS - 1))
-    legs = _events(spark, sf_dir, span).withColumn("leg", F.transform(inside, leg))
+    legs = _events(spark, sf_dir, span).select(
+        "*", computed_once(F.transform(inside, leg)).alias("leg"))
     last = F.element_at("leg", -1)
     return legs.select(
         "VehicleType",

@@ -13,6 +13,15 @@ from pyspark.sql import functions as F
 LEG_TIME = r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}"
 
 
+def computed_once(value: Column) -> Column:
+    """The value as the single element of an exploded array.
+
+    Filters on what comes out are not pushed below the generator, so an
+    expensive expression is not repeated in each of them.
+    """
+    return F.explode(F.array(value))
+
+
 def one_of(ids: Sequence[str]) -> str:
     return "|".join(re.escape(station) for station in ids)
 
@@ -30,7 +39,8 @@ def passes_in_order(path: Column, starts: Sequence[str], ends: Sequence[str]) ->
 def stretch(path: Column, starts: Sequence[str], ends: Sequence[str]) -> Column:
     """Path text from the first start station to the last end station, blank if none.
 
-    One regular expression run gives both times, see :func:`stretch_times`.
+    One regular expression run gives both times, see :func:`stretch_times`. Pass it
+    through :func:`computed_once` if filters on it follow.
     """
     pattern = rf"{LEG_TIME}\+(?:{one_of(starts)}).*{LEG_TIME}\+(?:{one_of(ends)})"
     return F.regexp_extract(path, pattern, 0)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.session import LITERAL_LIMIT, collect_bounded, cut_lineage
@@ -62,26 +62,41 @@ def alias_table(dimension: DataFrame) -> DataFrame:
                        .select("id", "component", "canonical", "members"))
 
 
-def requested(spark: SparkSession, ids: Sequence[str]) -> DataFrame:
-    """Request ids with their position, first mention kept."""
-    rows = list(enumerate(dict.fromkeys(ids)))
-    return spark.createDataFrame(rows, "position int, asked string")
-
-
-def expansion(alias: DataFrame, ids: Sequence[str]) -> DataFrame:
-    """``(id, asked, position)``: each asked id and its aliases, once, in request order.
+def expand(alias: DataFrame, ids: Sequence[str]) -> list[tuple[str, str]] | None:
+    """``(id, asked)`` of the asked ids and their aliases, in request order.
 
     An id that was asked for itself stays attributed to itself; an alias belongs
-    to the last asked id of its group.
+    to the last asked id of its group. ``None`` if that is more than may travel
+    as literals, see :func:`expansion`.
     """
-    asked = requested(alias.sparkSession, ids)
-    found = asked.join(alias, asked["asked"] == alias["id"]).select("asked", "position", "component")
-    others = (alias.join(found, "component")
-              .select("id", "asked", "position")
+    ids = list(dict.fromkeys(ids))
+    if len(ids) > LITERAL_LIMIT:
+        return None
+    group = {row["id"]: row["component"]
+             for row in alias.filter(F.col("id").isin(ids)).select("id", "component").collect()}
+    if not group:
+        return [(station, station) for station in ids]
+    rows = collect_bounded(alias.filter(F.col("component").isin(sorted(set(group.values()))))
+                           .select("component", "id").orderBy("component", "id"))
+    if rows is None:
+        return None
+    owner = {group[station]: station for station in ids if station in group}
+    found = {}
+    for station in ids:
+        same = [row["id"] for row in rows if row["component"] == group.get(station)]
+        for member in same or [station]:
+            found.setdefault(member, member if member in ids else owner[group[station]])
+    return list(found.items())
+
+
+def expansion(alias: DataFrame, asked: DataFrame) -> DataFrame:
+    """The same for any number of asked ids, given as ``(asked, position)``: ``(id, asked)``."""
+    found = asked.join(alias, asked["asked"] == alias["id"]).select(
+        "asked", "position", "component")
+    others = (alias.join(found, "component").select("id", "asked", "position")
               .join(asked.select(F.col("asked").alias("id")), "id", "left_anti")
-              .groupBy("id").agg(F.max_by("asked", "position").alias("asked"),
-                                 F.max("position").alias("position")))
-    return asked.select(F.col("asked").alias("id"), "asked", "position").unionByName(others)
+              .groupBy("id").agg(F.max_by("asked", "position").alias("asked")))
+    return asked.select(F.col("asked").alias("id"), "asked").distinct().unionByName(others)
 
 
 def keep_stations(df: DataFrame, ids: Sequence[str] | None, column: str = "GantryID") -> DataFrame:
@@ -102,21 +117,20 @@ def attribute(df: DataFrame, alias: DataFrame | None, ids: Sequence[str],
     """Rows of the asked stations and their aliases, alias ids rewritten to the asked id."""
     if alias is None:
         return keep_stations(df, ids, column)
-    wanted = expansion(alias, ids)
-    few = collect_bounded(wanted)
+    few = expand(alias, ids)
     if few is None:
-        named = wanted.select(F.col("id").alias(column), "asked")
+        asked = df.sparkSession.createDataFrame(
+            list(enumerate(dict.fromkeys(ids))), "position int, asked string")
+        named = expansion(alias, asked).withColumnRenamed("id", column)
         return df.join(named, column).withColumn(column, F.col("asked")).drop("asked")
-    rewritten = {row["id"]: row["asked"] for row in few if row["id"] != row["asked"]}
-    kept = keep_stations(df, [row["id"] for row in few], column)
+    rewritten = {station: asked for station, asked in few if station != asked}
+    kept = keep_stations(df, [station for station, _ in few], column)
     return kept.na.replace(rewritten, subset=[column]) if rewritten else kept
 
 
 def expanded_ids(alias: DataFrame | None, ids: Sequence[str]) -> list[str]:
-    """Asked ids and their aliases as a list, for path patterns that need literals."""
-    if alias is None or not ids:
-        return list(ids)
-    few = collect_bounded(expansion(alias, ids).orderBy("position", "id"))
+    """Asked ids and their aliases as a list, for path patterns need literals."""
+    few = [(station, station) for station in ids] if alias is None else expand(alias, ids)
     if few is None:
         raise ValueError(f"a path query takes at most {LITERAL_LIMIT} stations")
-    return [row["id"] for row in few]
+    return [station for station, _ in few]

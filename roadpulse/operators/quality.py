@@ -7,6 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadpulse.functions.paths import computed_once
 from roadpulse.schemas import FILE_NAME, MINUTES_PER_FILE, files_per_day
 
 # Seconds between two source requests, age at which the source
@@ -20,15 +21,15 @@ MAX_FILES = 64
 
 def parsed_names(listing: DataFrame, column: str = "path") -> DataFrame:
     """Type, day, ``HHmm`` and bare name out of landed file names; other files fall out."""
-    name = F.regexp_extract(column, FILE_NAME, 0)
-    stamp = F.regexp_extract(column, FILE_NAME, 2)
+    stamp = F.substring("name", 11, 8)
     day = F.concat_ws("-", F.substring(stamp, 1, 4), F.substring(stamp, 5, 2),
                       F.substring(stamp, 7, 2))
-    return listing.withColumns({
-        "name": name, "dtype": F.regexp_extract(column, FILE_NAME, 1),
-        "day": day.try_cast("date"),
-        "hhmm": F.substring(F.regexp_extract(column, FILE_NAME, 3), 1, 4),
-    }).filter(name != "")
+    kept = [c for c in listing.columns if c != "name"]
+    named = listing.select(*kept, computed_once(F.regexp_extract(column, FILE_NAME, 0))
+                           .alias("name"))
+    return named.filter("name <> ''").withColumns({
+        "dtype": F.substring("name", 6, 4), "day": day.try_cast("date"),
+        "hhmm": F.substring("name", 20, 4)})
 
 
 def landed(listing: DataFrame) -> DataFrame:

@@ -72,7 +72,8 @@ def stretches(trips: DataFrame, span: tp.TimeRange, starts: Sequence[str], ends:
     rows = of_vehicles(trips.filter(coarse), None if vehicle is None else [vehicle])
     rows = rows.filter(paths.contains_any(path, starts) & paths.contains_any(path, ends))
     time_a, time_b = paths.stretch_times(F.col("stretch"))
-    return (rows.withColumn("stretch", paths.stretch(path, starts, ends))
+    once = paths.computed_once(paths.stretch(path, starts, ends))
+    return (rows.select("*", once.alias("stretch"))
             .filter(F.col("stretch") != "")
             .withColumns({"time_a": time_a, "time_b": time_b}).drop("stretch")
             .filter(tp.in_seconds("time_a", span)))
@@ -148,7 +149,7 @@ def route_counts(trips: DataFrame, starts: Sequence[str], ends: Sequence[str]) -
     path = F.col("TripInformation")
     near = trips.filter(paths.contains_any(path, starts) & paths.contains_any(path, ends))
     route = paths.route_between(paths.station_ids(path), starts, ends)
-    return (near.select(F.array_join(route, ",").alias("route"))
+    return (near.select(paths.computed_once(F.array_join(route, ",")).alias("route"))
             .filter(F.col("route").isNotNull())
             .groupBy("route").agg(F.count(F.lit(1)).alias("trips")))
 

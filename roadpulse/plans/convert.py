@@ -2,73 +2,73 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadpulse.functions.timeparts import TimeRange, day_of, day_spine
 from roadpulse.operators import quality
-from roadpulse.schemas import file_month
+from roadpulse.schemas import FACTS
+from roadpulse.session import cut_lineage
 from roadpulse.sources import lake, landing
-from roadpulse.functions.timeparts import day_of
 
 
-def with_filing_month(csv: DataFrame) -> DataFrame:
-    """Partition by the month in the file name, which need not be that of every row."""
-    named = quality.parsed_names(csv.withColumn("_file", F.col("_metadata.file_path")), "_file")
-    day = F.date_format("day", "yyyy-MM-dd")
-    return file_month(named.withColumn("_day", day), "_day").drop(
-        "_file", "_day", "name", "dtype", "day", "hhmm")
+def landed_rows(spark: SparkSession, landing_root: str, dtype: str) -> DataFrame:
+    """CSV rows of one type with the day and filing month in their file name.
+
+    The month a row is filed under is that of its file, which need not be that
+    of its own time.
+    """
+    raw = (spark.read.schema(FACTS[dtype]).option("mode", "PERMISSIVE")
+           .option("recursiveFileLookup", "true")
+           .option("pathGlobFilter", f"TDCS_{dtype}_*.csv").csv(landing_root))
+    stamp = F.element_at(F.split(F.col("_metadata.file_name"), "_"), 3)
+    return raw.withColumns({
+        "year": F.substring(stamp, 1, 4), "month": F.substring(stamp, 5, 2),
+        "file_day": F.to_date(stamp, "yyyyMMdd")})
+
 
+def months_of_days(days: DataFrame) -> DataFrame:
+    return days.select(F.date_format("day", "yyyy").alias("year"),
+                       F.date_format("day", "MM").alias("month")).distinct()
 
-def convert_days(spark: SparkSession, landing_root: str, lake_root: str, days: DataFrame,
+
+def convert_days(spark: SparkSession, landing_root: str, lake_root: str, first: date, last: date,
                  force: bool = False) -> DataFrame:
-    """Detections: publish the months of days that are complete and not in the lake yet.
+    """Detections: publish the months that have a day complete and not in the lake yet.
 
-    A lake month is rewritten as a whole from its complete days, so nothing is
-    stored twice. Returns the count check per month.
+    Such a month is written as a whole out of its complete days and those it
+    already holds, so no day is stored twice. With ``force`` incomplete days go
+    too. Returns the count check per month.
     """
+    span = TimeRange.days(first.isoformat(), last.isoformat())
     files = quality.landed(landing.listing(spark, landing_root))
-    stored = lake.tree(spark, lake_root, "M03A").select(
-        day_of(F.col("TimeInterval")).try_cast("date").alias("day")).distinct()
-    state = quality.completeness(files, days)
-    ready = (state.filter("dtype = 'M03A' and files > 0").select("dtype", "day") if force
-             else quality.ready_days(state, stored))
-    months = ready.select(F.date_format("day", "yyyy").alias("year"),
-                          F.date_format("day", "MM").alias("month")).distinct()
-    whole = (state.filter(F.col("files") > 0) if force
-             else state.filter("state = 'COMPLETE'")).filter("dtype = 'M03A'")
-    wanted = whole.select("day").withColumnRenamed("day", "file_day").unionByName(
-        stored.withColumnRenamed("day", "file_day")).distinct()
-    raw = landing.csv_slots(spark, landing_root + "/*", "M03A")
-    named = quality.parsed_names(raw.withColumn("_file", F.col("_metadata.file_path")), "_file")
-    rows = (named.filter("dtype = 'M03A'").withColumn("file_day", F.col("day"))
-            .join(wanted, "file_day", "left_semi")
-            .withColumns({"year": F.date_format("file_day", "yyyy"),
-                          "month": F.date_format("file_day", "MM")})
-            .join(months, ["year", "month"], "left_semi"))
+    state = cut_lineage(quality.completeness(files, day_spine(spark, first, last))
+                        .filter("dtype = 'M03A'"))
+    time = F.col("TimeInterval")
+    stored = cut_lineage(lake.scan(spark, lake_root, "M03A", span).select(
+        day_of(time).try_cast("date").alias("day")).distinct())
+    usable = state.filter("files > 0" if force else "state = 'COMPLETE'").select("day")
+    months = months_of_days(usable if force else usable.join(stored, "day", "left_anti"))
+    wanted = usable.union(stored).distinct().withColumnRenamed("day", "file_day")
+    rows = (landed_rows(spark, landing_root, "M03A").join(months, lake.MONTH_KEYS, "left_semi")
+            .join(wanted, "file_day", "left_semi"))
     return lake.publish(rows, "M03A", lake_root)
 
 
 def convert_months(spark: SparkSession, landing_root: str, lake_root: str,
                    manifest: str) -> DataFrame:
     """Trips: publish again every month whose landed file count changed, and stamp it."""
-    files = landing.listing(spark, landing_root)
-    raw_files = quality.landed(files).filter("dtype = 'M06A'").withColumns({
-        "year": F.date_format("day", "yyyy"), "month": F.date_format("day", "MM")})
-    published = lake.tree(spark, lake_root, "M06A").select(
-        F.lit("M06A").alias("dtype"), "year", "month").distinct()
-    stale = quality.stale_months(raw_files, known_stamps(spark, manifest), published)
-    raw = landing.csv_slots(spark, landing_root + "/*", "M06A")
-    rows = with_filing_month(raw.filter(F.col("_metadata.file_name").contains("_M06A_"))).join(
-        stale.select("year", "month"), ["year", "month"], "left_semi")
+    files = quality.landed(landing.listing(spark, landing_root)).filter("dtype = 'M06A'")
+    raw_files = files.withColumns({"year": F.date_format("day", "yyyy"),
+                                   "month": F.date_format("day", "MM")})
+    stored = landing.listed_partitions(landing.listing(spark, lake_root)).filter(
+        "month is not null").select(F.lit("M06A").alias("dtype"), "year", "month").distinct()
+    stale = cut_lineage(quality.stale_months(raw_files, lake.stamps(spark, manifest), stored))
+    rows = landed_rows(spark, landing_root, "M06A").join(
+        stale.select(*lake.MONTH_KEYS), lake.MONTH_KEYS, "left_semi")
     check = lake.publish(rows, "M06A", lake_root)
-    done = stale.join(check.filter("status = 'OK'"), ["year", "month"]).select(
-        "dtype", "year", "month", F.col("raw_files").alias("raw_count"))
-    lake.stamp(done, manifest)
+    lake.stamp(stale.join(check.filter("status = 'OK'"), lake.MONTH_KEYS).select(
+        "dtype", *lake.MONTH_KEYS, F.col("raw_files").alias("raw_count")), manifest)
     return check
-
-
-def known_stamps(spark: SparkSession, manifest: str) -> DataFrame:
-    files = landing.listing(spark, manifest)
-    if files.isEmpty():
-        return spark.createDataFrame([], "raw_count bigint, dtype string, year string, month string")
-    return lake.stamps(spark, manifest)

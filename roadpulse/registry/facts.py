@@ -49,6 +49,12 @@ def trips_of(spark: SparkSession, sf_dir: str, span: TimeRange | None = None) ->
     return lake.tree(spark, root, "M06A") if span is None else lake.scan(spark, root, "M06A", span)
 
 
+def listing_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed files as a stored listing."""
+    return once(spark, sf_dir, "listing", lambda: cut_lineage(
+        fixtures.raw_listing(spark, sf_dir)))
+
+
 def groups_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalized road sections."""
     return once(spark, sf_dir, "groups", lambda: cut_lineage(

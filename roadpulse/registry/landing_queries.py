@@ -11,7 +11,7 @@ from roadpulse.functions.timeparts import day_spine, rolling_days, spine_of
 from roadpulse.operators import quality
 from roadpulse.registry.book import (DETECTIONS, EVENTS, LISTING, TRIPS, grid_sql, registered,
                                      with_views)
-from roadpulse.registry.facts import detections_of, trips_of
+from roadpulse.registry.facts import detections_of, listing_of, trips_of
 
 FIRST, LAST = date(2024, 1, 1), date(2024, 1, 31)
 AS_OF = date(2024, 3, 10)
@@ -22,7 +22,7 @@ _GAPS = (", gaps AS (SELECT dtype, day, name FROM grid "
 
 
 def files_of(spark, sf_dir):
-    return quality.landed(fixtures.raw_listing(spark, sf_dir))
+    return quality.landed(listing_of(spark, sf_dir))
 
 
 def gaps_of(spark, sf_dir, days=None):

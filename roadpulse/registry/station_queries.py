@@ -34,9 +34,9 @@ def alias_canonical(spark, sf_dir):
     WHERE m.id NOT IN (SELECT asked FROM asked) GROUP BY m.id"""))
 def alias_expansion(spark, sf_dir):
     """Asked ids and their aliases; the request is every station seen, in id order."""
-    seen = fixtures.station_history(spark, sf_dir).select("station").orderBy("station")
-    ids = [row["station"] for row in seen.limit(al.LITERAL_LIMIT).collect()]
-    return al.expansion(alias_of(spark, sf_dir), ids).select("id", "asked")
+    asked = fixtures.station_history(spark, sf_dir).select(
+        F.col("station").alias("asked"), F.lit(0).alias("position"))
+    return al.expansion(alias_of(spark, sf_dir), asked)
 
 
 @registered(with_views(EVENTS, GROUPS, select="""

@@ -26,21 +26,25 @@ def lake_schema(dtype: str) -> T.StructType:
     return T.StructType(FACTS[dtype].fields + _PARTITIONS)
 
 
-def tree(spark: SparkSession, root: str, dtype: str) -> DataFrame:
-    """All months of a fact; a missing root is an empty fact, not an error.
-
-    The schema is given, so partition text keeps its padding and no file is
-    opened for inference.
-    """
-    schema = lake_schema(dtype)
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Parquet under a given schema; a missing path is an empty table, not an error."""
     try:
-        return spark.read.schema(schema).parquet(root)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
+def tree(spark: SparkSession, root: str, dtype: str) -> DataFrame:
+    """All months of a fact.
+
+    The schema is given, so partition text keeps its padding and no file is
+    opened for inference.
+    """
+    return read_or_empty(spark, root, lake_schema(dtype))
+
+
 def scan(spark: SparkSession, root: str, dtype: str, span: TimeRange) -> DataFrame:
     """A fact pruned to the months of a range, a day wider at both ends."""
     return tree(spark, root, dtype).filter(months_of(span))
@@ -142,8 +146,10 @@ def stamp(counts: DataFrame, path: str) -> None:
 
 
 def stamps(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("raw_count bigint, dtype string, year string, month string").parquet(
-        path)
+    """All stamps; none yet is an empty table."""
+    return read_or_empty(spark, path, T.StructType([
+        T.StructField("raw_count", T.LongType()), T.StructField("dtype", T.StringType()),
+        *_PARTITIONS]))
 
 
 def create_table(spark: SparkSession, name: str, dtype: str, location: str) -> None:
