@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadpulse.functions.station_ids import (direction_suffix, driving_position, km_post,
                                              road_code)
@@ -24,6 +26,23 @@ def coordinate(df: DataFrame, names: list[str]) -> Column:
     return F.when(F.abs(value) < float("inf"), value)
 
 
+def version_of(names: Sequence[str], field: Callable[[str], Column]) -> Column:
+    """A validity version out of those of its fields that are there."""
+    return F.struct(*[
+        (field(c) if c in names else F.lit(None)).cast(t).alias(c)
+        for c, t in (("first_seen", "string"), ("last_seen", "string"), ("is_active", "boolean"))])
+
+
+def listed_versions(raw: DataFrame) -> Column:
+    """The ``versions`` column under one struct type; null where there is none."""
+    element = (getattr(raw.schema["versions"].dataType, "elementType", None)
+               if "versions" in raw.columns else None)
+    if not isinstance(element, T.StructType):
+        return F.lit(None).cast(
+            "array<struct<first_seen:string,last_seen:string,is_active:boolean>>")
+    return F.transform("versions", lambda v: version_of(element.names, v.getField))
+
+
 def normalize_groups(raw: DataFrame) -> DataFrame:
     """Section records with every fallback applied: ids, name, direction, label, road."""
     current = first_filled(raw, ["current_gantry_id", "gantry_id"])
@@ -38,11 +57,8 @@ def normalize_groups(raw: DataFrame) -> DataFrame:
     direction = F.when(given != "", F.when(given == "S", "S").otherwise("N")).otherwise(
         direction_suffix(current))
     label = first_filled(raw, ["direction_label"])
-    versions = (F.col("versions") if "versions" in raw.columns else F.lit(None).cast(
-        "array<struct<first_seen:string,last_seen:string,is_active:boolean>>"))
-    own = F.struct(*[
-        (F.col(c) if c in raw.columns else F.lit(None)).cast(t).alias(c)
-        for c, t in (("first_seen", "string"), ("last_seen", "string"), ("is_active", "boolean"))])
+    versions = listed_versions(raw)
+    own = version_of(raw.columns, F.col)
     road = first_filled(raw, ["road", "road_name", "road_label"])
     group = first_filled(raw, ["group_id"])
     return raw.select(

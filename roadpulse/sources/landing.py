@@ -43,7 +43,7 @@ def strict_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def listing(spark: SparkSession, root: str) -> DataFrame:
-    """Files below a folder as ``(path, length)``, contents unread.
+    """Files below a folder as ``(path, length)``, contents unread; empty files are left out.
 
     A missing folder is an empty listing; any other failure stays an error, so
     it cannot look as if all files were missing.
