@@ -62,30 +62,34 @@ def alias_table(dimension: DataFrame) -> DataFrame:
                        .select("id", "component", "canonical", "members"))
 
 
-def expand(alias: DataFrame, ids: Sequence[str]) -> list[tuple[str, str]] | None:
-    """``(id, asked)`` of the asked ids and their aliases, in request order.
+def known_groups(alias: DataFrame, ids: Sequence[str]) -> dict[str, list[str]] | None:
+    """Members of the alias group of each asked id that has one, in order.
 
-    An id that was asked for itself stays attributed to itself; an alias belongs
-    to the last asked id of its group. ``None`` if that is more than may travel
-    as literals, see :func:`expansion`.
+    ``None`` if that is more than may travel as literals, see :func:`expansion`.
     """
-    ids = list(dict.fromkeys(ids))
-    if len(ids) > LITERAL_LIMIT:
+    if len(set(ids)) > LITERAL_LIMIT:
         return None
-    group = {row["id"]: row["component"]
-             for row in alias.filter(F.col("id").isin(ids)).select("id", "component").collect()}
-    if not group:
-        return [(station, station) for station in ids]
-    rows = collect_bounded(alias.filter(F.col("component").isin(sorted(set(group.values()))))
-                           .select("component", "id").orderBy("component", "id"))
+    asked = alias.filter(F.col("id").isin(list(ids))).select("component")
+    rows = collect_bounded(alias.join(asked, "component", "left_semi").select("component", "id"))
     if rows is None:
         return None
-    owner = {group[station]: station for station in ids if station in group}
-    found = {}
+    members: dict[str, list[str]] = {}
+    for row in rows:
+        members.setdefault(row["component"], []).append(row["id"])
+    return {station: sorted(group) for group in members.values() for station in group}
+
+
+def expand(ids: Sequence[str], groups: dict[str, list[str]]) -> list[tuple[str, str]]:
+    """``(id, asked)`` of the asked ids and their aliases, in request order.
+
+    An id that was asked for itself stays attributed to itself; an alias belongs
+    to the last asked id of its group.
+    """
+    owner = {groups[station][0]: station for station in ids if station in groups}
+    found: dict[str, str] = {}
     for station in ids:
-        same = [row["id"] for row in rows if row["component"] == group.get(station)]
-        for member in same or [station]:
-            found.setdefault(member, member if member in ids else owner[group[station]])
+        for member in groups.get(station, [station]):
+            found.setdefault(member, member if member in ids else owner[groups[station][0]])
     return list(found.items())
 
 
@@ -117,20 +121,23 @@ def attribute(df: DataFrame, alias: DataFrame | None, ids: Sequence[str],
     """Rows of the asked stations and their aliases, alias ids rewritten to the asked id."""
     if alias is None:
         return keep_stations(df, ids, column)
-    few = expand(alias, ids)
-    if few is None:
+    groups = known_groups(alias, ids)
+    if groups is None:
         asked = df.sparkSession.createDataFrame(
             list(enumerate(dict.fromkeys(ids))), "position int, asked string")
         named = expansion(alias, asked).withColumnRenamed("id", column)
         return df.join(named, column).withColumn(column, F.col("asked")).drop("asked")
+    few = expand(ids, groups)
     rewritten = {station: asked for station, asked in few if station != asked}
     kept = keep_stations(df, [station for station, _ in few], column)
     return kept.na.replace(rewritten, subset=[column]) if rewritten else kept
 
 
-def expanded_ids(alias: DataFrame | None, ids: Sequence[str]) -> list[str]:
-    """Asked ids and their aliases as a list, for path patterns need literals."""
-    few = [(station, station) for station in ids] if alias is None else expand(alias, ids)
-    if few is None:
+def expanded_ids(alias: DataFrame | None, *lists: Sequence[str]) -> list[list[str]]:
+    """Each list of asked ids with their aliases, for path patterns need literals."""
+    if alias is None:
+        return [list(ids) for ids in lists]
+    groups = known_groups(alias, [station for ids in lists for station in ids])
+    if groups is None:
         raise ValueError(f"a path query takes at most {LITERAL_LIMIT} stations")
-    return [station for station, _ in few]
+    return [[station for station, _ in expand(ids, groups)] for ids in lists]

@@ -86,6 +86,13 @@ def group_lookup(groups: DataFrame) -> DataFrame:
             .select("station", "section.*"))
 
 
+def with_aliases(lookup: DataFrame, alias: DataFrame) -> DataFrame:
+    """The lookup with the ids that reach a section only through their canonical id."""
+    through = alias.select(F.col("id").alias("alias_id"), F.col("canonical").alias("station")).join(
+        lookup, "station").drop("station").withColumnRenamed("alias_id", "station")
+    return lookup.unionByName(through.join(lookup, "station", "left_anti"))
+
+
 def road_name(groups: DataFrame) -> Column:
     return F.coalesce(F.nullif(F.trim("road"), F.lit("")), F.lit(OTHER_ROADS))
 

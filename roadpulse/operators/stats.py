@@ -55,27 +55,19 @@ def vehicle_share_ordered(fine: DataFrame) -> DataFrame:
     return vehicle_share(fine).orderBy(F.desc("volume"), F.asc("vehicle_type"))
 
 
-def section_volume(fine: DataFrame, groups_by_station: DataFrame,
-                   alias: DataFrame | None = None) -> DataFrame:
-    """Volume per road section.
+def section_volume(stations: DataFrame, sections: DataFrame) -> DataFrame:
+    """Volume per road section out of volumes by ``GantryID`` and ``Direction``.
 
-    A station looks up its section by its own id, then by its canonical id, and
-    stands for itself as ``RAW_<id>`` otherwise.
+    ``sections`` is a station lookup, with aliases resolved if stations were
+    renumbered. A station without a section stands for itself as ``RAW_<id>``.
     """
-    per_station = fine.groupBy("GantryID", "Direction").agg(F.sum("volume").alias("volume"))
-    section = F.struct("group_id", "current_gantry_id", "name", "group_direction",
-                       "direction_label")
-    lookup = groups_by_station.select(F.col("station"), section.alias("section"))
-    joined = per_station.join(lookup, per_station["GantryID"] == lookup["station"], "left").drop(
-        "station")
-    if alias is not None:
-        canonical = alias.join(lookup, alias["canonical"] == lookup["station"]).select(
-            F.col("id").alias("GantryID"), F.col("section").alias("canonical_section"))
-        joined = joined.join(canonical, "GantryID", "left").withColumn(
-            "section", F.coalesce("section", "canonical_section"))
+    per_station = stations.groupBy("GantryID", "Direction").agg(F.sum("volume").alias("volume"))
+    lookup = sections.select(F.col("station").alias("GantryID"), F.struct(
+        "group_id", "current_gantry_id", "name", "group_direction", "direction_label")
+        .alias("section"))
     found = F.col("section")
     own = F.when(F.col("Direction") == "S", "S").otherwise("N")
-    return joined.groupBy(
+    return per_station.join(lookup, "GantryID", "left").groupBy(
         F.coalesce(found["group_id"], F.concat(F.lit("RAW_"), "GantryID")).alias("group_id"),
         F.coalesce(found["current_gantry_id"], "GantryID").alias("gantry_id"),
         F.coalesce(found["name"], "GantryID").alias("name"),
@@ -84,15 +76,18 @@ def section_volume(fine: DataFrame, groups_by_station: DataFrame,
     ).agg(F.sum("volume").alias("volume"))
 
 
-def road_ranking(fine: DataFrame, groups_by_station: DataFrame, alias: DataFrame | None = None,
-                 top: int = 10) -> DataFrame:
+def road_ranking(stations: DataFrame, sections: DataFrame, top: int = 10) -> DataFrame:
     """Top sections by volume, then name and direction, with their share of the total."""
-    return share_of(section_volume(fine, groups_by_station, alias), "volume").orderBy(
+    return share_of(section_volume(stations, sections), "volume").orderBy(
         F.desc("volume"), "name", "direction", "group_id").limit(top)
 
 
 def panels(fine: DataFrame) -> DataFrame:
-    """Total, series, vehicle and station sums of one pass as ``(panel, key, volume, row_count)``."""
+    """Total, series, vehicle and station sums out of one pass over the base.
+
+    ``panel`` names the grouping (total, bucket, day, vehicle, station), the
+    columns outside it are null.
+    """
     grouped = fine.withColumn("day", tp.day_of(F.col("bucket"))).groupingSets(
         [[], ["bucket"], ["day"], ["VehicleType"], ["GantryID", "Direction"]],
         "bucket", "day", "VehicleType", "GantryID", "Direction",
@@ -102,7 +97,8 @@ def panels(fine: DataFrame) -> DataFrame:
     panel = (F.when(F.col("level") == 31, "total").when(F.col("level") == 15, "bucket")
              .when(F.col("level") == 23, "day").when(F.col("level") == 27, "vehicle")
              .otherwise("station"))
-    key = (F.when(panel == "bucket", F.col("bucket")).when(panel == "day", F.col("day"))
-           .when(panel == "vehicle", F.col("VehicleType").cast("string"))
-           .when(panel == "station", F.concat_ws("|", "GantryID", "Direction")).otherwise(""))
-    return grouped.select(panel.alias("panel"), key.alias("key"), "volume", "row_count")
+    return grouped.withColumn("panel", panel).drop("level")
+
+
+def panel(table: DataFrame, name: str) -> DataFrame:
+    return table.filter(F.col("panel") == name)

@@ -27,7 +27,7 @@ class TrafficData:
     detections_root: str
     trips_root: str
     alias: DataFrame | None = None
-    groups_by_station: DataFrame | None = None
+    sections: DataFrame | None = None
 
     def detections(self, span: TimeRange) -> DataFrame:
         return lake.scan(self.spark, self.detections_root, "M03A", span)
@@ -84,7 +84,7 @@ def asked_ends(data: TrafficData, payload: dict) -> tuple[list[str], list[str],
     ends = flow.any_of(payload.get("end_gantry_ids")) or flow.any_of(payload.get("end_gantry"))
     if not starts or not ends:
         raise ValueError("an OD request needs start and end stations")
-    starts, ends = expanded_ids(data.alias, starts), expanded_ids(data.alias, ends)
+    starts, ends = expanded_ids(data.alias, starts, ends)
     return (starts, ends, str(payload.get("start_gantry") or starts[0]),
             str(payload.get("end_gantry") or ends[0]))
 
@@ -131,9 +131,9 @@ def page_size(limit: int) -> int:
 
 @dataclass
 class Dashboard:
-    """Panels over one persisted aggregate; :meth:`close` releases it."""
+    """Panels out of one small persisted table; :meth:`close` releases it."""
 
-    fine: DataFrame
+    table: DataFrame
     summary: DataFrame
     hourly_series: DataFrame | None
     daily_series: DataFrame
@@ -141,7 +141,7 @@ class Dashboard:
     road_ranking: DataFrame
 
     def close(self) -> None:
-        self.fine.unpersist()
+        self.table.unpersist()
 
 
 def dashboard(data: TrafficData, payload: dict) -> Dashboard:
@@ -150,12 +150,16 @@ def dashboard(data: TrafficData, payload: dict) -> Dashboard:
     if period not in ("daily", "weekly", "monthly"):
         raise ValueError("period_type must be daily, weekly or monthly")
     span = TimeRange.days(payload["start_date"], payload["end_date"]).check(MAX_SPAN_DAYS["M03A"])
-    fine = stats.base(data.detections(span), span, hourly=period == "daily").persist()
+    fine = stats.base(data.detections(span), span, hourly=period == "daily")
+    # a row per bucket, day, vehicle and station: far less than the base
+    table = stats.panels(fine).persist()
+    hourly = stats.hourly_series(stats.panel(table, "bucket")).orderBy("time")
     return Dashboard(
-        fine, stats.total(fine),
-        stats.hourly_series(fine).orderBy("time") if period == "daily" else None,
-        stats.daily_series(fine).orderBy("date"), stats.vehicle_share(fine),
-        stats.road_ranking(fine, data.groups_by_station, data.alias))
+        table, stats.total(stats.panel(table, "total")), hourly if period == "daily" else None,
+        stats.daily_series(stats.panel(table, "day").withColumn("bucket", F.col("day")))
+        .orderBy("date"),
+        stats.vehicle_share(stats.panel(table, "vehicle")),
+        stats.road_ranking(stats.panel(table, "station"), data.sections))
 
 
 def week_of(day: str) -> tuple[date, date]:

@@ -72,7 +72,13 @@ def alias_of(spark: SparkSession, sf_dir: str) -> DataFrame:
         cut_lineage(fixtures.station_dimension(spark, sf_dir))))
 
 
+def sections_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Section of each station id, renumbered ones through their canonical id."""
+    return once(spark, sf_dir, "sections", lambda: cut_lineage(
+        stations.with_aliases(lookup_of(spark, sf_dir), alias_of(spark, sf_dir))))
+
+
 def data_of(spark: SparkSession, sf_dir: str) -> TrafficData:
     """Everything a request needs."""
     return TrafficData(spark, root_of(spark, sf_dir, "M03A"), root_of(spark, sf_dir, "M06A"),
-                       alias_of(spark, sf_dir), lookup_of(spark, sf_dir))
+                       alias_of(spark, sf_dir), sections_of(spark, sf_dir))

@@ -9,7 +9,7 @@ from roadpulse.functions.timeparts import TimeRange
 from roadpulse.operators import flow, stats
 from roadpulse.registry.book import (ALIAS, DETECTIONS, GROUPS, SECTIONS, registered,
                                      with_views)
-from roadpulse.registry.facts import alias_of, detections_of, lookup_of
+from roadpulse.registry.facts import alias_of, detections_of, lookup_of, sections_of
 
 MONTH = TimeRange.of("2024-01-01 00:00", "2024-01-30 23:59")
 STATIONS = ["01F0230N", "01F0345S", "03F1265S"]
@@ -236,7 +236,7 @@ def stats_vehicle_share(spark, sf_dir):
 def stats_road_ranking(spark, sf_dir):
     """Month ranking of road sections, renumbered stations counted with their successor."""
     return stats.road_ranking(base_of(spark, sf_dir, "2024-01-01", "2024-01-31"),
-                              lookup_of(spark, sf_dir), alias_of(spark, sf_dir))
+                              sections_of(spark, sf_dir))
 
 
 @registered(with_views(DETECTIONS, select=f"""
@@ -249,4 +249,7 @@ def stats_road_ranking(spark, sf_dir):
         UNION ALL SELECT 'station', g || '|' || dir, sum(vol), count(*) FROM d GROUP BY 2)"""))
 def stats_panels(spark, sf_dir):
     """All dashboard sums from one pass over the detections."""
-    return stats.panels(base_of(spark, sf_dir, "2024-01-01", "2024-01-31", hourly=True))
+    table = stats.panels(base_of(spark, sf_dir, "2024-01-01", "2024-01-31", hourly=True))
+    key = F.concat_ws("|", "bucket", "day", F.col("VehicleType").cast("string"), "GantryID",
+                      "Direction")
+    return table.select("panel", key.alias("key"), "volume", "row_count")

@@ -21,8 +21,7 @@ _HIT = f"regexp_matches(path, '({_A}).*({_B})')"
 
 
 def ends_of(spark, sf_dir):
-    alias = alias_of(spark, sf_dir)
-    return expanded_ids(alias, STARTS), expanded_ids(alias, ENDS)
+    return expanded_ids(alias_of(spark, sf_dir), STARTS, ENDS)
 
 
 def matched_sql(low: str, high: str, where: str = "TRUE") -> str:

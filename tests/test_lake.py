@@ -273,7 +273,8 @@ def data(spark):
         [("G1", "01F0340N", ["01F0340N"], "one", "N")],
         "group_id string, current_gantry_id string, gantry_ids array<string>, display_name string, "
         "direction string"))
-    return service.TrafficData(spark, m03, m06, alias, stations.group_lookup(groups))
+    sections = stations.with_aliases(stations.group_lookup(groups), alias)
+    return service.TrafficData(spark, m03, m06, alias, sections)
 
 
 def test_flow_request(data):

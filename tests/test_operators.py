@@ -54,9 +54,13 @@ def test_components_of_a_long_chain_and_a_hub(spark):
 
 
 def test_expansion_order_and_attribution(spark, alias):
-    assert al.expand(alias, ["C", "Q"]) == [("A", "C"), ("B", "C"), ("C", "C"), ("Q", "Q")]
-    assert al.expand(alias, ["A", "C"]) == [("A", "A"), ("B", "C"), ("C", "C")]
-    assert al.expand(alias, ["Q", "Q"]) == [("Q", "Q")]
+    def expand(*ids):
+        return al.expand(ids, al.known_groups(alias, ids))
+    assert expand("C", "Q") == [("A", "C"), ("B", "C"), ("C", "C"), ("Q", "Q")]
+    assert expand("A", "C") == [("A", "A"), ("B", "C"), ("C", "C")]
+    assert expand("Q", "Q") == [("Q", "Q")]
+    assert al.expanded_ids(alias, ["Y"], ["Q", "N"]) == [["X", "Y"], ["Q", "M", "N"]]
+    assert al.expanded_ids(None, ["Y"]) == [["Y"]]
     asked = spark.createDataFrame([("A", 0), ("C", 1), ("Q", 2)], "asked string, position int")
     assert sorted(rows(al.expansion(alias, asked))) == [
         ("A", "A"), ("B", "C"), ("C", "C"), ("Q", "Q")]
@@ -161,9 +165,10 @@ def test_first_group_wins_a_shared_id(spark, groups):
 def test_section_volume_falls_back(spark, groups, alias):
     data = facts(spark, ("2024-01-01 00:00", "01F0299N", "N", 31, 5),
                  ("2024-01-01 00:00", "OLD", "N", 31, 7), ("2024-01-01 00:00", "NEW", "S", 31, 7))
-    renamed = spark.createDataFrame([("OLD", "01F0300N")], "id string, canonical string")
+    renamed = spark.createDataFrame([("OLD", "01F0300N"), ("01F0299N", "01F0100N")],
+                                    "id string, canonical string")
     fine = stats.base(data, TimeRange.days("2024-01-01", "2024-01-01"), hourly=False)
-    got = stats.road_ranking(fine, stations.group_lookup(groups), renamed)
+    got = stats.road_ranking(fine, stations.with_aliases(stations.group_lookup(groups), renamed))
     assert rows(got.select("group_id", "direction", "volume", "share")) == [
         ("g1", "N", 12, 63.2), ("RAW_NEW", "S", 7, 36.8)]
 

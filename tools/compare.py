@@ -5,12 +5,14 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 from collections import Counter
 from pathlib import Path
 
 import duckdb
+from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
@@ -33,8 +35,13 @@ def main() -> int:
     args = sys.argv[1:]
     sf_dir = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = args or list(QUERIES)
-    spark = build_session(master="local[8]", spark_sql_shuffle_partitions="8",
-                          spark_ui_enabled="false", spark_driver_memory="8g")
+    if os.environ.get("PLAIN"):
+        # Spark's own defaults, as a caller's session may have them
+        spark = SparkSession.builder.master("local[8]").config(
+            "spark.ui.showConsoleProgress", "false").getOrCreate()
+    else:
+        spark = build_session(master="local[8]", spark_sql_shuffle_partitions="8",
+                              spark_ui_enabled="false", spark_driver_memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     db = duckdb.connect()
     for file in sorted(Path(sf_dir).glob("*.parquet")):
