@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,10 @@ from pyspark.sql import types as T
 
 from roadpulse.functions.timeparts import TimeRange, months_of
 from roadpulse.operators.quality import count_check
-from roadpulse.schemas import FACT_TIME, FACTS, file_month, partition_text
+from roadpulse.schemas import (FACT_TIME, FACTS, columns_to_retype, file_month,
+                               partition_text)
 from roadpulse.session import fresh_dir
+from roadpulse.sources.landing import listed_partitions, listing
 
 MONTH_KEYS = ["year", "month"]
 _PARTITIONS = [T.StructField(key, T.StringType()) for key in MONTH_KEYS]
@@ -86,10 +89,12 @@ def ranged(df: DataFrame, order: Sequence[str], files: int) -> DataFrame:
     """Rows spread over ``files`` tasks of about equal size, in month and time order.
 
     Ranges split inside a month, so a month that holds a third of all rows gets a
-    third of the tasks, and each file covers a short stretch of time.
+    third of the tasks, and each file covers a short stretch of time. Rows equal
+    in every key split by the task that read them, which a retry does not change.
     """
-    keys = [*MONTH_KEYS, *order]
-    return df.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
+    keys = [*MONTH_KEYS, *order, "_task"]
+    return (df.withColumn("_task", F.spark_partition_id()).repartitionByRange(files, *keys)
+            .sortWithinPartitions(*keys).drop("_task"))
 
 
 def compact(df: DataFrame, dtype: str, root: str, files: int, keep_order: bool = False) -> None:
@@ -125,18 +130,36 @@ def publish(df: DataFrame, dtype: str, root: str, files: int | None = None) -> D
     return check
 
 
+def read_typed(spark: SparkSession, root: str, paths: Sequence[str], dtype: str) -> DataFrame:
+    """Files of one schema variant under the fact's own types and text partitions."""
+    raw = spark.read.option("basePath", root).parquet(*paths)
+    return raw.select(
+        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in FACTS[dtype].fields],
+        F.col("year").cast("string").alias("year"),
+        F.lpad(F.col("month").cast("string"), 2, "0").alias("month"))
+
+
 def retype_months(spark: SparkSession, roots: Sequence[str], dtype: str) -> DataFrame:
     """One fact out of drops whose column types differ: each read by itself, retyped, united."""
-    target = FACTS[dtype]
-    united = None
-    for root in roots:
-        raw = spark.read.option("basePath", root).parquet(root)
-        typed = raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name)
-                             for f in target.fields],
-                           *[F.col(k).cast("string").alias(k) for k in MONTH_KEYS])
-        typed = typed.withColumn("month", F.lpad("month", 2, "0"))
-        united = typed if united is None else united.unionByName(typed)
-    return united
+    typed = [read_typed(spark, root, [root], dtype) for root in roots]
+    return reduce(DataFrame.unionByName, typed)
+
+
+def text_months(spark: SparkSession, root: str) -> list[str]:
+    """Month folders that still hold a typed column as text, told by their footers alone.
+
+    The loop is over months, each read for its schema only.
+    """
+    files = listed_partitions(listing(spark, root)).filter("month is not null")
+    months = files.select("year", "month").distinct().orderBy("year", "month").collect()
+    paths = [f"{root}/year={row['year']}/month={row['month']}" for row in months]
+    return [path for path in paths if columns_to_retype(spark.read.parquet(path))]
+
+
+def retype_lake(spark: SparkSession, root: str, dtype: str) -> DataFrame | None:
+    """Rewrite the text months of a fact in their types; the count check, or none to do."""
+    paths = text_months(spark, root)
+    return publish(read_typed(spark, root, paths, dtype), dtype, root) if paths else None
 
 
 def stamp(counts: DataFrame, path: str) -> None:

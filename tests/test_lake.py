@@ -184,6 +184,33 @@ def test_retype(spark):
     assert rows(schemas.retype(text)) == [(31, None), (None, 1.5)]
 
 
+def test_copies_of_one_row_spread_over_files(spark):
+    root = fresh_dir(spark, "hot")
+    same = spark.range(0, 4000, 1, 8).select(
+        F.lit("2024-01-01 00:00").alias("TimeInterval"), F.lit("A").alias("GantryID"),
+        F.lit("N").alias("Direction"), F.lit(31).alias("VehicleType"), F.lit(1).alias("Volume"))
+    check = lake.publish(same.unionByName(facts(spark, *detections(spark, 2, 9))), "M03A", root, 4)
+    assert {r["status"] for r in check.collect()} == {"OK"}
+    sizes = lake.tree(spark, root, "M03A").filter("month = '01'").groupBy(
+        F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in sizes) == 4000
+    assert len(sizes) >= 2 and max(r["count"] for r in sizes) < 4000
+
+
+def test_retype_lake(spark):
+    root = fresh_dir(spark, "lake")
+    typed = spark.createDataFrame([(31, "2024-01-01 00:00:00", "A", "2024-01-01 00:10:00", "B", 1.5,
+                                    "Y", "p", "2024", "01")], lake.lake_schema("M06A"))
+    lake.write_months(typed, root)
+    lake.write_months(typed.select(*[F.col(c).cast("string") for c in typed.columns]).withColumn(
+        "month", F.lit("02")), root)
+    assert [p[-8:] for p in lake.text_months(spark, root)] == ["month=02"]
+    assert rows(lake.retype_lake(spark, root, "M06A")) == [("2024", "02", 1, 1, "OK")]
+    assert lake.text_months(spark, root) == [] and lake.retype_lake(spark, root, "M06A") is None
+    assert rows(lake.tree(spark, root, "M06A").select("VehicleType", "TripLength", "month"),
+                "month") == [(31, 1.5, "01"), (31, 1.5, "02")]
+
+
 def slot(path, dtype, stamp, text):
     put(path, f"TDCS_{dtype}_{stamp}.csv", text)
 
