@@ -15,6 +15,8 @@ Position 4 is renumbered on 2024-01-15.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,19 +42,19 @@ def station_at(position: Column, time: Column) -> Column:
     return F.when((position == 4) & (time < RENUMBERED), "01F0459N").otherwise(current)
 
 
-def _events(spark: SparkSession, sf_dir: str, span: TimeRange | None) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str, span: TimeRange | None) -> DataFrame:
     """Events with their fields; a range, padded by a day, reaches the Parquet scan."""
-    events = table(spark, sf_dir, "events")
+    rows = table(spark, sf_dir, "events")
     if span is not None:
         wide = span.padded(1, 1)
-        events = events.filter(F.col("ts").between(
+        rows = rows.filter(F.col("ts").between(
             F.lit(wide.start.isoformat(" ")).cast("timestamp_ntz"),
             F.lit(wide.end.isoformat(" ")).cast("timestamp_ntz")))
     vehicle = F.lit(None).cast("int")
     for name, code in EVENT_VEHICLE.items():
         vehicle = F.when(F.col("event_type") == name, code).otherwise(vehicle)
     k = F.get_json_object("props", "$.k").cast("int")
-    return events.select(
+    return rows.select(
         "event_id", "user_id", "event_type", k.alias("k"),
         F.substring(F.col("ts").cast("string"), 1, 19).alias("t"),
         F.floor(F.col("value")).cast("int").alias("amount"), vehicle.alias("VehicleType"))
@@ -60,7 +62,7 @@ def _events(spark: SparkSession, sf_dir: str, span: TimeRange | None) -> DataFra
 
 def detections(spark: SparkSession, sf_dir: str, span: TimeRange | None = None) -> DataFrame:
     station = station_at(F.floor(F.col("k") / 5).cast("int"), F.col("t"))
-    return _events(spark, sf_dir, span).withColumn("GantryID", station).select(
+    return events(spark, sf_dir, span).withColumn("GantryID", station).select(
         slot_of(F.col("t"), 5).alias("TimeInterval"), "GantryID",
         F.right("GantryID", F.lit(1)).alias("Direction"), "VehicleType",
         F.col("amount").alias("Volume"))
@@ -70,17 +72,16 @@ def trips(spark: SparkSession, sf_dir: str, span: TimeRange | None = None) -> Da
     position = F.floor(F.col("k") / 5).cast("int")
     step = F.when(position % 2 == 0, -2).otherwise(2)
     hop_seconds = 60 + F.col("amount") * 5
-    start = F.col("t").cast("timestamp_ntz")
+    start, second = F.col("t").cast("timestamp_ntz"), F.lit(timedelta(seconds=1))
 
     def leg(i: Column) -> Column:
-        time = F.substring(
-            (start + F.make_dt_interval(secs=i * hop_seconds)).cast("string"), 1, 19)
+        time = F.substring((start + second * (i * hop_seconds)).cast("string"), 1, 19)
         return F.struct(time.alias("time"),
                         station_at(position + step * i, time).alias("station"))
 
     inside = F.filter(F.sequence(F.lit(0), F.col("k") % 5),
                       lambda i: (position + step * i).between(0, POSITIONS - 1))
-    legs = _events(spark, sf_dir, span).select(
+    legs = events(spark, sf_dir, span).select(
         "*", computed_once(F.transform(inside, leg)).alias("leg"))
     last = F.element_at("leg", -1)
     return legs.select(
@@ -97,7 +98,7 @@ def trips(spark: SparkSession, sf_dir: str, span: TimeRange | None = None) -> Da
 
 def station_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per position and station id: first and last day seen, whether still in use."""
-    seen = _events(spark, sf_dir, None).select(
+    seen = events(spark, sf_dir, None).select(
         F.floor(F.col("k") / 5).cast("int").alias("position"), F.col("t")).withColumn(
         "station", station_at(F.col("position"), F.col("t")))
     return seen.groupBy("position", "station").agg(
@@ -158,12 +159,12 @@ def raw_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``length`` is 0 for a slot whose only content is empty counts.
     """
-    events = _events(spark, sf_dir, None)
+    seen = events(spark, sf_dir, None)
 
     def names(dtype: str, minutes: int) -> DataFrame:
         slot = F.translate(slot_of(F.col("t"), minutes) if minutes < 60
                            else F.concat(F.substring("t", 1, 13), F.lit(":00")), "-: ", "")
-        return events.select(
+        return seen.select(
             F.concat(F.lit(f"TDCS_{dtype}_"), F.substring(slot, 1, 8), F.lit("_"),
                      F.substring(slot, 9, 4), F.lit("00.csv")).alias("name"),
             F.col("amount").cast("bigint").alias("bytes"))
@@ -179,7 +180,7 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One fetch attempt per event: file of its slot, outcome from ``k``."""
     k = F.col("k")
     slot = F.translate(slot_of(F.col("t"), 5), "-: ", "")
-    return _events(spark, sf_dir, None).select(
+    return events(spark, sf_dir, None).select(
         F.lit("M03A").alias("dtype"), day_of(F.col("t")).alias("day"),
         F.concat(F.lit("TDCS_M03A_"), F.substring(slot, 1, 8), F.lit("_"),
                  F.substring(slot, 9, 4), F.lit("00.csv")).alias("file"),

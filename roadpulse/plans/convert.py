@@ -22,11 +22,11 @@ def landed_rows(spark: SparkSession, landing_root: str, dtype: str) -> DataFrame
     """
     raw = (spark.read.schema(FACTS[dtype]).option("mode", "PERMISSIVE")
            .option("recursiveFileLookup", "true")
-           .option("pathGlobFilter", f"TDCS_{dtype}_*.csv").csv(landing_root))
-    stamp = F.element_at(F.split(F.col("_metadata.file_name"), "_"), 3)
-    return raw.withColumns({
-        "year": F.substring(stamp, 1, 4), "month": F.substring(stamp, 5, 2),
-        "file_day": F.to_date(stamp, "yyyyMMdd")})
+           .option("pathGlobFilter", f"TDCS_{dtype}_{'[0-9]' * 8}_*.csv").csv(landing_root))
+    stamp = F.substring(F.col("_metadata.file_name"), 11, 8)
+    year, month = F.substring(stamp, 1, 4), F.substring(stamp, 5, 2)
+    day = F.concat_ws("-", year, month, F.substring(stamp, 7, 2)).try_cast("date")
+    return raw.withColumns({"year": year, "month": month, "file_day": day})
 
 
 def months_of_days(days: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ def week_month_ranges(spark, sf_dir):
     FROM (SELECT *, event_type || ' ' || k || ' ' || amount AS rid_text FROM ev) GROUP BY ALL"""))
 def duration_parse(spark, sf_dir):
     """Minutes out of numbers, H:MM:SS, M:SS and junk."""
-    ev = fixtures._events(spark, sf_dir, None)
+    ev = fixtures.events(spark, sf_dir, None)
     kind, k = F.col("event_type"), F.col("k").cast("string")
     minute = F.lpad((F.col("amount") % 60).cast("string"), 2, "0")
     written = (F.when(kind == "view", k).when(kind == "click", F.concat(k, F.lit(":"), minute,

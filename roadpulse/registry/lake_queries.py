@@ -251,7 +251,7 @@ def promoted_view(spark, sf_dir):
     root = fresh_dir(spark, "rebuilt")
     view = "detections_" + root.rsplit("-", 1)[-1]
     check = lake.publish(fixtures.detections(spark, sf_dir), "M03A", root)
-    lake.promote(spark, check, view, root)
+    lake.promote(spark, check, view, root, "M03A")
     span = TimeRange.days("2024-01-01", "2024-01-31")
     return stats.total(stats.base(spark.table(view), span, hourly=False))
 

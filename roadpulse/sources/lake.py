@@ -207,11 +207,12 @@ def is_v2(spark: SparkSession, name: str) -> bool:
     return len(parts) > 2 and parts[0] != "spark_catalog"
 
 
-def promote(spark: SparkSession, check: DataFrame, view: str, root: str) -> bool:
+def promote(spark: SparkSession, check: DataFrame, view: str, root: str, dtype: str) -> bool:
     """Point a view at a rebuilt fact only if no partition failed; the old data stay."""
     if not check.filter("status <> 'OK'").isEmpty():
         return False
-    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{root}`")
+    columns = ", ".join(FACTS[dtype].names)
+    # a path in SQL has its partition types inferred, so their text is restored here
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {columns}, CAST(year AS STRING) AS year, "
+              f"lpad(CAST(month AS STRING), 2, '0') AS month FROM parquet.`{root}`")
     return True
-
-

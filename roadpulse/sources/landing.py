@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from roadpulse.schemas import FACTS
 
 LINES_PER_BATCH = 10_000
+STRICT_TIME = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}(:\d{1,2})?$"
 STATE_SCHEMA = ("year int, month int, status string, src_count bigint, dst_count bigint, "
                 "dst_files int, timestamp string, _broken string")
 
@@ -27,9 +28,9 @@ def _strict(lines: DataFrame) -> DataFrame:
     """Five trimmed fields with a readable time and a whole volume, or no row."""
     part = F.transform(F.split(F.regexp_replace("value", "^\\uFEFF", ""), ","), lambda x: F.trim(
         F.regexp_replace(F.trim(x), '^"(.*)"$', "$1")))
-    time = F.try_to_timestamp(F.replace(F.col("part")[0], F.lit("T"), F.lit(" ")))
+    time = F.when(F.col("part")[0].rlike(STRICT_TIME), F.col("part")[0].try_cast("timestamp_ntz"))
     return (lines.withColumn("part", part).filter(F.size("part") == 5)
-            .select(F.date_format(time, "yyyy-MM-dd HH:mm:ss").alias("time"),
+            .select(F.substring(time.cast("string"), 1, 19).alias("time"),
                     F.col("part")[1].alias("gantry_id"), F.col("part")[2].alias("direction"),
                     F.col("part")[3].alias("vehicle_type"),
                     F.when(F.col("part")[4].rlike(r"^[+-]?\d+$"),

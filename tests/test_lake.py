@@ -44,9 +44,9 @@ def test_csv_keeps_bad_rows(spark, tmp_path):
 
 
 def test_strict_csv(spark, tmp_path):
-    put(tmp_path, "a.csv", "﻿2024-01-01 00:00 , A ,N,31,5\n2024-01-01T00:05:30,B,S,x,6\n"
+    put(tmp_path, "a.csv", "﻿2024-01-01 00:00 , A ,N,31,5\n2024-1-1 0:05:30,B,S,x,+6\n"
         "2024-01-01 00:00,A,N,31,many\nnever,A,N,31,5\n2024-01-01 00:00,A,N,31\n"
-        "2024-01-01 00:00,A,N,31,5,6\n")
+        "2024-01-01 00:00,A,N,31,5,6\n2024-01-01T00:00,A,N,31,5\n2024-02-30 00:00,A,N,31,5\n2024,A,N,31,5\n")
     assert rows(landing.strict_csv(spark, str(tmp_path)), "time") == [
         ("2024-01-01 00:00:00", "A", "N", "31", 5), ("2024-01-01 00:05:30", "B", "S", "x", 6)]
 
@@ -125,9 +125,10 @@ def test_publish_holds_back_a_mismatch(spark, monkeypatch):
     stored = lake.tree(spark, root, "M03A").groupBy("month").count()
     assert rows(stored, "month") == [("01", 3), ("02", 9)]
     view = "v_" + root.rsplit("-", 1)[-1]
-    assert not lake.promote(spark, second, view, root)
-    assert lake.promote(spark, first, view, root)
+    assert not lake.promote(spark, second, view, root, "M03A")
+    assert lake.promote(spark, first, view, root, "M03A")
     assert spark.table(view).count() == 12
+    assert spark.table(view).filter("month = '02'").count() == 9
 
 
 def test_scan_prunes_and_pushes_down(spark):
