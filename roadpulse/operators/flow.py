@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.functions import timeparts as tp
 from roadpulse.functions.text import first_filled, number_value
 from roadpulse.operators.alias import attribute
-from roadpulse.operators.ranking import numbered_top, share_of
+from roadpulse.operators.ranking import numbered_top, percent, share_of
 from roadpulse.schemas import DIRECTIONS, UNNAMED_STATION
 
 # Column spellings accepted for a detection row.
@@ -105,29 +105,38 @@ def normalized(df: DataFrame, groups_by_station: DataFrame | None = None) -> Dat
 def metrics(rows: DataFrame) -> DataFrame:
     """One row: total, mean per distinct day, stations, peak time and its volume.
 
-    The facts are combined to (time, station) first; what follows runs on that.
+    One pass: the facts are combined to (time, station), then to times and to
+    stations by grouping sets, and what follows runs on those.
     """
     fine = rows.groupBy("time", "gantry_id").agg(F.sum("traffic_volume").alias("v"))
-    per_time = fine.groupBy("time").agg(F.sum("v").alias("v"))
-    peak = per_time.agg(
-        F.sum("v").alias("total_volume"),
-        F.countDistinct(F.nullif(tp.date_part(F.col("time")), F.lit(""))).alias("days"),
-        F.min_by("time", F.struct(-F.col("v"), F.col("time"))).alias("peak_time"),
-        F.max("v").alias("peak_volume"))
-    stations = fine.select("gantry_id").distinct().agg(F.count("gantry_id").alias("n")).scalar()
-    return peak.select(
+    both = fine.groupingSets([["time"], ["gantry_id"]], "time", "gantry_id").agg(
+        F.sum("v").alias("v"), F.grouping("time").alias("folded"))
+    of_time = F.when(F.col("folded") == 0, F.col("v"))
+    day = F.nullif(tp.date_part(F.col("time")), F.lit(""))
+    summed = both.agg(
+        F.sum(of_time).alias("total_volume"), F.countDistinct(day).alias("days"),
+        F.count("gantry_id").alias("stations"),
+        F.min_by("time", F.when(F.col("folded") == 0, F.struct(-F.col("v"), F.col("time"))))
+        .alias("peak_time"), F.max(of_time).alias("peak_volume"))
+    return summed.select(
         "total_volume", (F.col("total_volume") / F.greatest("days", F.lit(1))).alias("mean_per_day"),
-        stations.alias("stations"), "peak_time", "peak_volume")
+        "stations", "peak_time", "peak_volume")
 
 
 def vehicle_breakdown(rows: DataFrame) -> DataFrame:
-    """Volume, share and mean per day of each vehicle type."""
+    """Volume, share and mean per day of each vehicle type.
+
+    Total and days come from one subquery over the same (vehicle, day) grouping.
+    """
     fine = rows.groupBy("vehicle_type", tp.date_part(F.col("time")).alias("day")).agg(
         F.sum("traffic_volume").alias("v"))
-    days = fine.select(F.nullif("day", F.lit("")).alias("day")).distinct().agg(
-        F.greatest(F.count("day"), F.lit(1)).alias("n")).scalar()
-    per_vehicle = fine.groupBy("vehicle_type").agg(F.sum("v").alias("volume"))
-    return share_of(per_vehicle, "volume").withColumn("mean_per_day", F.col("volume") / days)
+    per_day = fine.groupBy(F.nullif("day", F.lit("")).alias("day")).agg(F.sum("v").alias("v"))
+    whole = per_day.agg(F.sum("v").alias("total"), F.count("day").alias("days")).select(
+        F.struct("total", "days")).scalar()
+    share = percent(F.col("volume"), whole.getField("total"))
+    return fine.groupBy("vehicle_type").agg(F.sum("v").alias("volume")).select(
+        "vehicle_type", "volume", share.alias("share"),
+        (F.col("volume") / F.greatest(whole.getField("days"), F.lit(1))).alias("mean_per_day"))
 
 
 def station_ranking(rows: DataFrame, groups_by_station: DataFrame, top: int = 12) -> DataFrame:
@@ -163,9 +172,10 @@ def any_of(values: Sequence[str] | str | None) -> list[str] | None:
     return kept or None
 
 
-def with_cap(rows: DataFrame, order: Sequence[Column], cap: int) -> DataFrame:
-    """The report cap: at most ``cap`` rows and whether the cap was reached."""
-    reached = F.col("_seen") >= cap
-    seen = rows.limit(cap).agg(F.count(F.lit(1)).alias("n")).scalar()
-    return (rows.orderBy(*order).limit(cap).withColumn("_seen", seen)
-            .withColumn("truncated", reached).drop("_seen"))
+def with_cap(rows: DataFrame, order: Sequence[str], cap: int) -> DataFrame:
+    """The report cap: the first ``cap`` rows and whether the cap was reached.
+
+    The kept rows are in one task already, so counting them there is free.
+    """
+    kept = rows.orderBy(*order).limit(cap)
+    return kept.withColumn("truncated", F.count(F.lit(1)).over(Window.partitionBy()) >= cap)

@@ -183,9 +183,9 @@ def day_coverage(days: DataFrame, column: str = "day") -> DataFrame:
 
 def inside_coverage(requests: DataFrame, covered: DataFrame) -> DataFrame:
     """Requests (``start_date``, ``end_date``) and whether they touch the covered days."""
-    low, high = covered.select("min_date").scalar(), covered.select("max_date").scalar()
-    return requests.withColumn("covered", (F.col("end_date") >= low)
-                               & (F.col("start_date") <= high))
+    days = covered.select(F.struct("min_date", "max_date")).scalar()
+    return requests.withColumn("covered", (F.col("end_date") >= days.getField("min_date"))
+                               & (F.col("start_date") <= days.getField("max_date")))
 
 
 def latest_state(log: DataFrame) -> DataFrame:

@@ -8,15 +8,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def percent(part: Column, total: Column) -> Column:
+    """Share in percent, one decimal, 0 for a zero total."""
+    return F.round(F.coalesce(part / F.nullif(total, F.lit(0)) * 100, F.lit(0.0)), 1)
+
+
 def share_of(grouped: DataFrame, column: str, share: str = "share") -> DataFrame:
-    """Percent of the column's total, one decimal, 0 for a zero total.
+    """Each row's share of the column's total.
 
     The total is a scalar subquery on the same grouping; its exchange is the one
     of the grouping itself, so the facts are read once.
     """
     total = grouped.agg(F.sum(column).alias("total")).scalar()
-    return grouped.withColumn(share, F.round(F.coalesce(
-        F.col(column) / F.nullif(total, F.lit(0)) * 100, F.lit(0.0)), 1))
+    return grouped.withColumn(share, percent(F.col(column), total))
 
 
 def numbered_top(grouped: DataFrame, order: Sequence[Column], top: int) -> DataFrame:

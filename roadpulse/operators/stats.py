@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions import timeparts as tp
-from roadpulse.operators.ranking import share_of
+from roadpulse.operators.ranking import percent, share_of
 from roadpulse.schemas import VEHICLE_ORDER, road_direction_label
 
 
@@ -46,8 +46,8 @@ def vehicle_share(fine: DataFrame) -> DataFrame:
     listed = sums.select("total", F.inline(F.array(*[
         F.struct(F.lit(str(code)).alias("vehicle_type"), F.col(f"v{code}").alias("volume"))
         for code in VEHICLE_ORDER])))
-    share = F.coalesce(F.col("volume") / F.nullif("total", F.lit(0)) * 100, F.lit(0.0))
-    return listed.select("vehicle_type", "volume", F.round(share, 1).alias("share"))
+    return listed.select("vehicle_type", "volume",
+                         percent(F.col("volume"), F.col("total")).alias("share"))
 
 
 def vehicle_share_ordered(fine: DataFrame) -> DataFrame:

@@ -131,6 +131,7 @@ def metrics(rows: DataFrame, span: tp.TimeRange) -> DataFrame:
     """One row: trips, mean per hour, peak bucket, main vehicle and its share."""
     fine = totals_by_time(rows, span)
     peak = peak_of(fine.groupBy("bucket").agg(F.sum("trip_count").alias("n")), "bucket", "n")
+    top = peak.select(F.struct("bucket", "n")).scalar()
     vehicles = totals_by_vehicle(rows).agg(
         F.sum("trip_count").alias("trips"),
         F.min_by("vehicle_type", F.struct(-F.col("trip_count"), F.col("vehicle_type")))
@@ -138,8 +139,7 @@ def metrics(rows: DataFrame, span: tp.TimeRange) -> DataFrame:
         F.max("trip_count").alias("main_trips"))
     return vehicles.select(
         "trips", (F.col("trips") / span.span_hours).alias("mean_per_hour"),
-        peak.select("bucket").scalar().alias("peak_time"),
-        peak.select("n").scalar().alias("peak_trips"),
+        top.getField("bucket").alias("peak_time"), top.getField("n").alias("peak_trips"),
         "main_vehicle", "main_trips",
         F.round(F.col("main_trips") / F.col("trips") * 100, 1).alias("main_share"))
 
