@@ -91,7 +91,7 @@ class Rolling:
             letters = mixed((np.arange(256, dtype=np.uint64) + np.uint64(1 + 1000 * seed)) * _ODD)
             values = letters[values]
         else:
-            values = mixed(values + np.uint64(seed) * _ODD)
+            values = mixed(values + np.uint64(seed * int(_ODD) & (1 << 64) - 1))
         self.sums = np.zeros(len(values) + 1, np.uint64)
         np.cumsum(values * power[:len(values)], out=self.sums[1:])
         self.inverse = inverse
