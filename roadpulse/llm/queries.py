@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadpulse.llm import bpe, quality, substrings, token_files, toxicity
+from roadpulse.llm import bpe, quality, substrings, suffixes, token_files, toxicity
 from roadpulse.session import fresh_dir
 
 QUERIES = {}
@@ -68,3 +68,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode(docs, vocabulary_path(), keep_ids=False) \
         .select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@registered
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.remove(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
