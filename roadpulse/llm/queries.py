@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadpulse.llm import bpe, quality, substrings, suffixes, token_files, toxicity
+from roadpulse.llm import bpe, quality, substrings, suffixes, token_files, toxicity, vectors
 from roadpulse.session import fresh_dir
 
 QUERIES = {}
@@ -75,3 +75,26 @@ def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffixes.remove(docs).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@registered
+def op7_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))         .select("vec_id", "n_links", "component_id", "kept")
+
+
+SQL["op7_vectors"] = """
+    WITH RECURSIVE good AS (
+      SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS (
+      SELECT x.vec_id AS a, y.vec_id AS b FROM good x JOIN good y
+        ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+      WHERE list_cosine_similarity(x.v, y.v) >= 0.98),
+    reach(a, b) AS (
+      SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+    least AS (SELECT a, min(b) AS c FROM reach GROUP BY a),
+    counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+    SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, c AS component_id, e.vec_id = c AS kept
+    FROM embeddings e JOIN least ON least.a = e.vec_id LEFT JOIN counted ON counted.a = e.vec_id"""
