@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadpulse.llm import bpe, quality, substrings, suffixes, token_files, toxicity, vectors
+from roadpulse.llm import bpe, order_minhash, quality, substrings, suffixes, token_files, toxicity, vectors
 from roadpulse.session import fresh_dir
 
 QUERIES = {}
@@ -48,6 +48,12 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", held, "score", "predicted")
 
 
+@registered
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return order_minhash.near_duplicates(docs).select("doc_id", "class_id", "n_copies", "kept")
+
+
 @registered
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
