@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadpulse.llm import bpe, order_minhash, quality, substrings, suffixes, token_files, toxicity, vectors
+from roadpulse.llm import bpe, order_minhash, quality, substrings, suffixes, templates, token_files, toxicity, vectors
 from roadpulse.session import fresh_dir
 
 QUERIES = {}
@@ -88,6 +88,11 @@ def op7_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))         .select("vec_id", "n_links", "component_id", "kept")
 
 
+@registered
+def op10_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 SQL["op7_vectors"] = """
     WITH RECURSIVE good AS (
       SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
