@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadpulse.llm import bpe, toxicity
+from roadpulse.llm import bpe, order_minhash, suffixes, templates, toxicity
 from roadpulse.llm.queries import table, vocabulary_path
 from roadpulse.session import fresh_dir
 
@@ -18,13 +18,30 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).where("predicted = 0").select(docs.columns)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, that of the least id."""
+    return order_minhash.keep_one(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings that stand in an earlier document go; every document stays, maybe shorter."""
+    return suffixes.remove(docs).withColumn("n_chars", F.length("text").cast("long")) \
+        .select(docs.columns)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a question of the benchmark go."""
+    return templates.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the text they decode to."""
     return bpe.encode(docs.select("doc_id", "text"), vocabulary_path(), keep_ids=False) \
         .select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
-STAGES = [("toxicity", drop_toxic), ("tokenize", tokenize)]
+STAGES = [("toxicity", drop_toxic), ("near_copies", drop_near_copies),
+          ("repeats", cut_repeats), ("decontamination", drop_leaks), ("bpe", tokenize)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

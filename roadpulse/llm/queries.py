@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadpulse.llm import bpe, order_minhash, quality, substrings, suffixes, templates, token_files, toxicity, vectors
+from roadpulse.llm import (bpe, brown, order_minhash, quality, substrings, suffixes, templates,
+                           token_files, toxicity, vectors)
 from roadpulse.session import fresh_dir
 
 QUERIES = {}
@@ -62,6 +63,14 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@registered
+def op5_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = brown.score(docs, remainder(7) != 2)
+    held = F.coalesce(remainder(7) == 2, F.lit(False)).alias("held_out")
+    return rows.select("doc_id", held, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @registered
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
