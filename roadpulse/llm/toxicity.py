@@ -27,6 +27,8 @@ SIZES = (5, 6, 7)
 LEVELS = np.array([1, 2, 3, 5])
 MAX_TRAIN = 9000
 MAX_FEATURES = 4000
+#: A feature counts if its class counts lie this many standard deviations from chance.
+LEAST_SHIFT = 4.5
 
 
 @dataclass
@@ -102,7 +104,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_train: int
     expected = rate * n_pos
     shift = F.abs(F.col("pos") - expected) / F.sqrt(expected * (1 - rate) + 0.5)
     top = counts.where(F.col("pos") + F.col("neg") >= 8).select(
-        "bucket", ratio.alias("r"), shift.alias("shift")) \
+        "bucket", ratio.alias("r"), shift.alias("shift")).where(F.col("shift") >= LEAST_SHIFT) \
         .orderBy(F.desc("shift"), "bucket").limit(max_features).toPandas().sort_values("bucket")
     buckets, r = top["bucket"].to_numpy(np.int64), top["r"].to_numpy(float)
     shared = sample.sparkSession.sparkContext.broadcast(buckets)
