@@ -190,7 +190,12 @@ def word_lists(array: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
     lists = pc.ascii_split_whitespace(array)
     cuts = lists.offsets.to_numpy()
     coded = lists.values.slice(cuts[0], cuts[-1] - cuts[0]).dictionary_encode()
-    return coded.indices.to_numpy(), coded.dictionary.to_pylist(), cuts - cuts[0]
+    index, distinct, cuts = coded.indices.to_numpy(), coded.dictionary.to_pylist(), cuts - cuts[0]
+    if "" in distinct:
+        # White space at the ends of a text, and an empty text, split into empty words.
+        real = index != distinct.index("")
+        index, cuts = index[real], np.append(0, np.cumsum(real))[cuts]
+    return index, distinct, cuts
 
 
 def gather(lists_flat: np.ndarray, lists_cut: np.ndarray, index: np.ndarray,

@@ -153,9 +153,10 @@ def score(docs: DataFrame, training: Column, classes: int = CLASSES, head: int =
     vocab = cut_lineage(word_counts(learned).where("n > 0"))
     row = vocab.agg(F.sum("n"), F.count("*")).first()
     tokens, types = row[0] or 0, row[1]
-    top = vocab.where(F.col("word") != END).orderBy(F.desc("n"), "word").limit(head).toArrow()
+    top = vocab.where(F.col("word") != END).orderBy(F.desc("n"), "word").limit(max(head, FREQUENT)).toArrow()
+    number = {w: k for k, w in enumerate(top["word"].slice(0, FREQUENT).to_pylist())}
+    top = top.slice(0, head)
     head_words, head_counts = top["word"].combine_chunks(), top["n"].to_numpy()
-    number = {w: k for k, w in enumerate(head_words.slice(0, FREQUENT).to_pylist())}
     ends = vocab.where(F.col("word") == END).first()
     end_count = ends["n"] if ends else 0
     names = spark.sparkContext.broadcast(number)

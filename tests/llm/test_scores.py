@@ -91,13 +91,26 @@ def test_class_model_without_training_or_rows(spark):
     assert brown.score(frame(spark, []), F.lit(True), classes=4).count() == 0
 
 
-def test_exchange_finds_alternating_classes():
-    counts = np.zeros((9, 9))
-    for a in range(4):
-        for b in range(4, 8):
-            counts[a, b] = counts[b, a] = 5 + (a * b) % 3
-    of = brown.exchange(counts, classes=3, end=8)
-    assert len(set(of[:4])) == 1 and len(set(of[4:8])) == 1 and of[0] != of[4] and of[8] == 2
+def likelihood(counts, of, classes):
+    member = np.eye(classes)[of]
+    table = member.T @ counts @ member
+    return sum((x[x > 0] * np.log(x[x > 0])).sum() * sign for x, sign in
+               ((table, 1), (table.sum(axis=0), -1), (table.sum(axis=1), -1)))
+
+
+def test_exchange_ends_where_no_move_helps():
+    rng = np.random.default_rng(6)
+    counts = rng.integers(0, 4, (14, 14)).astype(float)
+    counts[:6, 6:12] += rng.integers(5, 20, (6, 6))
+    counts[6:12, :6] += rng.integers(5, 20, (6, 6))
+    of = brown.exchange(counts, classes=4, rounds=50, end=13)
+    assert of[13] == 3 and (of[:13] < 3).all()
+    reached = likelihood(counts, of, 4)
+    for w in range(13):
+        for k in range(3):
+            moved = of.copy()
+            moved[w] = k
+            assert likelihood(counts, moved, 4) <= reached + 1e-6
 
 
 def test_probabilities_sum_to_one(spark):
