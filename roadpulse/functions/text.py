@@ -27,6 +27,23 @@ def duration_minutes(text: Column) -> Column:
             .when(part[0].isNotNull(), part[0] + part[1] / 60))
 
 
+def first_minutes(df: DataFrame, names: Sequence[str]) -> Column:
+    """Minutes in the first non-blank of those of ``names`` that ``df`` has.
+
+    A number is taken as it is, if finite; text is read as :func:`duration_minutes` does.
+    """
+    types, options = dict(df.dtypes), []
+    for name in [name for name in names if name in types]:
+        column = F.col(name)
+        number = types[name].startswith(("int", "bigint", "smallint", "tinyint", "float", "double",
+                                         "decimal"))
+        value = (F.when(F.abs(column) < float("inf"), column.cast("double")) if number
+                 else duration_minutes(column))
+        filled = F.nullif(column.cast("string"), F.lit("")).isNotNull()
+        options.append(F.when(filled, F.struct(value.alias("minutes"))))
+    return F.coalesce(*options)["minutes"] if options else F.lit(None).cast("double")
+
+
 def first_filled(df: DataFrame, names: Sequence[str]) -> Column:
     """First non-blank text among those of ``names`` that ``df`` has; blank if none."""
     present = [name for name in names if name in df.columns]

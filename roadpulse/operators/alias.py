@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.session import LITERAL_LIMIT, collect_bounded, cut_lineage
+from roadpulse.session import cut_lineage
 
 
 def links(dimension: DataFrame) -> DataFrame:
@@ -17,7 +17,7 @@ def links(dimension: DataFrame) -> DataFrame:
             .filter((F.col("id") != "") & (F.col("other") != "")))
 
 
-def components(pairs: DataFrame, max_rounds: int = 100) -> DataFrame:
+def components(pairs: DataFrame) -> DataFrame:
     """Connected components ``(id, component)``; ``component`` is the smallest id.
 
     Each round lowers a label to the smallest label next to it and then to that
@@ -30,7 +30,7 @@ def components(pairs: DataFrame, max_rounds: int = 100) -> DataFrame:
     both = cut_lineage(both.filter(F.col("id") != F.col("other")).distinct())
     label = both.groupBy("id").agg(F.min("other").alias("near")).select(
         "id", F.least("id", "near").alias("component"))
-    for _ in range(max_rounds):
+    while True:
         near = (both.join(label.select(F.col("id").alias("other"), "component"), "other")
                 .groupBy("id").agg(F.min("component").alias("near")))
         lowered = label.join(near, "id").select(
@@ -42,7 +42,6 @@ def components(pairs: DataFrame, max_rounds: int = 100) -> DataFrame:
         label = moved.select("id", "component")
         if moved.filter("before <> component").isEmpty():
             return label
-    raise RuntimeError(f"no fixpoint after {max_rounds} rounds")
 
 
 def alias_table(dimension: DataFrame) -> DataFrame:
@@ -62,82 +61,56 @@ def alias_table(dimension: DataFrame) -> DataFrame:
                        .select("id", "component", "canonical", "members"))
 
 
-def known_groups(alias: DataFrame, ids: Sequence[str]) -> dict[str, list[str]] | None:
-    """Members of the alias group of each asked id that has one, in order.
-
-    ``None`` if that is more than may travel as literals, see :func:`expansion`.
-    """
-    if len(set(ids)) > LITERAL_LIMIT:
-        return None
-    asked = alias.filter(F.col("id").isin(list(ids))).select("component")
-    rows = collect_bounded(alias.join(asked, "component", "left_semi").select("component", "id"))
-    if rows is None:
-        return None
-    members: dict[str, list[str]] = {}
-    for row in rows:
-        members.setdefault(row["component"], []).append(row["id"])
-    return {station: sorted(group) for group in members.values() for station in group}
-
-
-def expand(ids: Sequence[str], groups: dict[str, list[str]]) -> list[tuple[str, str]]:
-    """``(id, asked)`` of the asked ids and their aliases, in request order.
-
-    An id that was asked for itself stays attributed to itself; an alias belongs
-    to the last asked id of its group.
-    """
-    owner = {groups[station][0]: station for station in ids if station in groups}
-    found: dict[str, str] = {}
-    for station in ids:
-        for member in groups.get(station, [station]):
-            found.setdefault(member, member if member in ids else owner[groups[station][0]])
-    return list(found.items())
+def asked_ids(alias_or_rows: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """A request's ids as rows ``(position, asked)``."""
+    return alias_or_rows.sparkSession.createDataFrame(
+        list(enumerate(ids)), "position int, asked string")
 
 
 def expansion(alias: DataFrame, asked: DataFrame) -> DataFrame:
-    """The same for any number of asked ids, given as ``(asked, position)``: ``(id, asked)``."""
-    found = asked.join(alias, asked["asked"] == alias["id"]).select(
-        "asked", "position", "component")
-    others = (alias.join(found, "component").select("id", "asked", "position")
-              .join(asked.select(F.col("asked").alias("id")), "id", "left_anti")
-              .groupBy("id").agg(F.max_by("asked", "position").alias("asked")))
-    return asked.select(F.col("asked").alias("id"), "asked").distinct().unionByName(others)
+    """``(id, asked, position)`` of the asked ids and their aliases, for any number of them.
+
+    An id that was asked for itself stays attributed to itself; an alias belongs to
+    the last asked id of its group. Each group is one row before it spreads to its
+    members, so the work grows with members plus asked ids.
+    """
+    own = asked.groupBy("asked").agg(F.max("position").alias("position"))
+    last = (own.join(alias, own["asked"] == alias["id"]).groupBy("component")
+            .agg(F.max_by("asked", "position").alias("asked"), F.max("position").alias("position")))
+    others = (alias.join(last, "component").select("id", "asked", "position")
+              .join(own.select(F.col("asked").alias("id")), "id", "left_anti"))
+    return own.select(F.col("asked").alias("id"), "asked", "position").unionByName(others)
 
 
-def keep_stations(df: DataFrame, ids: Sequence[str] | None, column: str = "GantryID") -> DataFrame:
-    """Rows of the listed stations; no list means all.
+def request_ids(alias: DataFrame | None, ids: Sequence[str]) -> list[tuple[str, str]]:
+    """``(id, asked)`` of a request in its order, an asked id before its aliases.
 
-    A short list is a literal that reaches the Parquet scan, a long one a semi join.
+    They come to the driver: the request is there already, and its aliases are no
+    more than the station dimension holds.
     """
-    if not ids:
-        return df
-    if len(ids) <= LITERAL_LIMIT:
-        return df.filter(F.col(column).isin(list(ids)))
-    wanted = df.sparkSession.createDataFrame([(i,) for i in set(ids)], f"{column} string")
-    return df.join(wanted, column, "left_semi")
+    if alias is None:
+        return [(station, station) for station in dict.fromkeys(ids)]
+    found = expansion(alias, asked_ids(alias, ids))
+    return [(row["id"], row["asked"]) for row in found.orderBy(
+        "position", F.col("id") != F.col("asked"), "id").collect()]
 
 
 def attribute(df: DataFrame, alias: DataFrame | None, ids: Sequence[str],
               column: str = "GantryID") -> DataFrame:
-    """Rows of the asked stations and their aliases, alias ids rewritten to the asked id."""
-    if alias is None:
-        return keep_stations(df, ids, column)
-    groups = known_groups(alias, ids)
-    if groups is None:
-        asked = df.sparkSession.createDataFrame(
-            list(enumerate(dict.fromkeys(ids))), "position int, asked string")
-        named = expansion(alias, asked).withColumnRenamed("id", column)
-        return df.join(named, column).withColumn(column, F.col("asked")).drop("asked")
-    few = expand(ids, groups)
-    rewritten = {station: asked for station, asked in few if station != asked}
-    kept = keep_stations(df, [station for station, _ in few], column)
-    return kept.na.replace(rewritten, subset=[column]) if rewritten else kept
+    """Rows of the asked stations and their aliases, alias ids rewritten to the asked id.
+
+    The ids are a filter that reaches the Parquet scan; new names are joined.
+    """
+    found = request_ids(alias, ids)
+    kept = df.filter(F.col(column).isin([station for station, _ in found]))
+    renamed = [(station, asked) for station, asked in found if station != asked]
+    if not renamed:
+        return kept
+    names = df.sparkSession.createDataFrame(renamed, f"{column} string, asked string")
+    return kept.join(names, column, "left").withColumn(
+        column, F.coalesce("asked", column)).drop("asked").select(*df.columns)
 
 
 def expanded_ids(alias: DataFrame | None, *lists: Sequence[str]) -> list[list[str]]:
-    """Each list of asked ids with their aliases, for path patterns need literals."""
-    if alias is None:
-        return [list(ids) for ids in lists]
-    groups = known_groups(alias, [station for ids in lists for station in ids])
-    if groups is None:
-        raise ValueError(f"a path query takes at most {LITERAL_LIMIT} stations")
-    return [[station for station, _ in expand(ids, groups)] for ids in lists]
+    """Each list of asked ids with their aliases, in request order, for path patterns."""
+    return [[station for station, _ in request_ids(alias, ids)] for ids in lists]

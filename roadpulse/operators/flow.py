@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions import timeparts as tp
@@ -156,12 +156,11 @@ def station_ranking(rows: DataFrame, groups_by_station: DataFrame, top: int = 12
     return numbered_top(share_of(ranked, "volume"), [F.desc("volume"), F.asc("key")], top)
 
 
-def trend(rows: DataFrame, span: tp.TimeRange, top: int | None = None) -> DataFrame:
-    """Volume per trend bucket of the span, earliest first if cut to ``top`` rows."""
-    per_bucket = rows.groupBy(
+def trend(rows: DataFrame, span: tp.TimeRange) -> DataFrame:
+    """Volume per trend bucket of the span."""
+    return rows.groupBy(
         tp.trend_bucket(F.col("time"), span.span_days).alias("bucket")).agg(
         F.sum("traffic_volume").alias("volume"))
-    return per_bucket if top is None else per_bucket.orderBy("bucket").limit(top)
 
 
 def any_of(values: Sequence[str] | str | None) -> list[str] | None:
@@ -170,12 +169,3 @@ def any_of(values: Sequence[str] | str | None) -> list[str] | None:
         values = [] if values.strip().lower() == "all" else values.split(",")
     kept = [str(value).strip() for value in values or [] if str(value).strip()]
     return kept or None
-
-
-def with_cap(rows: DataFrame, order: Sequence[str], cap: int) -> DataFrame:
-    """The report cap: the first ``cap`` rows and whether the cap was reached.
-
-    The kept rows are in one task already, so counting them there is free.
-    """
-    kept = rows.orderBy(*order).limit(cap)
-    return kept.withColumn("truncated", F.count(F.lit(1)).over(Window.partitionBy()) >= cap)

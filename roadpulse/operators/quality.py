@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,12 +13,10 @@ from roadpulse.functions.paths import computed_once
 from roadpulse.schemas import FILE_NAME, MINUTES_PER_FILE, files_per_day
 
 # Seconds between two source requests, age at which the source
-# keeps whole-day archives only, files of one backfill run, bytes of a lake file.
+# keeps whole-day archives only, bytes of a lake file.
 SECONDS_PER_FETCH = 45
 ARCHIVE_AGE_DAYS = 35
-BACKFILL_BUDGET = 480
 TARGET_FILE_BYTES = 128 * 1024 * 1024
-MAX_FILES = 64
 
 
 def parsed_names(listing: DataFrame, column: str = "path") -> DataFrame:
@@ -71,12 +71,18 @@ def completeness(files: DataFrame, days: DataFrame) -> DataFrame:
         .alias("state"))
 
 
-def backfill_plan(missing: DataFrame, budget: int = BACKFILL_BUDGET) -> DataFrame:
-    """What one run fetches: trips before detections, newest day first, by name, up to a budget."""
-    return missing.orderBy(F.desc("dtype"), F.desc("day"), "name").limit(budget)
+def backfill_plan(missing: DataFrame, budget: int) -> DataFrame:
+    """All missing files, and whether the next run of ``budget`` fetches takes them.
 
+    Trips go before detections, newest day first, by name.
+    """
+    taken = missing.orderBy(F.desc("dtype"), F.desc("day"), "name").limit(budget).select(
+        "name", F.lit(True).alias("taken"))
+    return missing.join(taken, "name", "left").select(
+        "dtype", "day", "name", F.coalesce("taken", F.lit(False)).alias("this_run"))
 
-def backfill_totals(missing: DataFrame, budget: int = BACKFILL_BUDGET) -> DataFrame:
+
+def backfill_totals(missing: DataFrame, budget: int) -> DataFrame:
     """Missing days and files, hours to fetch them, files left for the next run."""
     per_day = missing.groupBy("dtype", "day").agg(F.count(F.lit(1)).alias("n"))
     return per_day.agg(
@@ -229,22 +235,24 @@ def ready_days(complete: DataFrame, published: DataFrame, dtype: str = "M03A") -
 
 
 def count_check(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    """Row counts of source and target per partition: OK or MISMATCH."""
+    """Row counts of source and target per partition, null keys too: OK or MISMATCH."""
     a = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("src"))
     b = target.groupBy(*keys).agg(F.count(F.lit(1)).alias("dst"))
     numbers = {c: F.coalesce(c, F.lit(0)) for c in ("src", "dst")}
-    return a.join(b, keys, "full").withColumns(numbers).select(
+    for key in keys:
+        b = b.withColumnRenamed(key, f"{key}_there")
+    same = reduce(and_, [F.col(key).eqNullSafe(F.col(f"{key}_there")) for key in keys])
+    there = {key: F.coalesce(key, f"{key}_there") for key in keys}
+    return a.join(b, same, "full").withColumns({**numbers, **there}).select(
         *keys, F.col("src").alias("src_count"), F.col("dst").alias("dst_count"),
         F.when(F.col("src") == F.col("dst"), "OK").otherwise("MISMATCH").alias("status"))
 
 
-def file_plan(files: DataFrame, target_bytes: int = TARGET_FILE_BYTES,
-              max_files: int = MAX_FILES) -> DataFrame:
-    """Files a month should be rewritten to: its bytes over the target size, 1 to ``max_files``."""
+def file_plan(files: DataFrame, target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
+    """Files a month should be rewritten to: its bytes over the target size, at least one."""
     sized = files.groupBy("year", "month").agg(F.sum("length").alias("bytes"),
                                                F.count(F.lit(1)).alias("files"))
-    wanted = F.greatest(F.lit(1), F.least(F.lit(max_files),
-                                          F.bround(F.col("bytes") / target_bytes)))
+    wanted = F.greatest(F.lit(1), F.bround(F.col("bytes") / target_bytes))
     return sized.withColumn("target_files", wanted.cast("int"))
 
 

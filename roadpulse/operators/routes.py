@@ -26,17 +26,19 @@ def route_points(routes: DataFrame, groups_by_station: DataFrame) -> DataFrame:
 def drawn_route(pairs: DataFrame, groups: DataFrame, groups_by_station: DataFrame) -> DataFrame:
     """Points to draw for requested pairs (``start_id``, ``end_id``, observed ``route`` or null).
 
-    The observed path if it has two points, else the corridor if it has two,
-    else the two ends.
+    Nothing if an end has no coordinates. Else the observed path if it has two points,
+    else the corridor if it has two, else the two ends.
     """
     keys = ["start_id", "end_id"]
+    spot = groups.filter(F.col("lat").isNotNull() & F.col("lng").isNotNull()).select(
+        F.col("group_id").alias("end_of"), "lat", "lng")
+    for key in keys:
+        pairs = pairs.join(spot.select(F.col("end_of").alias(key)), key, "left_semi")
     observed = (pairs.filter(F.col("route").isNotNull())
                 .join(route_points(pairs.select("route").filter("route is not null").distinct(),
                                    groups_by_station), "route")
                 .select(*keys, "step", "lat", "lng", F.lit(1).alias("choice")))
     along = corridor(groups, pairs).select(*keys, "step", "lat", "lng", F.lit(2).alias("choice"))
-    spot = groups.filter(F.col("lat").isNotNull() & F.col("lng").isNotNull()).select(
-        F.col("group_id").alias("end_of"), "lat", "lng")
     ends = (pairs.select(*keys, F.posexplode(F.array(*keys)).alias("at", "end_of"))
             .join(spot, "end_of")
             .select(*keys, (F.col("at") + 1).alias("step"), "lat", "lng",

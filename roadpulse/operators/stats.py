@@ -59,7 +59,8 @@ def section_volume(stations: DataFrame, sections: DataFrame) -> DataFrame:
     """Volume per road section out of volumes by ``GantryID`` and ``Direction``.
 
     ``sections`` is a station lookup, with aliases resolved if stations were
-    renumbered. A station without a section stands for itself as ``RAW_<id>``.
+    renumbered. A station without a section stands for itself as ``RAW_<id>``, once
+    whatever directions its rows have.
     """
     per_station = stations.groupBy("GantryID", "Direction").agg(F.sum("volume").alias("volume"))
     lookup = sections.select(F.col("station").alias("GantryID"), F.struct(
@@ -69,11 +70,13 @@ def section_volume(stations: DataFrame, sections: DataFrame) -> DataFrame:
     own = F.when(F.col("Direction") == "S", "S").otherwise("N")
     return per_station.join(lookup, "GantryID", "left").groupBy(
         F.coalesce(found["group_id"], F.concat(F.lit("RAW_"), "GantryID")).alias("group_id"),
-        F.coalesce(found["current_gantry_id"], "GantryID").alias("gantry_id"),
-        F.coalesce(found["name"], "GantryID").alias("name"),
-        F.coalesce(found["group_direction"], own).alias("direction"),
-        F.coalesce(found["direction_label"], road_direction_label(own)).alias("direction_label"),
-    ).agg(F.sum("volume").alias("volume"))
+    ).agg(
+        F.min(F.coalesce(found["current_gantry_id"], "GantryID")).alias("gantry_id"),
+        F.min(F.coalesce(found["name"], "GantryID")).alias("name"),
+        F.min(F.coalesce(found["group_direction"], own)).alias("direction"),
+        F.min_by(F.coalesce(found["direction_label"], road_direction_label(own)),
+                 F.coalesce(found["group_direction"], own)).alias("direction_label"),
+        F.sum("volume").alias("volume"))
 
 
 def road_ranking(stations: DataFrame, sections: DataFrame, top: int = 10) -> DataFrame:

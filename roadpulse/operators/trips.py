@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions import paths
 from roadpulse.functions import timeparts as tp
-from roadpulse.functions.text import duration_minutes, first_filled, number_value
+from roadpulse.functions.text import first_filled, first_minutes, number_value
 from roadpulse.operators.flow import page
 from roadpulse.operators.ranking import peak_of
 from roadpulse.schemas import VEHICLE_ORDER
@@ -154,14 +154,8 @@ def route_counts(trips: DataFrame, starts: Sequence[str], ends: Sequence[str]) -
             .groupBy("route").agg(F.count(F.lit(1)).alias("trips")))
 
 
-def modal_route(trips: DataFrame, starts: Sequence[str], ends: Sequence[str],
-                sample: int | None = None) -> DataFrame:
-    """The most driven station sequence over all matching trips, smallest on ties.
-
-    ``sample`` looks at that many matching trips only, as a quick map display does.
-    """
-    if sample is not None:
-        trips = passing(trips, starts, ends).limit(sample)
+def modal_route(trips: DataFrame, starts: Sequence[str], ends: Sequence[str]) -> DataFrame:
+    """The most driven station sequence over all matching trips, smallest on ties."""
     return route_counts(trips, starts, ends).orderBy(F.desc("trips"), "route").limit(1)
 
 
@@ -173,12 +167,6 @@ def trip_legs(trips: DataFrame) -> DataFrame:
         F.col("col.station").alias("station"))
 
 
-def peek(trips: DataFrame, rows: int = 2, width: int = 120) -> DataFrame:
-    """A glance at the first rows, the path shortened for display."""
-    return trips.withColumn("TripInformation",
-                            F.substring("TripInformation", 1, width)).limit(rows)
-
-
 def looks_like_trips(df: DataFrame) -> bool:
     """Whether some column belongs to a trip, by name."""
     names = [name.lower() for name in df.columns]
@@ -206,7 +194,7 @@ def normalized(df: DataFrame, start: str = "", end: str = "", vehicle: str = "")
         or_asked(TRIP_VEHICLE_NAMES, vehicle).alias("vehicle_type"),
         F.when(count == "", 1.0).otherwise(F.greatest(number_value(count), F.lit(0.0)))
         .alias("trip_count"),
-        F.coalesce(duration_minutes(first_filled(df, MINUTE_NAMES)),
+        F.coalesce(first_minutes(df, MINUTE_NAMES),
                    F.when(seconds != "", number_value(seconds) / 60),
                    F.when(between >= 0, between)).alias("travel_minutes"),
     ).filter("trip_count > 0")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,65 +11,76 @@ from pyspark.sql import functions as F
 from roadpulse.functions.timeparts import TimeRange, day_of, day_spine
 from roadpulse.operators import quality
 from roadpulse.schemas import FACTS
-from roadpulse.session import cut_lineage
 from roadpulse.sources import lake, landing
 
 
-def landed_rows(spark: SparkSession, landing_root: str, dtype: str) -> DataFrame:
-    """CSV rows of one type with the day and filing month in their file name.
+def landed_rows(spark: SparkSession, landing_root: str, dtype: str,
+                stamps: Sequence[str]) -> DataFrame:
+    """CSV rows of one type, of the files whose name has one of ``stamps`` (``yyyyMMdd`` or
+    ``yyyyMM``), with the day and filing month in the file name; other files are not opened.
 
     The month a row is filed under is that of its file, which need not be that
     of its own time.
     """
+    some = ",".join(stamp + "[0-9]" * (8 - len(stamp)) for stamp in stamps)
     raw = (spark.read.schema(FACTS[dtype]).option("mode", "PERMISSIVE")
            .option("recursiveFileLookup", "true")
-           .option("pathGlobFilter", f"TDCS_{dtype}_{'[0-9]' * 8}_*.csv").csv(landing_root))
+           .option("pathGlobFilter", f"TDCS_{dtype}_{{{some}}}_*.csv").csv(landing_root))
     stamp = F.substring(F.col("_metadata.file_name"), 11, 8)
     year, month = F.substring(stamp, 1, 4), F.substring(stamp, 5, 2)
     day = F.concat_ws("-", year, month, F.substring(stamp, 7, 2)).try_cast("date")
     return raw.withColumns({"year": year, "month": month, "file_day": day})
 
 
-def months_of_days(days: DataFrame) -> DataFrame:
-    return days.select(F.date_format("day", "yyyy").alias("year"),
-                       F.date_format("day", "MM").alias("month")).distinct()
-
-
 def convert_days(spark: SparkSession, landing_root: str, lake_root: str, first: date, last: date,
                  force: bool = False) -> DataFrame:
-    """Detections: publish the months that have a day complete and not in the lake yet.
+    """Detections: add the complete days of a range that the lake does not hold yet.
 
-    Such a month is written as a whole out of its complete days and those it
-    already holds, so no day is stored twice. With ``force`` incomplete days go
-    too. Returns the count check per month.
+    Only files of those days are read. Their months are published as what the lake
+    holds of them plus the new days, so a day whose files have left the landing
+    folder stays. With ``force`` every landed day of the range is taken again,
+    incomplete ones too, in place of its stored rows. Returns the count check per month.
     """
     span = TimeRange.days(first.isoformat(), last.isoformat())
     files = quality.landed(landing.listing(spark, landing_root))
-    state = cut_lineage(quality.completeness(files, day_spine(spark, first, last))
-                        .filter("dtype = 'M03A'"))
-    time = F.col("TimeInterval")
-    stored = cut_lineage(lake.scan(spark, lake_root, "M03A", span).select(
-        day_of(time).try_cast("date").alias("day")).distinct())
-    usable = state.filter("files > 0" if force else "state = 'COMPLETE'").select("day")
-    months = months_of_days(usable if force else usable.join(stored, "day", "left_anti"))
-    wanted = usable.union(stored).distinct().withColumnRenamed("day", "file_day")
-    rows = (landed_rows(spark, landing_root, "M03A").join(months, lake.MONTH_KEYS, "left_semi")
-            .join(wanted, "file_day", "left_semi"))
-    return lake.publish(rows, "M03A", lake_root)
+    state = quality.completeness(files, day_spine(spark, first, last))
+    stored = lake.scan(spark, lake_root, "M03A", span)
+    own_day = day_of(F.col("TimeInterval")).try_cast("date")
+    if force:
+        days = state.filter("dtype = 'M03A' and files > 0").select("day")
+    else:
+        days = quality.ready_days(state, stored.select(own_day.alias("day")).distinct())
+    chosen = sorted(row["day"] for row in days.select("day").collect())
+    if not chosen:
+        return lake.no_check(spark)
+    fresh = landed_rows(spark, landing_root, "M03A", [f"{day:%Y%m%d}" for day in chosen])
+    months = sorted({(f"{day:%Y}", f"{day:%m}") for day in chosen})
+    kept = lake.months(lake.tree(spark, lake_root, "M03A"), months)
+    if force:
+        kept = kept.filter(~F.coalesce(own_day.isin(chosen), F.lit(False)))
+    names = lake.lake_schema("M03A").names
+    return lake.publish(kept.select(*names).unionByName(fresh.select(*names)), "M03A", lake_root)
 
 
 def convert_months(spark: SparkSession, landing_root: str, lake_root: str,
                    manifest: str) -> DataFrame:
-    """Trips: publish again every month whose landed file count changed, and stamp it."""
+    """Trips: publish again every month whose landed file count changed, and stamp it.
+
+    Only files of those months are read.
+    """
     files = quality.landed(landing.listing(spark, landing_root)).filter("dtype = 'M06A'")
     raw_files = files.withColumns({"year": F.date_format("day", "yyyy"),
                                    "month": F.date_format("day", "MM")})
     stored = landing.listed_partitions(landing.listing(spark, lake_root)).filter(
         "month is not null").select(F.lit("M06A").alias("dtype"), "year", "month").distinct()
-    stale = cut_lineage(quality.stale_months(raw_files, lake.stamps(spark, manifest), stored))
-    rows = landed_rows(spark, landing_root, "M06A").join(
-        stale.select(*lake.MONTH_KEYS), lake.MONTH_KEYS, "left_semi")
+    stale = quality.stale_months(raw_files, lake.stamps(spark, manifest), stored).collect()
+    if not stale:
+        return lake.no_check(spark)
+    rows = landed_rows(spark, landing_root, "M06A", [r["year"] + r["month"] for r in stale])
     check = lake.publish(rows, "M06A", lake_root)
-    lake.stamp(stale.join(check.filter("status = 'OK'"), lake.MONTH_KEYS).select(
-        "dtype", *lake.MONTH_KEYS, F.col("raw_files").alias("raw_count")), manifest)
+    counts = spark.createDataFrame(
+        [(r["dtype"], r["year"], r["month"], r["raw_files"]) for r in stale],
+        "dtype string, year string, month string, raw_count bigint")
+    lake.stamp(counts.join(check.filter("status = 'OK'"), lake.MONTH_KEYS).select(counts.columns),
+               manifest)
     return check

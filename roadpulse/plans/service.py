@@ -11,13 +11,8 @@ from pyspark.sql import functions as F
 from roadpulse.functions.timeparts import TimeRange, parse_day
 from roadpulse.operators import flow, quality, stats, trips
 from roadpulse.operators.alias import expanded_ids
-from roadpulse.schemas import MAX_SPAN_DAYS
 from roadpulse.sources import lake, landing
 
-# Row limits of the answers.
-MAX_PAGE = 100_000
-MAX_ROWS = 200_000
-
 
 @dataclass
 class TrafficData:
@@ -35,6 +30,14 @@ class TrafficData:
     def trips(self, span: TimeRange) -> DataFrame:
         return lake.scan(self.spark, self.trips_root, "M06A", span)
 
+    def known_sections(self) -> DataFrame:
+        """The section lookup; without one it is empty and stations stand for themselves."""
+        if self.sections is not None:
+            return self.sections
+        return self.spark.createDataFrame(
+            [], "station string, group_id string, current_gantry_id string, name string, "
+                "group_direction string, direction_label string")
+
     def coverage(self, dtype: str) -> DataFrame:
         """First and last day of a fact from its file listing, no data read."""
         root = self.detections_root if dtype == "M03A" else self.trips_root
@@ -44,15 +47,14 @@ class TrafficData:
 
 @dataclass
 class Answer:
-    """Rows of a query with their cap flag, and the modal route of an OD query."""
+    """All rows of a query, and the modal route of an OD query; callers limit what they show."""
 
     rows: DataFrame
     route: DataFrame | None = None
 
 
-def asked_range(payload: dict, dataset: str | None = None) -> TimeRange:
-    return TimeRange.of(payload["start_time"], payload["end_time"]).check(
-        MAX_SPAN_DAYS.get(dataset))
+def asked_range(payload: dict, max_days: int | None = None) -> TimeRange:
+    return TimeRange.of(payload["start_time"], payload["end_time"]).check(max_days)
 
 
 def asked_vehicle(payload: dict) -> int | None:
@@ -60,22 +62,21 @@ def asked_vehicle(payload: dict) -> int | None:
     return int(text) if text else None
 
 
-def query(data: TrafficData, payload: dict) -> Answer:
-    """A flow (``M03A``) or OD (``M06A``) request."""
+def query(data: TrafficData, payload: dict, max_days: int | None = None) -> Answer:
+    """A flow (``M03A``) or OD (``M06A``) request; ``max_days`` refuses longer spans."""
     dataset = payload.get("dataset")
     if dataset == "M03A":
-        return Answer(flow_query(data, payload))
+        return Answer(flow_query(data, payload, max_days))
     if dataset == "M06A":
-        return od_query(data, payload)
+        return od_query(data, payload, max_days)
     raise ValueError("dataset must be M03A or M06A")
 
 
-def flow_query(data: TrafficData, payload: dict) -> DataFrame:
-    span = asked_range(payload, "M03A")
-    rows = flow.series(
+def flow_query(data: TrafficData, payload: dict, max_days: int | None = None) -> DataFrame:
+    span = asked_range(payload, max_days)
+    return flow.series(
         data.detections(span), span, flow.any_of(payload.get("gantry_ids")),
         str(payload.get("direction") or "").strip().upper(), asked_vehicle(payload), data.alias)
-    return flow.with_cap(rows, ["time", "gantry_id", "direction", "vehicle_type"], MAX_ROWS)
 
 
 def asked_ends(data: TrafficData, payload: dict) -> tuple[list[str], list[str], str, str]:
@@ -89,16 +90,15 @@ def asked_ends(data: TrafficData, payload: dict) -> tuple[list[str], list[str],
             str(payload.get("end_gantry") or ends[0]))
 
 
-def od_query(data: TrafficData, payload: dict) -> Answer:
-    span = asked_range(payload, "M06A")
+def od_query(data: TrafficData, payload: dict, max_days: int | None = None) -> Answer:
+    span = asked_range(payload, max_days)
     starts, ends, start_name, end_name = asked_ends(data, payload)
     found = data.trips(span)
     matched = trips.stretches(found, span, starts, ends, asked_vehicle(payload))
     rows = trips.travel_time(matched).select(
         "origin_time", "vehicle_type", "trip_count", "avg_travel_time_minutes",
         F.lit(start_name).alias("start_gantry"), F.lit(end_name).alias("end_gantry"))
-    return Answer(flow.with_cap(rows, ["origin_time", "vehicle_type"], MAX_ROWS),
-                  trips.modal_route(matched, starts, ends))
+    return Answer(rows, trips.modal_route(matched, starts, ends))
 
 
 def detections_page(data: TrafficData, start: str, end: str, gantry: str = "all",
@@ -107,7 +107,7 @@ def detections_page(data: TrafficData, start: str, end: str, gantry: str = "all"
     span = TimeRange.of(start, end)
     vehicles = flow.any_of(vehicle_type)
     return flow.detail_page(
-        data.detections(span), span, limit=page_size(limit), offset=offset,
+        data.detections(span), span, limit=limit, offset=offset,
         stations=flow.any_of(gantry), alias=data.alias,
         vehicles=[int(v) for v in vehicles] if vehicles else None)
 
@@ -120,13 +120,7 @@ def trips_page(data: TrafficData, start: str, end: str, gantry_o: str, gantry_d:
     vehicles = flow.any_of(vehicle_type)
     return trips.detail_page(data.trips(span), span, starts, ends,
                              [int(v) for v in vehicles] if vehicles else None,
-                             page_size(limit), offset)
-
-
-def page_size(limit: int) -> int:
-    if not 1 <= limit <= MAX_PAGE:
-        raise ValueError(f"a page has 1 to {MAX_PAGE} rows")
-    return limit
+                             limit, offset)
 
 
 @dataclass
@@ -144,12 +138,12 @@ class Dashboard:
         self.table.unpersist()
 
 
-def dashboard(data: TrafficData, payload: dict) -> Dashboard:
+def dashboard(data: TrafficData, payload: dict, max_days: int | None = None) -> Dashboard:
     """Statistics of a day, week or month: the facts are read once for all panels."""
     period = payload.get("period_type")
     if period not in ("daily", "weekly", "monthly"):
         raise ValueError("period_type must be daily, weekly or monthly")
-    span = TimeRange.days(payload["start_date"], payload["end_date"]).check(MAX_SPAN_DAYS["M03A"])
+    span = TimeRange.days(payload["start_date"], payload["end_date"]).check(max_days)
     fine = stats.base(data.detections(span), span, hourly=period == "daily")
     # a row per bucket, day, vehicle and station: far less than the base
     table = stats.panels(fine).persist()
@@ -159,7 +153,7 @@ def dashboard(data: TrafficData, payload: dict) -> Dashboard:
         stats.daily_series(stats.panel(table, "day").withColumn("bucket", F.col("day")))
         .orderBy("date"),
         stats.vehicle_share(stats.panel(table, "vehicle")),
-        stats.road_ranking(stats.panel(table, "station"), data.sections))
+        stats.road_ranking(stats.panel(table, "station"), data.known_sections()))
 
 
 def week_of(day: str) -> tuple[date, date]:

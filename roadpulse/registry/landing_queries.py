@@ -15,6 +15,8 @@ from roadpulse.registry.facts import detections_of, listing_of, trips_of
 
 FIRST, LAST = date(2024, 1, 1), date(2024, 1, 31)
 AS_OF = date(2024, 3, 10)
+#: Files of one backfill run.
+BUDGET = 480
 _MONTH_GRID = grid_sql("DATE '2024-01-01'", "DATE '2024-01-31'")
 _ROLLING_GRID = grid_sql("DATE '2024-01-26'", "DATE '2024-03-05'")
 _GAPS = (", gaps AS (SELECT dtype, day, name FROM grid "
@@ -70,10 +72,11 @@ def day_completeness(spark, sf_dir):
 
 
 @registered(with_views(EVENTS, LISTING, _MONTH_GRID, select=_GAPS + """
-    SELECT dtype, strftime(day, '%Y-%m-%d') AS day, name FROM gaps
-    ORDER BY gaps.dtype DESC, gaps.day DESC, name LIMIT 480"""))
+    SELECT dtype, strftime(day, '%Y-%m-%d') AS day, name,
+           row_number() OVER (ORDER BY gaps.dtype DESC, gaps.day DESC, name) <= 480 AS this_run
+    FROM gaps"""))
 def backfill_plan(spark, sf_dir):
-    return shown(quality.backfill_plan(gaps_of(spark, sf_dir)))
+    return shown(quality.backfill_plan(gaps_of(spark, sf_dir), BUDGET))
 
 
 @registered(with_views(EVENTS, LISTING, _MONTH_GRID, select=_GAPS + """
@@ -81,7 +84,7 @@ def backfill_plan(spark, sf_dir):
            count(*) * 45 / 3600.0::DOUBLE AS hours, greatest(count(*) - 480, 0) AS left_over
     FROM gaps"""))
 def backfill_totals(spark, sf_dir):
-    return quality.backfill_totals(gaps_of(spark, sf_dir))
+    return quality.backfill_totals(gaps_of(spark, sf_dir), BUDGET)
 
 
 @registered(with_views(EVENTS, LISTING, _ROLLING_GRID, select=_GAPS + """
@@ -272,13 +275,12 @@ def drop_compare_vehicle(spark, sf_dir):
 
 
 @registered(with_views(TRIPS, select=_DROPS.format(key="substr(time_o, 1, 10)", name="day",
-                                                   tail="ORDER BY day LIMIT 10")))
+                                                   tail="")))
 def drop_compare_day(spark, sf_dir):
-    """The same by day, the first ten."""
+    """The same by day."""
     whole = trips_of(spark, sf_dir)
     return quality.compare_drops(whole, whole.filter("TripEnd = 'Y'"),
-                                 F.substring("DetectionTime_O", 1, 10), "day").orderBy(
-        "day").limit(10)
+                                 F.substring("DetectionTime_O", 1, 10), "day")
 
 
 @registered(with_views(TRIPS, select="""
@@ -308,9 +310,9 @@ def days_per_month(spark, sf_dir):
     SELECT strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%m') AS month,
            CAST(sum(CAST(floor(o_totalprice) AS BIGINT) * 100) AS BIGINT) AS bytes,
            count(*) AS files,
-           CAST(greatest(1, least(64, round_even(
+           CAST(greatest(1, round_even(
                sum(CAST(floor(o_totalprice) AS BIGINT) * 100)
-               / 134217728.0::DOUBLE, 0))) AS INTEGER) AS target_files
+               / 134217728.0::DOUBLE, 0)) AS INTEGER) AS target_files
     FROM orders GROUP BY 1, 2""")
 def compaction_plan(spark, sf_dir):
     """File count per month from bytes; each order stands for a file of its price in bytes."""

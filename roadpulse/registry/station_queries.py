@@ -98,15 +98,14 @@ def dated_stations(spark, sf_dir):
 _BUSY = """, busy AS (
     SELECT group_id AS start_id FROM ev JOIN hist ON hist.pos = k // 5
         AND hist.act = (k // 5 <> 4 OR t >= '2024-01-15') JOIN grp ON grp.pos = hist.pos
-    GROUP BY 1 ORDER BY sum(amount) DESC, 1 LIMIT 3)"""
+    GROUP BY 1)"""
 
 
-def busiest(spark, sf_dir, top=3):
-    """Sections with the most volume: the starts of a request."""
+def busy(spark, sf_dir):
+    """Sections with traffic: the starts of requests."""
     rows = detections_of(spark, sf_dir).groupBy("GantryID").agg(F.sum("Volume").alias("v"))
     found = rows.join(lookup_of(spark, sf_dir), rows["GantryID"] == F.col("station"))
-    return (found.groupBy(F.col("group_id").alias("start_id")).agg(F.sum("v").alias("v"))
-            .orderBy(F.desc("v"), "start_id").limit(top).select("start_id"))
+    return found.select(F.col("group_id").alias("start_id")).distinct()
 
 
 @registered(with_views(EVENTS, GROUPS, select=_BUSY + """
@@ -115,26 +114,25 @@ def busiest(spark, sf_dir, top=3):
     FROM busy JOIN ord s ON s.group_id = start_id JOIN ord e ON e.gdir = s.gdir
     WHERE e.road <> s.road OR e.place > s.place"""))
 def od_candidates(spark, sf_dir):
-    """End sections offered for the three busiest starts."""
-    return stations.candidates(groups_of(spark, sf_dir), busiest(spark, sf_dir))
+    """End sections offered for every start with traffic."""
+    return stations.candidates(groups_of(spark, sf_dir), busy(spark, sf_dir))
 
 
 _PAIRS = """, pair AS (
     SELECT a.group_id AS start_id, b.group_id AS end_id, count(*) AS n
     FROM trp JOIN mem a ON a.station = g_o JOIN mem b ON b.station = g_d
-    WHERE a.group_id <> b.group_id GROUP BY ALL ORDER BY n DESC, start_id, end_id LIMIT 10)"""
+    WHERE a.group_id <> b.group_id GROUP BY ALL)"""
 
 
-def top_pairs(spark, sf_dir, top=10):
-    """The most driven pairs of sections."""
+def driven_pairs(spark, sf_dir):
+    """Pairs of sections that trips lead between."""
     lookup = lookup_of(spark, sf_dir)
     at = lambda c, name: lookup.select(F.col("station").alias(c), F.col("group_id").alias(name))
     counted = trips_of(spark, sf_dir).groupBy("GantryID_O", "GantryID_D").agg(
         F.count(F.lit(1)).alias("n"))
     return (counted.join(at("GantryID_O", "start_id"), "GantryID_O")
             .join(at("GantryID_D", "end_id"), "GantryID_D").filter("start_id <> end_id")
-            .groupBy("start_id", "end_id").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "start_id", "end_id").limit(top))
+            .groupBy("start_id", "end_id").agg(F.sum("n").alias("n")))
 
 
 _CORRIDOR = """, cor AS (
@@ -150,8 +148,8 @@ _CORRIDOR = """, cor AS (
 
 @registered(with_views(TRIPS, GROUPS, select=_PAIRS + _CORRIDOR + " SELECT * FROM cor"))
 def corridor(spark, sf_dir):
-    """Sections between the ends of the ten most driven pairs."""
-    return stations.corridor(groups_of(spark, sf_dir), top_pairs(spark, sf_dir))
+    """Sections between the ends of every driven pair."""
+    return stations.corridor(groups_of(spark, sf_dir), driven_pairs(spark, sf_dir))
 
 
 _WHOLE = """, whole AS (
@@ -159,8 +157,7 @@ _WHOLE = """, whole AS (
 
 
 @registered(with_views(TRIPS, GROUPS, select=_WHOLE + """
-    , routes AS (SELECT route, count(*) AS n FROM whole GROUP BY route
-                 ORDER BY n DESC, route LIMIT 20),
+    , routes AS (SELECT route, count(*) AS n FROM whole GROUP BY route),
       pts AS (SELECT route, idx, str_split(route, ',')[idx] AS station FROM (
                   SELECT route, unnest(range(1, len(str_split(route, ',')) + 1)) AS idx
                   FROM routes)),
@@ -172,21 +169,32 @@ _WHOLE = """, whole AS (
            station, lat, lng
     FROM placed WHERE lat0 IS NULL OR lat <> lat0 OR lng <> lng0"""))
 def route_points(spark, sf_dir):
-    """Coordinates along the twenty most driven whole routes."""
+    """Coordinates along all whole routes."""
     driven = trips_of(spark, sf_dir).groupBy(F.array_join(
         station_ids(F.col("TripInformation")), ",").alias("route")).agg(
-        F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "route").limit(20)
+        F.count(F.lit(1)).alias("n"))
     return routes.route_points(driven, lookup_of(spark, sf_dir))
 
 
-@registered(with_views(TRIPS, GROUPS, select=_PAIRS + _CORRIDOR + _WHOLE + """
+_ASKED = """, driven AS (
+    SELECT a.group_id AS start_id, b.group_id AS end_id
+    FROM trp JOIN mem a ON a.station = g_o JOIN mem b ON b.station = g_d
+    WHERE a.group_id <> b.group_id),
+  pair AS (
+    SELECT DISTINCT start_id, end_id FROM (
+        SELECT start_id, end_id FROM driven UNION ALL SELECT end_id, start_id FROM driven)
+    WHERE start_id IN (SELECT group_id FROM grp WHERE lat IS NOT NULL)
+      AND end_id IN (SELECT group_id FROM grp WHERE lat IS NOT NULL))"""
+
+
+@registered(with_views(TRIPS, GROUPS, select=_ASKED + _CORRIDOR + _WHOLE + """
     , best AS (
         SELECT start_id, end_id, arg_min(route, {'m': -c, 'r': route}) AS route FROM (
             SELECT start_id, end_id, route, count(*) AS c
             FROM whole JOIN mem a ON a.station = split_part(route, ',', 1)
             JOIN mem b ON b.station = str_split(route, ',')[-1]
             JOIN pair ON start_id = a.group_id AND end_id = b.group_id
-            WHERE a.pos % 4 = 0 GROUP BY ALL) GROUP BY ALL),
+            GROUP BY ALL) GROUP BY ALL),
       pts AS (SELECT start_id, end_id, idx, str_split(route, ',')[idx] AS station FROM (
                   SELECT *, unnest(range(1, len(str_split(route, ',')) + 1)) AS idx FROM best)),
       obs AS (SELECT start_id, end_id,
@@ -207,8 +215,8 @@ def route_points(spark, sf_dir):
            CAST(step AS INTEGER) AS step, lat, lng
     FROM opt JOIN pick USING (start_id, end_id, choice)"""))
 def route_fallback(spark, sf_dir):
-    """What to draw for the ten most driven pairs: the driven route where one is asked for
-    (starts at every second northbound position), else the corridor, else the two ends."""
+    """What to draw for every driven pair and the way back: the route most driven, if any, else
+    the corridor, else the two ends; nothing where an end has no coordinates."""
     lookup = lookup_of(spark, sf_dir)
     at = lambda c, name: lookup.select(F.col("station").alias(c), F.col("group_id").alias(name))
     driven = trips_of(spark, sf_dir).groupBy("GantryID_O", "GantryID_D", F.array_join(
@@ -219,9 +227,9 @@ def route_fallback(spark, sf_dir):
             .groupBy("start_id", "end_id", "route").agg(F.sum("n").alias("n"))
             .groupBy("start_id", "end_id").agg(
                 F.min_by("route", F.struct(-F.col("n"), F.col("route"))).alias("route")))
-    digits = F.substring("start_id", 6, 4).cast("int")
-    pairs = top_pairs(spark, sf_dir).select("start_id", "end_id").join(
-        best.filter(digits % 460 == 0), ["start_id", "end_id"], "left")
+    there = driven_pairs(spark, sf_dir).select("start_id", "end_id")
+    back = there.select(F.col("end_id").alias("start_id"), F.col("start_id").alias("end_id"))
+    pairs = there.unionByName(back).distinct().join(best, ["start_id", "end_id"], "left")
     return routes.drawn_route(pairs, groups_of(spark, sf_dir), lookup)
 
 

@@ -114,10 +114,10 @@ _PIVOT = ", ".join(
 
 @registered(with_views(TRIPS, select=MONTH_SQL + f"""
     SELECT substr(origin_time, 1, 10) AS bucket, {_PIVOT},
-           CAST(sum(trip_count) AS BIGINT) AS total FROM od GROUP BY 1 ORDER BY 1 LIMIT 200"""))
+           CAST(sum(trip_count) AS BIGINT) AS total FROM od GROUP BY 1"""))
 def od_pivot(spark, sf_dir):
-    """Time by vehicle table, its first 200 rows."""
-    return trips.pivot(od_rows(spark, sf_dir), MONTH).orderBy("bucket").limit(200)
+    """Time by vehicle table."""
+    return trips.pivot(od_rows(spark, sf_dir), MONTH)
 
 
 @registered(with_views(TRIPS, select=MONTH_SQL + f"""

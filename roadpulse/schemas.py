@@ -37,7 +37,6 @@ UNNAMED_SECTION = "未命名路段"
 UNNAMED_STATION = "未標示門架"
 OTHER_ROADS = "其他道路"
 PERIOD_LABELS = {"daily": "日流量", "weekly": "週流量", "monthly": "月流量"}
-MAX_SPAN_DAYS = {"M03A": 366, "M06A": 92}
 MINUTES_PER_FILE = {"M06A": 60, "M03A": 5}
 FILE_NAME = r"TDCS_(M03A|M06A)_(\d{8})_(\d{6})\.csv$"
 STATION_ID = r"^\d{2}[FHA](\d{4})[NS]$"

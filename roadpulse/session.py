@@ -1,15 +1,11 @@
-"""Session settings, the shared working folder and size-checked collection."""
+"""Session settings and the shared working folder."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Row, SparkSession
-
-#: Ids and lookup rows up to this many may travel as literals in a plan
-#: (an ``isin`` list, a small map); longer ones stay DataFrames and are joined.
-LITERAL_LIMIT = 1000
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "roadpulse", master: str | None = None, **conf: str) -> SparkSession:
@@ -64,7 +60,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def collect_bounded(df: DataFrame, limit: int = LITERAL_LIMIT) -> list[Row] | None:
-    """Rows of ``df`` if there are at most ``limit`` of them, else ``None``."""
-    rows = df.limit(limit + 1).collect()
-    return rows if len(rows) <= limit else None
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Remove a folder that :func:`fresh_dir` named, wherever the shared folder is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

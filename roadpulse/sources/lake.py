@@ -14,7 +14,7 @@ from roadpulse.functions.timeparts import TimeRange, months_of
 from roadpulse.operators.quality import count_check
 from roadpulse.schemas import (FACT_TIME, FACTS, columns_to_retype, file_month,
                                partition_text)
-from roadpulse.session import fresh_dir
+from roadpulse.session import drop_dir, fresh_dir
 from roadpulse.sources.landing import listed_partitions, listing
 
 MONTH_KEYS = ["year", "month"]
@@ -109,25 +109,43 @@ def compact(df: DataFrame, dtype: str, root: str, files: int, keep_order: bool =
     write_months(rows.select(*lake_schema(dtype).names), root)
 
 
+#: The partition of rows whose time cannot be read.
+BAD_TIME = {"year": "0000", "month": "00"}
+_CHECK = "year string, month string, src_count bigint, dst_count bigint, status string"
+
+
+def no_check(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], _CHECK)
+
+
+def months(rows: DataFrame, wanted: Sequence[tuple[str, str]]) -> DataFrame:
+    """Rows of the listed months, as a filter that prunes partitions."""
+    return rows.filter(F.concat("year", "month").isin([y + m for y, m in wanted]) & F.col("year")
+                       .isin([y for y, _ in wanted]) & F.col("month").isin([m for _, m in wanted]))
+
+
 def publish(df: DataFrame, dtype: str, root: str, files: int | None = None) -> DataFrame:
     """Write to staging, check counts per month, publish the months that agree.
 
-    Returns the check. All months go through one staging write, one grouped
-    check and one dynamic overwrite; a month with a MISMATCH stays as it was.
+    Returns the check, a row per month. All months go through one staging write,
+    sorted by time, one grouped check and one dynamic overwrite; a month with a
+    MISMATCH stays as it was. Rows without a readable time go to the month
+    ``BAD_TIME``. Staging is removed at the end. The publish runs when called.
     """
     spark = df.sparkSession
     rows = partition_text(df if set(MONTH_KEYS) <= set(df.columns)
                           else file_month(df, FACT_TIME[dtype]))
-    rows = rows.select(*lake_schema(dtype).names)
-    staging, log = fresh_dir(spark, f"staging-{dtype}"), fresh_dir(spark, f"check-{dtype}")
-    staged_rows = rows if files is None else ranged(rows, FILE_ORDER[dtype], files)
-    write_months(staged_rows, staging)
+    rows = rows.select(*lake_schema(dtype).names).fillna(BAD_TIME)
+    staging = fresh_dir(spark, f"staging-{dtype}")
+    write_months(rows.sortWithinPartitions(*MONTH_KEYS, *FILE_ORDER[dtype]) if files is None
+                 else ranged(rows, FILE_ORDER[dtype], files), staging)
     staged = tree(spark, staging, dtype)
-    count_check(rows, staged, MONTH_KEYS).write.parquet(log)
-    check = spark.read.parquet(log)
-    good = check.filter("status = 'OK'").select(*MONTH_KEYS)
-    write_months(staged.join(good, MONTH_KEYS, "left_semi"), root)
-    return check
+    check = count_check(rows, staged, MONTH_KEYS).collect()
+    good = [(row["year"], row["month"]) for row in check if row["status"] == "OK"]
+    if good:
+        write_months(months(staged, good), root)
+    drop_dir(spark, staging)
+    return spark.createDataFrame(check, _CHECK)
 
 
 def read_typed(spark: SparkSession, root: str, paths: Sequence[str], dtype: str) -> DataFrame:

@@ -231,6 +231,35 @@ def test_convert_days(spark, tmp_path):
     assert lake.tree(spark, root, "M03A").count() == 289
 
 
+def test_convert_keeps_days_that_left_the_landing_folder(spark, tmp_path):
+    raw, other, root = tmp_path / "raw", tmp_path / "other", fresh_dir(spark, "lake")
+    for folder, day in ((raw, "03"), (other, "04")):
+        for minute in range(0, 1440, 5):
+            at = f"{minute // 60:02d}:{minute % 60:02d}"
+            slot(folder, "M03A", f"202401{day}_{at.replace(':', '')}00", f"2024-01-{day} {at},A,N,31,1\n")
+    days = date(2024, 1, 1), date(2024, 1, 9)
+    convert.convert_days(spark, str(raw), root, *days)
+    check = convert.convert_days(spark, str(other), root, *days)
+    assert rows(check) == [("2024", "01", 576, 576, "OK")]
+    stored = lake.tree(spark, root, "M03A").groupBy(F.substring("TimeInterval", 1, 10)).count()
+    assert sorted(rows(stored)) == [("2024-01-03", 288), ("2024-01-04", 288)]
+    assert convert.convert_days(spark, str(other), root, *days, force=True).first()["dst_count"] == 576
+    opened = convert.landed_rows(spark, str(other), "M03A", ["20240104"])
+    assert len(opened.inputFiles()) == 288
+    assert convert.landed_rows(spark, str(other), "M03A", ["20240105"]).isEmpty()
+
+
+def test_rows_without_a_time_are_published_apart(spark):
+    root = fresh_dir(spark, "lake")
+    data = facts(spark, ("2024-01-01 00:00", "A", "N", 31, 1)).unionByName(
+        facts(spark, ("2024-01-01 00:00", "B", "N", 31, 2)).withColumn(
+            "TimeInterval", F.lit(None).cast("string")))
+    check = lake.publish(data, "M03A", root)
+    assert sorted(rows(check)) == [("0000", "00", 1, 1, "OK"), ("2024", "01", 1, 1, "OK")]
+    assert rows(lake.tree(spark, root, "M03A").select("GantryID", "month"), "GantryID") == [
+        ("A", "01"), ("B", "00")]
+
+
 def test_convert_months(spark, tmp_path):
     raw, root, marks = tmp_path / "raw", fresh_dir(spark, "lake"), fresh_dir(spark, "stamps")
     line = "31,2024-01-31 23:59:00,A,2024-02-01 00:10:00,B,1.5,Y,2024-01-31 23:59:00+A\n"
@@ -310,9 +339,9 @@ def test_flow_request(data):
         "dataset": "M03A", "start_time": "2024-01-01 00:00", "end_time": "2024-01-02 23:59",
         "gantry_ids": ["01F0340N"], "direction": "n", "vehicle_type": ""})
     assert rows(answer.rows, "time") == [
-        ("2024-01-01 08:00", "01F0340N", "N", "31", 2, False),
-        ("2024-01-01 08:05", "01F0340N", "N", "31", 3, False),
-        ("2024-01-02 09:00", "01F0340N", "N", "5", 5, False)]
+        ("2024-01-01 08:00", "01F0340N", "N", "31", 2),
+        ("2024-01-01 08:05", "01F0340N", "N", "31", 3),
+        ("2024-01-02 09:00", "01F0340N", "N", "5", 5)]
 
 
 def test_od_request(data):
@@ -320,7 +349,7 @@ def test_od_request(data):
         "dataset": "M06A", "start_time": "2024-01-01 08:00:00", "end_time": "2024-01-01 09:00:00",
         "start_gantry_ids": ["01F0340N"], "start_gantry": "01F0340N", "end_gantry": "01F0100N"})
     assert rows(answer.rows) == [
-        ("2024-01-01 08:00", "31", 1, 20.0, "01F0340N", "01F0100N", False)]
+        ("2024-01-01 08:00", "31", 1, 20.0, "01F0340N", "01F0100N")]
     assert rows(answer.route) == [("01F0339N,01F0200N,01F0100N", 1)]
 
 
@@ -361,7 +390,5 @@ def test_refused_requests(data, payload):
 
 
 def test_refused_pages(data):
-    with pytest.raises(ValueError):
-        service.detections_page(data, "2024-01-01", "2024-01-02", limit=200_000)
     with pytest.raises(ValueError):
         service.dashboard(data, {"period_type": "yearly"})
