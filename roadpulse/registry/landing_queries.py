@@ -7,17 +7,16 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from roadpulse import fixtures
-from roadpulse.functions.timeparts import day_spine, rolling_days, spine_of
+from roadpulse.functions.timeparts import rolling_days, spine_of
 from roadpulse.operators import quality
 from roadpulse.registry.book import (DETECTIONS, EVENTS, LISTING, TRIPS, grid_sql, registered,
                                      with_views)
 from roadpulse.registry.facts import detections_of, listing_of, trips_of
 
-FIRST, LAST = date(2024, 1, 1), date(2024, 1, 31)
 AS_OF = date(2024, 3, 10)
 #: Files of one backfill run.
 BUDGET = 480
-_MONTH_GRID = grid_sql("DATE '2024-01-01'", "DATE '2024-01-31'")
+_LISTED_GRID = grid_sql("(SELECT min(day) FROM landed)", "(SELECT max(day) FROM landed)")
 _ROLLING_GRID = grid_sql("DATE '2024-01-26'", "DATE '2024-03-05'")
 _GAPS = (", gaps AS (SELECT dtype, day, name FROM grid "
          "WHERE name NOT IN (SELECT name FROM landed))")
@@ -27,8 +26,13 @@ def files_of(spark, sf_dir):
     return quality.landed(listing_of(spark, sf_dir))
 
 
+def listed_days(spark, sf_dir):
+    """Every day from the first landed one to the last."""
+    return spine_of(files_of(spark, sf_dir), F.col("day"))
+
+
 def gaps_of(spark, sf_dir, days=None):
-    days = day_spine(spark, FIRST, LAST) if days is None else days
+    days = listed_days(spark, sf_dir) if days is None else days
     return quality.missing_slots(quality.slot_grid(days), files_of(spark, sf_dir))
 
 
@@ -43,7 +47,7 @@ def shown(df):
                            for c, t in df.dtypes if t == "date"})
 
 
-@registered(with_views(EVENTS, LISTING, _MONTH_GRID, select=_GAPS + """
+@registered(with_views(EVENTS, LISTING, _LISTED_GRID, select=_GAPS + """
     SELECT dtype, strftime(day, '%Y-%m-%d') AS day, name FROM gaps"""))
 def slot_missing(spark, sf_dir):
     return shown(gaps_of(spark, sf_dir))
@@ -57,7 +61,8 @@ def landed_files(spark, sf_dir):
 
 
 @registered(with_views(EVENTS, LISTING, select="""
-    , spine AS (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31',
+    , spine AS (SELECT unnest(generate_series((SELECT min(day) FROM landed),
+                                              (SELECT max(day) FROM landed),
                                               INTERVAL 1 DAY))::DATE AS day),
       n AS (SELECT dtype, day, count(*) AS n FROM landed GROUP BY ALL),
       c AS (SELECT types.dtype, spine.day, coalesce(n, 0) AS files,
@@ -68,10 +73,10 @@ def landed_files(spark, sf_dir):
            CASE WHEN files >= expected THEN 'COMPLETE' WHEN files > 0 THEN 'PARTIAL'
                 ELSE 'EMPTY' END AS state FROM c"""))
 def day_completeness(spark, sf_dir):
-    return shown(quality.completeness(files_of(spark, sf_dir), day_spine(spark, FIRST, LAST)))
+    return shown(quality.completeness(files_of(spark, sf_dir), listed_days(spark, sf_dir)))
 
 
-@registered(with_views(EVENTS, LISTING, _MONTH_GRID, select=_GAPS + """
+@registered(with_views(EVENTS, LISTING, _LISTED_GRID, select=_GAPS + """
     SELECT dtype, strftime(day, '%Y-%m-%d') AS day, name,
            row_number() OVER (ORDER BY gaps.dtype DESC, gaps.day DESC, name) <= 480 AS this_run
     FROM gaps"""))
@@ -79,7 +84,7 @@ def backfill_plan(spark, sf_dir):
     return shown(quality.backfill_plan(gaps_of(spark, sf_dir), BUDGET))
 
 
-@registered(with_views(EVENTS, LISTING, _MONTH_GRID, select=_GAPS + """
+@registered(with_views(EVENTS, LISTING, _LISTED_GRID, select=_GAPS + """
     SELECT count(DISTINCT (dtype, day)) AS missing_days, count(*) AS missing_files,
            count(*) * 45 / 3600.0::DOUBLE AS hours, greatest(count(*) - 480, 0) AS left_over
     FROM gaps"""))
@@ -96,7 +101,7 @@ def archive_route_days(spark, sf_dir):
     return shown(quality.archive_days(gaps_of(spark, sf_dir, rolling(spark)), AS_OF))
 
 
-@registered(with_views(EVENTS, LISTING, _MONTH_GRID, select=_GAPS + """
+@registered(with_views(EVENTS, LISTING, _LISTED_GRID, select=_GAPS + """
     , log AS (SELECT DISTINCT 'TDCS_M03A_' || strftime(ts0, '%Y%m%d_%H')
                      || lpad(CAST(minute(ts0) // 5 * 5 AS VARCHAR), 2, '0') || '00.csv' AS name
               FROM ev)
@@ -129,7 +134,8 @@ def fetch_totals(spark, sf_dir):
 
 
 @registered(with_views(EVENTS, select=_LOG + """
-    , s AS (SELECT strftime(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31',
+    , s AS (SELECT strftime(unnest(generate_series((SELECT min(day)::DATE FROM log),
+                                                   (SELECT max(day)::DATE FROM log),
                                                    INTERVAL 1 DAY)), '%Y-%m-%d') AS day),
       c AS (SELECT s.day, 'M03A' AS dtype,
                    count(log.day) FILTER (status <> 'source_missing') AS found,
@@ -139,7 +145,8 @@ def fetch_totals(spark, sf_dir):
     SELECT *, CASE WHEN found = 0 THEN 'NO_SOURCE' WHEN fail = 0 THEN 'OK' ELSE 'INCOMPLETE' END
            AS state FROM c"""))
 def fetch_reconcile(spark, sf_dir):
-    return quality.reconcile(fixtures.fetch_log(spark, sf_dir), day_spine(spark, FIRST, LAST))
+    log = fixtures.fetch_log(spark, sf_dir)
+    return quality.reconcile(log, spine_of(log, F.col("day").cast("date")))
 
 
 @registered(with_views(EVENTS, select=_LOG + """
@@ -219,7 +226,7 @@ def ready_days(spark, sf_dir):
     published = fixtures.table(spark, sf_dir, "events").filter(
         (F.get_json_object("props", "$.k") == "0") & (F.col("event_type") == "view")).select(
         F.col("ts").cast("date").alias("day"))
-    state = quality.completeness(files_of(spark, sf_dir), day_spine(spark, FIRST, LAST))
+    state = quality.completeness(files_of(spark, sf_dir), listed_days(spark, sf_dir))
     return shown(quality.ready_days(state, published, "M06A"))
 
 
