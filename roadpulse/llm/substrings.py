@@ -5,8 +5,8 @@ Each window of ``length`` words owns an anchor, the smallest hash among its gram
 anchors in merged partition sketches, which overestimate how often a window occurs. The
 second pass sends only the windows whose anchor may be repeated, all windows of one anchor
 in one row, to the task of that anchor, and groups them there by their 128-bit content hash
-(64 bits of the anchor, 64 of the window). An anchor with more than ``LARGE`` rows is
-grouped window by window with an aggregate and a join, so no task holds it whole.
+(64 bits of the anchor, 64 of the window). An anchor with more than ``LARGE`` rows is not
+held by its task but passed on, and grouped window by window with an aggregate and a join.
 
 A word is removed if a window that covers it occurs more than once. Rows count as separate
 documents, also if they are repeated. Null and empty texts have no words; texts shorter
@@ -52,25 +52,80 @@ def _anchored(batch: pa.RecordBatch, length: int, gram: int):
     return word, grams[found[0]], found, bounds
 
 
-def groups(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Table]:
-    """Rows sorted by ``h`` as tables that hold whole groups, of about ``least`` rows."""
-    held, size = [], 0
+def groups(batches: Iterator[pa.RecordBatch], least: int,
+           large: int) -> Iterator[tuple[pa.Table, bool]]:
+    """Rows sorted by ``h`` as tables of whole groups, of about ``least`` rows, and False.
+
+    A group that grows over ``large`` rows comes in parts instead, each with True.
+    """
+    held, size, hot = [], 0, None
     for batch in batches:
-        if not batch.num_rows:
-            continue
+        if hot is not None:
+            h = texts.column(batch, "h").to_numpy()
+            same = int(np.searchsorted(h, hot, side="right"))
+            if same:
+                yield pa.Table.from_batches([batch.slice(0, same)]), True
+            if same == batch.num_rows:
+                continue
+            batch, hot = batch.slice(same), None
         held.append(batch)
         size += batch.num_rows
         if size < least:
             continue
         whole = pa.Table.from_batches(held).combine_chunks()
         h = whole["h"].to_numpy()
-        cut = int(np.searchsorted(h, h[-1])) if h[0] != h[-1] else 0
+        cut = int(np.searchsorted(h, h[-1]))
         if cut:
-            yield whole.slice(0, cut)
-            held = whole.slice(cut).to_batches()
-            size = whole.num_rows - cut
+            yield whole.slice(0, cut), False
+        held, size = whole.slice(cut).to_batches(), whole.num_rows - cut
+        if size > large:
+            yield whole.slice(cut), True
+            held, size, hot = [], 0, h[-1]
     if size:
-        yield pa.Table.from_batches(held).combine_chunks()
+        yield pa.Table.from_batches(held).combine_chunks(), False
+
+
+#: What a task that groups anchors returns: spans, packed, and strings of anchors too large.
+FOUND = "doc_id long, tag long, span long, string binary"
+_SHIFT = 20
+
+
+def pack(first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A span as one number; spans are shorter than 2 ** 20."""
+    return (first << _SHIFT) | (end - first)
+
+
+def settled(found: DataFrame, length: int, earliest: bool) -> DataFrame:
+    """Spans of ``found``, with those of strings that were too many for a task.
+
+    ``earliest``: the earliest occurrence of a string stays, else none does.
+    """
+    found = cut_lineage(found)
+    spans = found.where("string IS NULL").select("doc_id", "tag", "span")
+    strings = found.where("string IS NOT NULL")
+    if strings.isEmpty():
+        return spans
+    place = F.struct(F.coalesce("doc_id", F.lit(-2 ** 63)).alias("d"), "tag", "span")
+    if earliest:
+        marks = strings.groupBy("string").agg(F.min(place).alias("least"))
+        hit = strings.join(marks, "string").where(place > F.col("least"))
+    else:
+        marks = strings.groupBy("string").count().where("count > 1").select("string")
+        hit = strings.join(marks, "string", "left_semi")
+    return spans.unionByName(hit.select(
+        "doc_id", "tag", (F.shiftleft("span", _SHIFT) + length).alias("span")))
+
+
+def strings_of(part: pa.Table, firsts: np.ndarray, sizes: np.ndarray,
+               strings: list[bytes]) -> pa.RecordBatch:
+    """Rows of ``FOUND`` for all strings of too large an anchor."""
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    at = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + firsts[row]
+    part = part.combine_chunks()
+    take = pa.array(row)
+    return pa.RecordBatch.from_arrays(
+        [part["doc_id"].combine_chunks().take(take), part["tag"].combine_chunks().take(take),
+         pa.array(at), pa.array(strings, pa.binary())], ["doc_id", "tag", "span", "string"])
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
@@ -105,14 +160,18 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     rows = docs.mapInArrow(candidates, "h long, doc_id long, tag long, first long, windows binary")
 
     def found(batches):
-        before, seen = None, 0
-        for part in groups(batches, 20_000):
+        for part, heavy in groups(batches, min(20_000, large), large):
             windows = part["windows"].combine_chunks()
             cuts = np.frombuffer(windows.buffers()[1], np.int32)[windows.offset:][:len(windows) + 1]
             values = np.frombuffer(windows.buffers()[2], np.int64)[cuts[0] // 8:cuts[-1] // 8]
             sizes, cuts = np.diff(cuts) // 8, (cuts - cuts[0]) // 8
-            h = np.repeat(part["h"].to_numpy(), sizes)
-            start = np.arange(len(values)) + np.repeat(part["first"].to_numpy() - cuts[:-1], sizes)
+            h, first = np.repeat(part["h"].to_numpy(), sizes), part["first"].to_numpy()
+            if heavy:
+                raw = np.stack([h, values], axis=1).tobytes()
+                yield strings_of(part, first, sizes,
+                                 [raw[k:k + 16] for k in range(0, len(raw), 16)])
+                continue
+            start = np.arange(len(values)) + np.repeat(first - cuts[:-1], sizes)
             row = np.repeat(np.arange(len(sizes)), sizes)
             order = np.lexsort((values, h))
             same = (values[order][1:] == values[order][:-1]) & (h[order][1:] == h[order][:-1])
@@ -124,55 +183,69 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
             new[1:] = (at[1:] != at[:-1] + 1) | (row[at][1:] != row[at][:-1])
             begin = at[new]
             final = at[np.append(np.flatnonzero(new)[1:], len(at)) - 1] if len(at) else at
+            take = pa.array(row[begin])
             yield pa.RecordBatch.from_arrays(
-                [part["doc_id"].combine_chunks().take(pa.array(row[begin])),
-                 part["tag"].combine_chunks().take(pa.array(row[begin])),
-                 pa.array(start[begin]), pa.array(start[final] + length)],
-                ["doc_id", "tag", "first", "end"])
-
-    rows = cut_lineage(rows)
-    heavy = rows.groupBy("h").count().where(F.col("count") > large).select("h")
-    heavy = cut_lineage(heavy)
-    spans = rows.join(heavy, "h", "left_anti").repartition("h").sortWithinPartitions("h") \
-        .mapInArrow(found, "doc_id long, tag long, first long, end long")
-    if heavy.isEmpty():
-        return spans
-
-    def apart(batches):
-        for batch in batches:
-            for h, doc, tag, first, raw in zip(*(c.to_pylist() for c in batch.columns)):
-                values = np.frombuffer(raw, np.int64)
-                n = len(values)
-                yield pa.RecordBatch.from_pydict({
-                    "h": [h] * n, "doc_id": pa.array([doc] * n, pa.int64()), "tag": [tag] * n,
-                    "first": np.arange(first, first + n), "window": values})
+                [part["doc_id"].combine_chunks().take(take), part["tag"].combine_chunks().take(take),
+                 pa.array(pack(start[begin], start[final] + length)),
+                 pa.nulls(len(begin), pa.binary())], ["doc_id", "tag", "span", "string"])
 
-    single = rows.join(heavy, "h").select(rows.columns).mapInArrow(
-        apart, "h long, doc_id long, tag long, first long, window long")
-    twice = single.groupBy("h", "window").count().where("count > 1").select("h", "window")
-    return spans.unionByName(single.join(twice, ["h", "window"], "left_semi").select(
-        "doc_id", "tag", "first", (F.col("first") + length).alias("end")))
+    return settled(rows.repartition("h").sortWithinPartitions("h").mapInArrow(found, FOUND),
+                   length, False)
 
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``docs`` with ``__firsts`` and ``__ends``, the lists of spans of each row."""
-    lists = spans.groupBy("doc_id", "tag").agg(
-        F.collect_list("first").alias("__firsts"), F.collect_list("end").alias("__ends")) \
+    """``docs`` with ``__spans``, the list of packed spans of each row.
+
+    The text goes to the join compressed, as binary ``text``.
+    """
+    lists = spans.groupBy("doc_id", "tag").agg(F.collect_list("span").alias("__spans")) \
         .withColumnsRenamed({"doc_id": "__id", "tag": "__tag"})
-    return docs.join(lists.hint("shuffle_hash"),
-                     docs["doc_id"].cast("long").eqNullSafe(lists["__id"])
-                     & (F.xxhash64(docs["text"]) == lists["__tag"]), "left").drop("__id", "__tag")
+    names = [c for c in docs.columns if c != "text"]
+
+    def small(batches):
+        for batch in texts.chunks(batches):
+            raw = texts.column(batch, "text").to_pylist()
+            packed = [pa.compress(x.encode(), codec="zstd", asbytes=True) if x else None for x in raw]
+            sizes = [len(x.encode()) if x else 0 for x in raw]
+            yield pa.RecordBatch.from_arrays(
+                [*(texts.column(batch, c) for c in [*names, "__key"]), pa.array(packed, pa.binary()),
+                 pa.array(sizes, pa.int64())], [*names, "__key", "text", "__size"])
+
+    types = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
+    sent = docs.withColumn("__key", F.xxhash64("text")).mapInArrow(
+        small, ", ".join([*types, "__key long", "text binary", "__size long"]))
+    return sent.join(lists.hint("shuffle_hash"),
+                     sent["doc_id"].cast("long").eqNullSafe(lists["__id"])
+                     & (sent["__key"] == lists["__tag"]), "left").drop("__id", "__tag", "__key")
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks of ``with_spans`` rows with their texts whole again (empty for null)."""
+    for batch in batches:
+        sizes, begin, held = texts.column(batch, "__size").to_pylist(), 0, 0
+        for row in range(batch.num_rows + 1):
+            if row == batch.num_rows or held and held + sizes[row] > texts.CHUNK:
+                part = batch.slice(begin, row - begin)
+                whole = [pa.decompress(x, decompressed_size=n, codec="zstd", asbytes=True) if x
+                         else b"" for x, n in zip(texts.column(part, "text").to_pylist(),
+                                                  sizes[begin:row])]
+                at = part.schema.get_field_index("text")
+                if part.num_rows:
+                    yield part.set_column(at, "text", pa.array(whole, pa.large_binary()))
+                begin, held = row, 0
+            if row < batch.num_rows:
+                held += sizes[row]
 
 
 def covered(batch: pa.RecordBatch, sizes: np.ndarray) -> np.ndarray:
     """For all units of all texts of a batch with span lists: whether a span covers them."""
     cuts = np.append(0, np.cumsum(sizes))
-    change = np.zeros(cuts[-1] + 1, np.int64)
-    for name, sign in (("__firsts", 1), ("__ends", -1)):
-        lists = texts.column(batch, name)
-        own = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
-        at = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64) + cuts[own]
-        np.add.at(change, at, sign)
+    lists = texts.column(batch, "__spans")
+    own = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
+    spans = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    first = (spans >> _SHIFT) + cuts[own]
+    change = np.bincount(first, minlength=cuts[-1] + 1) \
+        - np.bincount(first + (spans & (1 << _SHIFT) - 1), minlength=cuts[-1] + 1)
     return np.cumsum(change)[:-1] > 0
 
 
@@ -186,7 +259,7 @@ def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     joined = with_spans(docs, repeats(docs, length, gram, large))
 
     def kept(batches):
-        for batch in texts.chunks(batches):
+        for batch in unpacked(batches):
             data, offsets = texts.text_bytes(texts.column(batch, "text"))
             starts, ends, bounds = texts.words(data, offsets)
             gone = covered(batch, np.diff(bounds))

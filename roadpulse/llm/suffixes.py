@@ -13,8 +13,8 @@ it holds all its occurrences, not just neighbours. Equal stretches stay one memb
 trees, with the first of them in its place and the others covered by that.
 
 Anchors that stand only once are left out by a count-min sketch. An anchor with more than
-``LARGE`` different stretches is not brought into one task: its strings are grouped by
-hash with an aggregate and joined back.
+``LARGE`` stretches is not held by its task but passed on: its strings are grouped by hash
+with an aggregate and joined back.
 
 A byte is removed if a repeated string that also starts earlier covers it; earlier means a
 smaller id (null first), then a smaller text hash, then an earlier start. Null and empty
@@ -23,16 +23,18 @@ texts have no bytes. Columns of the result's names are replaced.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from roadpulse.llm import sketch, texts
-from roadpulse.llm.substrings import covered, groups, tagged, text_size, with_spans
-from roadpulse.session import cut_lineage
+from roadpulse.llm.substrings import (FOUND, covered, groups, pack, settled, strings_of, tagged,
+                                      text_size, unpacked, with_spans)
 
 LENGTH, GRAM = 100, 28
-LARGE = 100_000
+LARGE = 300_000
 
 
 def _anchored(batch: pa.RecordBatch, length: int, gram: int):
@@ -88,8 +90,8 @@ def common(array: pa.Array, order: np.ndarray, most: int) -> np.ndarray:
     data = np.append(np.frombuffer(raw, np.uint8) if raw and raw.size else
                      np.zeros(0, np.uint8), np.uint8(0))
     out = np.zeros(len(order), np.int64)
-    for at in range(1, len(order), 20_000):
-        two = order[at:at + 20_000]
+    for at in range(1, len(order), 4000):
+        two = order[at:at + 4000]
         one = order[at - 1:at - 1 + len(two)]
         sizes = np.minimum(cuts[one + 1] - cuts[one], cuts[two + 1] - cuts[two])
         steps = np.arange(most)
@@ -144,15 +146,18 @@ def repeat_groups(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
                   large: int = LARGE) -> DataFrame:
     """Occurrences of maximal repeats, as spans that an earlier occurrence covers.
 
-    (doc_id, tag, first, end, size): a stretch ``first`` to ``end`` of a text that is part of a
-    repeat group of ``size`` bytes whose first occurrence is elsewhere.
+    (doc_id, tag, span): a stretch of a text, packed, that is the string of a repeat group
+    whose first occurrence is elsewhere.
     """
     docs = tagged(docs)
 
     def scanned(batches):
-        for part in groups(batches, 20_000):
+        for part, heavy in groups(batches, min(20_000, large), large):
             h = part["h"].to_numpy()
             n = len(h)
+            if heavy:
+                yield all_strings(part, length)
+                continue
             right, left = (part[c].combine_chunks() for c in ("right", "left"))
             sizes_r, sizes_l = (np.diff(np.frombuffer(a.buffers()[1], np.int32)[a.offset:][:n + 1])
                                 for a in (right, left))
@@ -171,8 +176,8 @@ def repeat_groups(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
             head = heads[member]
             later = (doc != doc[head]) | (tag != tag[head]) | (at != at[head])
             row = np.flatnonzero(later)
-            out_row, out_from, out_to = [row], [at[row]], [(at + sizes_l + sizes_r)[row]]
-            out_size = [(sizes_l + sizes_r)[row]]
+            out_row = [row]
+            out_span = [pack(at[row], (at + sizes_l + sizes_r)[row])]
             # Trees of the anchors that have several members.
             starts = np.flatnonzero(new_h[heads])
             counts = np.diff(np.append(starts, len(heads)))
@@ -202,46 +207,28 @@ def repeat_groups(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
                     both = np.array(spans)
                     middle = (at + sizes_l)[row]
                     out_row.append(row)
-                    out_from.append(middle - both[:, 0])
-                    out_to.append(middle + both[:, 1])
-                    out_size.append(both.sum(axis=1))
+                    out_span.append(pack(middle - both[:, 0], middle + both[:, 1]))
             row = np.concatenate(out_row)
             if len(row):
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"].combine_chunks().take(pa.array(row)), pa.array(tag[row]),
-                     *(pa.array(np.concatenate(x).astype(np.int64))
-                       for x in (out_from, out_to, out_size))],
-                    ["doc_id", "tag", "first", "end", "size"])
-
-    rows = cut_lineage(stretches(docs, length, gram))
-    heavy = cut_lineage(rows.groupBy("h").agg(F.approx_count_distinct(
-        F.xxhash64("right", "left")).alias("n")).where(F.col("n") > large).select("h"))
-    schema = "doc_id long, tag long, first long, end long, size long"
-    spans = rows.join(heavy, "h", "left_anti").repartition("h") \
+                     pa.array(np.concatenate(out_span)), pa.nulls(len(row), pa.binary())],
+                    ["doc_id", "tag", "span", "string"])
+
+    found = stretches(docs, length, gram).repartition("h") \
         .sortWithinPartitions("h", "right", "left", "doc_id", "tag", "first") \
-        .mapInArrow(scanned, schema)
-    if heavy.isEmpty():
-        return spans
-
-    def apart(batches):
-        for batch in batches:
-            for h, right, left, doc, tag, first in zip(*(c.to_pylist() for c in batch.columns)):
-                text = left[::-1] + right
-                n = len(text) - length + 1
-                yield pa.RecordBatch.from_pydict({
-                    "h": [h] * n, "string": [text[k:k + length] for k in range(n)],
-                    "doc_id": pa.array([doc] * n, pa.int64()), "tag": [tag] * n,
-                    "first": np.arange(first, first + n)})
-
-    single = rows.join(heavy, "h").select(rows.columns).mapInArrow(
-        apart, "h long, string binary, doc_id long, tag long, first long") \
-        .withColumn("string", F.unhex(F.substring(F.sha2("string", 256), 1, 32)))
-    place = F.struct(F.coalesce("doc_id", F.lit(-2 ** 63)).alias("d"), "tag", "first")
-    earliest = single.groupBy("h", "string").agg(F.min(place).alias("least"))
-    return spans.unionByName(single.join(earliest, ["h", "string"]).where(place > F.col("least"))
-                             .select("doc_id", "tag", "first",
-                                     (F.col("first") + length).alias("end"),
-                                     F.lit(length).cast("long").alias("size")))
+        .mapInArrow(scanned, FOUND)
+    return settled(found, length, True)
+
+
+def all_strings(part: pa.Table, length: int) -> pa.RecordBatch:
+    strings, sizes = [], []
+    for right, left in zip(part["right"].to_pylist(), part["left"].to_pylist()):
+        text = left[::-1] + right
+        sizes.append(len(text) - length + 1)
+        strings += [hashlib.blake2b(text[k:k + length], digest_size=16).digest()
+                    for k in range(sizes[-1])]
+    return strings_of(part, part["first"].to_numpy(), np.array(sizes), strings)
 
 
 def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
@@ -254,7 +241,7 @@ def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     joined = with_spans(docs, repeat_groups(docs, length, gram, large))
 
     def kept(batches):
-        for batch in texts.chunks(batches):
+        for batch in unpacked(batches):
             data, offsets = texts.text_bytes(texts.column(batch, "text"))
             gone = covered(batch, np.diff(offsets))
             begin = gone.copy()
