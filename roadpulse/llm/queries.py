@@ -118,3 +118,43 @@ SQL["op7_vectors"] = """
     counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
     SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, c AS component_id, e.vec_id = c AS kept
     FROM embeddings e JOIN least ON least.a = e.vec_id LEFT JOIN counted ON counted.a = e.vec_id"""
+
+
+SQL["op6_substrings"] = r"""
+    WITH d AS (
+      SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                                 lambda x: x <> '') AS words FROM documents),
+    starts AS (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS i FROM d),
+    windows AS (SELECT doc_id, i, array_to_string(words[i:i + 34], ' ') AS k FROM starts),
+    twice AS (SELECT k FROM windows GROUP BY k HAVING count(*) > 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i
+             FROM windows SEMI JOIN twice USING (k)),
+    each AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM d),
+    kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text
+             FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+    SELECT d.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+           sha256(coalesce(kept.text, '')) AS kept_sha256
+    FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id"""
+
+SQL["op9_suffixes"] = """
+    WITH d AS (
+      SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n
+      FROM documents),
+    strings AS (
+      SELECT doc_id, i, md5(substring(h, 2 * i + 1, 200)) AS s
+      FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS i FROM d)),
+    later AS (
+      SELECT doc_id, i FROM (
+        SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM strings)
+      WHERE k > 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 100)) AS i FROM later),
+    runs AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM gone),
+    removed AS (SELECT doc_id, count(*) AS n_removed,
+                       count(*) FILTER (before IS NULL OR before <> i - 1) AS n_spans
+                FROM runs GROUP BY doc_id),
+    each AS (SELECT doc_id, h, unnest(range(0, n)) AS i FROM d),
+    kept AS (SELECT doc_id, string_agg(substring(h, 2 * i + 1, 2), '' ORDER BY i) AS h
+             FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+    SELECT d.doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+           coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept.h, ''))) AS kept_sha256
+    FROM d LEFT JOIN removed ON removed.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id"""

@@ -6,6 +6,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
+from brute import classes, matched
 from cases import awkward, frame, text
 from roadpulse.llm import order_minhash, templates, vectors
 from roadpulse.llm.components import components
@@ -18,42 +19,6 @@ def edited(seed, t, n):
     return " ".join(words)
 
 
-def shingles(t):
-    words = "".join(c.lower() if c.isalnum() or ord(c) > 127 else " " for c in t or "").split()
-    seen, out = {}, []
-    for k in range(max(min(1, len(words)), len(words) - 4)):
-        s = tuple(words[k:k + 5])
-        seen[s] = seen.get(s, 0) + 1
-        out.append((s, seen[s]))
-    return out
-
-
-def matched(a, b):
-    row = [0] * (len(b) + 1)
-    for x in a:
-        before = row[:]
-        for k, y in enumerate(b):
-            row[k + 1] = before[k] + 1 if x == y else max(row[k], before[k + 1])
-    return row[-1]
-
-
-def classes(rows, least=0.8):
-    lists = [shingles(t) for _, t, *_ in rows]
-    up = list(range(len(rows)))
-    for i in range(len(rows)):
-        for j in range(i):
-            a, b = lists[i], lists[j]
-            same = rows[i][1] and rows[i][1] == rows[j][1]
-            if a and b and min(len(a), len(b)) >= least * max(len(a), len(b)):
-                m = matched(a, b)
-                same = same or m >= least * (len(a) + len(b) - m) - 1e-9
-            if same:
-                one, two = up[i], up[j]
-                up = [two if u == one else u for u in up]
-    return {rows[i][0]: min(rows[j][0] for j in range(len(rows)) if up[j] == up[i])
-            for i in range(len(rows))}
-
-
 def test_order_minhash(spark):
     base = [text(300 + k, 40 + 25 * k) for k in range(6)]
     rows = [(10 * k + n, edited(k * 31 + n, t, n), None) for k, t in enumerate(base) for n in range(7)]

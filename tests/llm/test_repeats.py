@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from brute import bytes_left, words_left
 from cases import awkward, frame
 from roadpulse.llm import sketch, substrings, suffixes, texts
 
@@ -21,36 +22,6 @@ def small_batches(spark, large):
     spark.conf.set(key, before)
 
 
-def words_left(rows, length):
-    lists = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t, *_ in rows]
-    seen = Counter(tuple(w[k:k + length]) for w in lists for k in range(len(w) - length + 1))
-    out = []
-    for (doc, *_), w in zip(rows, lists):
-        gone = set()
-        for k in range(len(w) - length + 1):
-            if seen[tuple(w[k:k + length])] > 1:
-                gone.update(range(k, k + length))
-        out.append((doc, len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone)))
-    return Counter(out)
-
-
-def bytes_left(rows, length):
-    rows = sorted(((doc is not None, doc or 0, (t or "").encode()) for doc, t, *_ in rows))
-    first, out = {}, []
-    for known, doc, raw in rows:
-        for k in range(len(raw) - length + 1):
-            first.setdefault(raw[k:k + length], (known, doc, k))
-    for known, doc, raw in rows:
-        gone = np.zeros(len(raw), bool)
-        for k in range(len(raw) - length + 1):
-            if first[raw[k:k + length]] < (known, doc, k):
-                gone[k:k + length] = True
-        spans = int((gone & ~np.append(False, gone[:-1])).sum()) if len(gone) else 0
-        out.append((doc if known else None, len(raw), int(gone.sum()), spans,
-                    bytes(np.frombuffer(raw, np.uint8)[~gone])))
-    return Counter(out)
-
-
 @pytest.mark.parametrize("large", [200_000, 2])
 def test_word_windows(spark, large, small_batches):
     got = substrings.remove(frame(spark), length=12, gram=4, large=large)

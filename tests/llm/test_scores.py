@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,6 +86,14 @@ def test_class_model(spark):
         == Counter((r.doc_id, round(r.score, 6)) for r in whole)
 
 
+def test_lower_case_of_slices():
+    whole = pa.array(["ABC é Ü", None, "Def " * 40, "", "xYz"])
+    for k in range(5):
+        got = brown._lower(whole.slice(k))
+        got.validate(full=True)
+        assert got.to_pylist() == ["abc é Ü", "", "def " * 40, "", "xyz"][k:]
+
+
 def test_class_model_without_training_or_rows(spark):
     got = brown.score(frame(spark), F.lit(False), classes=4).collect()
     assert len(got) == len(awkward()) and {(r.train_tokens, r.n_known) for r in got} == {(0, 0)}
