@@ -15,7 +15,7 @@ from roadpulse.registry.facts import data_of
 from roadpulse.session import build_session
 
 HEADLINE = [
-    "stats_hourly", "stats_daily", "stats_road_ranking", "stats_vehicle_share", "stats_panels",
+    "stats_hourly", "stats_daily", "stats_road_ranking", "stats_vehicle_share", "stats_panels", "dashboard",
     "flow_5min", "flow_hourly", "flow_daily", "flow_alias_expanded", "flow_metrics",
     "flow_station_ranking", "od_travel_time", "od_travel_time_vehicle", "od_metrics",
     "od_modal_route", "trip_detail_page", "slot_missing", "day_completeness", "stale_months",
@@ -41,7 +41,7 @@ def main() -> None:
             runs.append(time.perf_counter() - begin)
         seconds[name] = round(statistics.median(runs[1:]), 3)
     print(json.dumps({
-        "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3),
+        "metric": "headline_queries_total", "value": round(build + sum(seconds.values()), 3),
         "unit": "sec", "queries": seconds, "rows": rows, "lake_build": round(build, 3),
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}))
     spark.stop()

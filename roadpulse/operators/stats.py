@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.functions import timeparts as tp
@@ -103,5 +103,25 @@ def panels(fine: DataFrame) -> DataFrame:
     return grouped.withColumn("panel", panel).drop("level")
 
 
+def dashboard(fine: DataFrame, sections: DataFrame) -> DataFrame:
+    """All panels as one table ``(panel, key, volume, row_count, share)``, from one grouping.
+
+    ``panel`` is total, bucket, day, vehicle or section, ``share`` the percentage of
+    the total. Rows are few: buckets, days, vehicle types and sections. No data, no rows.
+    """
+    lookup = sections.select(F.col("station").alias("GantryID"), "group_id")
+    section = F.coalesce("group_id", F.concat(F.lit("RAW_"), "GantryID"))
+    placed = panels(fine).join(lookup, "GantryID", "left")
+    key = (F.when(F.col("panel") == "bucket", F.col("bucket"))
+           .when(F.col("panel") == "day", F.col("day"))
+           .when(F.col("panel") == "vehicle", F.col("VehicleType").cast("string"))
+           .when(F.col("panel") == "station", section).otherwise(""))
+    name = F.when(F.col("panel") == "station", "section").otherwise(F.col("panel"))
+    rows = placed.groupBy(name.alias("panel"), key.alias("key")).agg(
+        F.sum("volume").alias("volume"), F.sum("row_count").alias("row_count"))
+    whole = F.max(F.when(F.col("panel") == "total", F.col("volume"))).over(Window.partitionBy())
+    return rows.withColumn("share", percent(F.col("volume"), whole))
+
+
 def panel(table: DataFrame, name: str) -> DataFrame:
     return table.filter(F.col("panel") == name)

@@ -34,9 +34,7 @@ class TrafficData:
         """The section lookup; without one it is empty and stations stand for themselves."""
         if self.sections is not None:
             return self.sections
-        return self.spark.createDataFrame(
-            [], "station string, group_id string, current_gantry_id string, name string, "
-                "group_direction string, direction_label string")
+        return self.spark.createDataFrame([], "station string, group_id string")
 
     def coverage(self, dtype: str) -> DataFrame:
         """First and last day of a fact from its file listing, no data read."""
@@ -123,37 +121,17 @@ def trips_page(data: TrafficData, start: str, end: str, gantry_o: str, gantry_d:
                              limit, offset)
 
 
-@dataclass
-class Dashboard:
-    """Panels out of one small persisted table; :meth:`close` releases it."""
-
-    table: DataFrame
-    summary: DataFrame
-    hourly_series: DataFrame | None
-    daily_series: DataFrame
-    vehicle_share: DataFrame
-    road_ranking: DataFrame
-
-    def close(self) -> None:
-        self.table.unpersist()
-
+def dashboard(data: TrafficData, payload: dict, max_days: int | None = None) -> DataFrame:
+    """Statistics of a day, week or month as one table, see :func:`stats.dashboard`.
 
-def dashboard(data: TrafficData, payload: dict, max_days: int | None = None) -> Dashboard:
-    """Statistics of a day, week or month: the facts are read once for all panels."""
+    One action and one scan give all panels; :func:`stats.panel` takes one out.
+    """
     period = payload.get("period_type")
     if period not in ("daily", "weekly", "monthly"):
         raise ValueError("period_type must be daily, weekly or monthly")
     span = TimeRange.days(payload["start_date"], payload["end_date"]).check(max_days)
     fine = stats.base(data.detections(span), span, hourly=period == "daily")
-    # a row per bucket, day, vehicle and station: far less than the base
-    table = stats.panels(fine).persist()
-    hourly = stats.hourly_series(stats.panel(table, "bucket")).orderBy("time")
-    return Dashboard(
-        table, stats.total(stats.panel(table, "total")), hourly if period == "daily" else None,
-        stats.daily_series(stats.panel(table, "day").withColumn("bucket", F.col("day")))
-        .orderBy("date"),
-        stats.vehicle_share(stats.panel(table, "vehicle")),
-        stats.road_ranking(stats.panel(table, "station"), data.known_sections()))
+    return stats.dashboard(fine, data.known_sections())
 
 
 def week_of(day: str) -> tuple[date, date]:

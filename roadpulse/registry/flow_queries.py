@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions.timeparts import TimeRange
 from roadpulse.operators import flow, stats
+from roadpulse.plans import service
 from roadpulse.registry.book import (ALIAS, DETECTIONS, GROUPS, SECTIONS, registered,
                                      with_views)
-from roadpulse.registry.facts import alias_of, detections_of, lookup_of, sections_of
+from roadpulse.registry.facts import alias_of, data_of, detections_of, lookup_of, sections_of
 
 MONTH = TimeRange.of("2024-01-01 00:00", "2024-01-30 23:59")
 STATIONS = ["01F0230N", "01F0345S", "03F1265S"]
@@ -250,3 +251,21 @@ def stats_panels(spark, sf_dir):
     key = F.concat_ws("|", "bucket", "day", F.col("VehicleType").cast("string"), "GantryID",
                       "Direction")
     return table.select("panel", key.alias("key"), "volume", "row_count")
+
+
+@registered(with_views(DETECTIONS, ALIAS, SECTIONS, select=f"""
+    , d AS (SELECT det.*, coalesce(a.group_id, b.group_id, 'RAW_' || g) AS section
+            FROM det LEFT JOIN mem a ON a.station = g LEFT JOIN alias ON alias.id = g
+            LEFT JOIN mem b ON b.station = alias.canonical
+            WHERE {_in_days("2024-01-01", "2024-01-31")})
+    SELECT panel, key, CAST(volume AS BIGINT) AS volume, row_count,
+           round(volume / (SELECT sum(vol) FROM d)::DOUBLE * 100, 1) AS share FROM (
+        SELECT 'total' AS panel, '' AS key, sum(vol) AS volume, count(*) AS row_count FROM d
+        UNION ALL SELECT 'bucket', {DAY}, sum(vol), count(*) FROM d GROUP BY 2
+        UNION ALL SELECT 'day', {DAY}, sum(vol), count(*) FROM d GROUP BY 2
+        UNION ALL SELECT 'vehicle', CAST(vt AS VARCHAR), sum(vol), count(*) FROM d GROUP BY 2
+        UNION ALL SELECT 'section', section, sum(vol), count(*) FROM d GROUP BY 2)"""))
+def dashboard(spark, sf_dir):
+    """The whole answer to a month's dashboard request, in one action."""
+    return service.dashboard(data_of(spark, sf_dir), {
+        "period_type": "monthly", "start_date": "2024-01-01", "end_date": "2024-01-31"})

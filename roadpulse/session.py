@@ -19,6 +19,9 @@ def build_session(app: str = "roadpulse", master: str | None = None, **conf: str
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.parquet.compression.codec": "zstd",
+        # Stream state of weeks stays out of the heap.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.ui.showConsoleProgress": "false",
     }
     settings.update({key.replace("_", "."): value for key, value in conf.items()})

@@ -354,19 +354,21 @@ def test_od_request(data):
 
 
 def test_dashboard(data):
-    board = service.dashboard(data, {"period_type": "daily", "start_date": "2024-01-02",
-                                     "end_date": "2024-01-02"})
-    assert rows(board.summary) == [(12, 2)]
-    assert rows(board.hourly_series) == [("2024-01-02 09:00", 12)]
-    assert rows(board.road_ranking.select("group_id", "volume", "share")) == [
-        ("RAW_01F0100S", 7, 58.3), ("G1", 5, 41.7)]
-    board.close()
-    week = service.dashboard(data, {"period_type": "weekly", "start_date": "2023-12-31",
-                                    "end_date": "2024-01-06"})
-    assert week.hourly_series is None
+    day = service.dashboard(data, {"period_type": "daily", "start_date": "2024-01-02",
+                                   "end_date": "2024-01-02"})
+    got = {(r["panel"], r["key"]): (r["volume"], r["row_count"], r["share"]) for r in day.collect()}
+    assert got["total", ""] == (12, 2, 100.0)
+    assert got["bucket", "2024-01-02 09:00"] == got["day", "2024-01-02"] == (12, 2, 100.0)
+    assert got["section", "RAW_01F0100S"] == (7, 1, 58.3) and got["section", "G1"] == (5, 1, 41.7)
+    week = {"period_type": "weekly", "start_date": "2023-12-31", "end_date": "2024-01-06"}
     # the old id counts with its successor
-    assert rows(week.road_ranking.select("group_id", "volume")) == [("G1", 10), ("RAW_01F0100S", 7)]
-    week.close()
+    assert rows(service.dashboard(data, week).filter("panel = 'section'").select("key", "volume"),
+                "key") == [("G1", 10), ("RAW_01F0100S", 7)]
+    assert service.dashboard(data, {**week, "start_date": "2020-01-01",
+                                    "end_date": "2020-01-07"}).isEmpty()
+    bare = service.TrafficData(data.spark, data.detections_root, data.trips_root)
+    assert rows(service.dashboard(bare, week).filter("panel = 'section'").select("key"), "key")[-1] \
+        == ("RAW_01F0340N",)
 
 
 def test_pages_and_coverage(data):
