@@ -71,12 +71,12 @@ def expansion(alias: DataFrame, asked: DataFrame) -> DataFrame:
     """``(id, asked, position)`` of the asked ids and their aliases, for any number of them.
 
     An id that was asked for itself stays attributed to itself; an alias belongs to
-    the last asked id of its group. Each group is one row before it spreads to its
+    the last asked id of its group, the larger of two at one position. Each group is one row before it spreads to its
     members, so the work grows with members plus asked ids.
     """
     own = asked.groupBy("asked").agg(F.max("position").alias("position"))
     last = (own.join(alias, own["asked"] == alias["id"]).groupBy("component")
-            .agg(F.max_by("asked", "position").alias("asked"), F.max("position").alias("position")))
+            .agg(F.max_by("asked", F.struct("position", "asked")).alias("asked"), F.max("position").alias("position")))
     others = (alias.join(last, "component").select("id", "asked", "position")
               .join(own.select(F.col("asked").alias("id")), "id", "left_anti"))
     return own.select(F.col("asked").alias("id"), "asked", "position").unionByName(others)

@@ -36,7 +36,7 @@ def alias_expansion(spark, sf_dir):
     """Asked ids and their aliases; the request is every station seen, in id order."""
     asked = fixtures.station_history(spark, sf_dir).select(
         F.col("station").alias("asked"), F.lit(0).alias("position"))
-    return al.expansion(alias_of(spark, sf_dir), asked)
+    return al.expansion(alias_of(spark, sf_dir), asked).select("id", "asked")
 
 
 @registered(with_views(EVENTS, GROUPS, select="""
