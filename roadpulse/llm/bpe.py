@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 from roadpulse.llm import texts
 
 #: Distinct words a worker remembers before it starts afresh.
-REMEMBERED = 400_000
-CHUNK = 16 << 20
+REMEMBERED = 150_000
+CHUNK = 8 << 20
 
 
 def byte_letters() -> list[str]:
@@ -120,7 +120,7 @@ class Vocabulary:
                         break
                     ok = fits.get((last, token))
                     if ok is None:
-                        if len(fits) > 4_000_000:
+                        if len(fits) > REMEMBERED:
                             fits.clear()
                         ok = fits[last, token] = self.compatible(last, token)
                     if ok:

@@ -140,16 +140,20 @@ def verified(lists: list[np.ndarray], groups: np.ndarray, across: bool,
     column = renumbered[number]
     width = int((times > 1).sum())
     sets, out = Sets(n), []
-    rows = max(1, min(256, 40_000_000 // max(1, width)))
+    # Shingles of one text that share a short hash count once below; the bound makes up for it.
+    held = np.unique(own * len(times) + number) // max(1, len(times))
+    twins = sizes - np.bincount(held, minlength=n)
+    rows = 256
     for begin in range(0, n, rows):
         end = min(n, begin + rows)
         overlap = np.zeros((end - begin, n), np.float32)
         # Columns in stretches, so that the matrices stay small however many shingles there are.
-        for low in range(0, width, 4000):
-            inside = shared & (column >= low) & (column < low + 4000)
-            matrix = np.zeros((n, min(4000, width - low)), np.float32)
+        for low in range(0, width, 1000):
+            inside = shared & (column >= low) & (column < low + 1000)
+            matrix = np.zeros((n, min(1000, width - low)), np.float32)
             matrix[own[inside], column[inside] - low] = 1
             overlap += matrix[begin:end] @ matrix.T
+        overlap += twins[begin:end, None] + twins[None]
         bound = overlap / (sizes[begin:end, None] + sizes[None] - overlap)
         for i in range(begin, end):
             near = bound[i - begin] >= least - 1e-6
@@ -269,10 +273,10 @@ def keep_one(docs: DataFrame, least: float = 0.8, size: int = WORDS) -> DataFram
     Rows that repeat one id stay once, unless their words differ too much to be copies.
     """
     marks = near_duplicates(docs, least, size).where("kept").select(
-        F.col("doc_id").alias("__id"), F.col("tag").alias("__tag")).distinct()
-    text = F.xxhash64("text")
-    known = docs.where("doc_id IS NOT NULL")
-    kept = known.join(marks.hint("shuffle_hash"), (known["doc_id"].cast("long") == marks["__id"])
-                      & (F.xxhash64(known["text"]) == marks["__tag"]), "left_semi")
-    return kept.withColumn("__tag", text).dropDuplicates(["doc_id", "__tag"]).drop("__tag") \
-        .unionByName(docs.where("doc_id IS NULL"))
+        F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"),
+        F.col("tag").alias("__tag")).distinct()
+    known = docs.where("doc_id IS NOT NULL").withColumn("__tag", F.xxhash64("text"))
+    # One shuffle of the texts serves the join and the repeated rows.
+    kept = known.join(marks.hint("shuffle_hash"), ["doc_id", "__tag"], "left_semi") \
+        .dropDuplicates(["doc_id", "__tag"]).select(docs.columns)
+    return kept.unionByName(docs.where("doc_id IS NULL"))

@@ -21,6 +21,7 @@ one id count together; null ids are kept as an id of their own. Repeated items c
 from __future__ import annotations
 
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -51,27 +52,27 @@ _number = regex.compile(r"[$£€]?[+-]?\d[\d.,:/]*(%|[a-z]{0,3}²?³?)?").fullm
 _around = regex.compile(r"^[^\w$£€+-]+|[^\w%]+$").sub
 
 
-@lru_cache(maxsize=400_000)
-def canonical(word: str) -> tuple[int, str, bool, bool]:
-    """Type, letters, whether a capital leads, whether a sentence ends after the word."""
-    ends = word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":", "|")
-    bare = _around("", word)
-    if not bare:
-        return NOTHING, "", False, ends
+@lru_cache(maxsize=200_000)
+def canonical(word: str) -> tuple[int, int, bool, bool]:
+    """Type, hash of the letters, whether a capital leads, whether a sentence ends after the word."""
+    if word.isalpha():
+        bare, ends = word, False
+    elif word[:-1].isalpha() and word[-1] in ".,!?;:":
+        bare, ends = word[:-1], word[-1] not in ",;"
+    else:
+        ends = word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":", "|")
+        bare = _around("", word)
+        if not bare:
+            return NOTHING, 0, False, ends
     low = bare.lower()
-    if _number(low) or low in NUMBERS:
-        return NUMBER, low, False, ends
+    value = int.from_bytes(blake2b(low.encode("utf-8", "surrogatepass"), digest_size=8).digest(),
+                           "little")
+    if low in NUMBERS or not low.isalpha() and _number(low):
+        return NUMBER, value, False, ends
     if low in UNITS:
-        return UNIT, low, False, ends
+        return UNIT, value, False, ends
     capital = bare[0].isupper() and (len(bare) == 1 or not bare.isupper())
-    return LITERAL, low, capital, ends
-
-
-@lru_cache(maxsize=400_000)
-def _hash(text: str) -> int:
-    import hashlib
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8)
-                          .digest(), "little")
+    return LITERAL, value, capital, ends
 
 
 def template(array: pa.Array):
@@ -79,7 +80,7 @@ def template(array: pa.Array):
     index, distinct, cuts = word_lists(array)
     known = [canonical(w) for w in distinct]
     kind = np.array([k[0] for k in known], np.int8)[index] if len(index) else np.zeros(0, np.int8)
-    value = np.array([_hash(k[1]) for k in known], np.uint64)[index] if len(index) \
+    value = np.array([k[1] for k in known], np.uint64)[index] if len(index) \
         else np.zeros(0, np.uint64)
     capital = np.array([k[2] for k in known], bool)[index] if len(index) else np.zeros(0, bool)
     ends = np.array([k[3] for k in known], bool)[index] if len(index) else np.zeros(0, bool)
