@@ -59,7 +59,7 @@ def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     files = token_files.write(docs, vocabulary_path(), fresh_dir(spark, "tokens"))
-    rows = token_files.starts(token_files.checksums(files))
+    rows = token_files.starts(token_files.checksums(files), files)
     return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

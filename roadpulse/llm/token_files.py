@@ -14,7 +14,9 @@ texts. Executors write through Spark's committer, so a lost task leaves no part
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -24,38 +26,53 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
 from roadpulse.llm import texts
-from roadpulse.llm.bpe import gather, word_lists
+from roadpulse.llm.bpe import byte_letters, gather, word_lists
 
-REMEMBERED = 1_000_000
+#: Pieces a worker remembers before it starts afresh.
+REMEMBERED = 300_000
 #: The pieces of a lower-case ASCII word, as the vocabulary's own pre-tokenizer cuts them.
-_pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
+_plain = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
+_any = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
 
 
 class Encoder:
+    """Words to ids: cut here, merged by the library's model, one piece after another.
+
+    The library's whole path takes a word that may hold a special token.
+    """
+
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, list[int]] = {}
-
-    def words(self, distinct: list[str]) -> list[list[int]]:
-        """Ids of each word, by the library for what is not remembered."""
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        cut = [_pieces(w.lower()) if w.isascii() and "<|" not in w else (w,) for w in distinct]
-        fresh = list({p for pieces in cut for p in pieces if p not in known})
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at:at + 20_000]
-            coded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            known.update(zip(part, [e.ids for e in coded]))
-        out = []
-        for pieces in cut:
-            if len(pieces) == 1:
-                out.append(known[pieces[0]])
-            else:
-                out.append([i for p in pieces for i in known[p]])
-        return out
+        self.merge = self.tokenizer.model.tokenize
+        self.letters = byte_letters()
+        self.known: dict[str, bytes] = {}
+
+    def _piece(self, piece: str) -> bytes:
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        spelled = piece if piece.isalpha() and piece.isascii() else "".join(
+            map(self.letters.__getitem__, piece.encode("utf-8", "surrogatepass")))
+        ids = array("i", [t.id for t in self.merge(spelled)]).tobytes()
+        if len(piece) < 64:
+            self.known[piece] = ids
+        return ids
+
+    def word(self, word: str) -> bytes:
+        """The ids of a word without white space, as little-endian 32-bit integers."""
+        if "<|" in word:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            return np.array(ids, "<i4").tobytes()
+        if word.isascii():
+            pieces = _plain(word.lower())
+        else:
+            word = unicodedata.normalize("NFC", word)
+            pieces = _any("".join([c.lower() for c in word]))
+        get = self.known.get
+        if len(pieces) == 1:
+            return get(pieces[0]) or self._piece(pieces[0])
+        return b"".join([get(p) or self._piece(p) for p in pieces])
 
 
 @lru_cache(maxsize=2)
@@ -76,10 +93,10 @@ def write(docs: DataFrame, path: str, out: str, end_id: int = 2,
         code, before, part = encoder(path), 0, TaskContext.get().partitionId()
         for batch in texts.chunks(batches, limit=8 << 20):
             index, distinct, cuts = word_lists(texts.column(batch, "text"))
-            lists = code.words(distinct)
+            lists = list(map(code.word, distinct))
             ends = np.zeros(len(lists) + 1, np.int64)
-            np.cumsum([len(x) for x in lists], out=ends[1:])
-            flat = np.fromiter((i for x in lists for i in x), np.int32, ends[-1])
+            np.cumsum(list(map(len, lists)), out=ends[1:])
+            flat, ends = np.frombuffer(b"".join(lists), "<i4"), ends // 4
             ids, cuts = gather(flat, ends, index, cuts)
             ids = np.insert(ids, cuts[1:], end_id)
             cuts = cuts + np.arange(len(cuts))
@@ -103,13 +120,16 @@ def read(spark: SparkSession, out: str) -> DataFrame:
         "doc_id long, part int, before long, n_tokens long, ids array<int>").orc(out)
 
 
-def starts(files: DataFrame) -> DataFrame:
-    """``files`` with ``start``, the ids of all documents before a row; one short row of
-    sizes per file goes through the window."""
+def starts(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """``rows`` of ``files`` with ``start``, the ids of all documents before a row.
+
+    Sizes come from a scan of the files without their ids, and one short row a file goes
+    through the window.
+    """
     sizes = files.groupBy("part").agg(F.max(F.col("before") + F.col("n_tokens")).alias("size"))
     base = sizes.select("part", F.coalesce(F.sum("size").over(
         Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    return files.join(base, "part").withColumn("start", F.col("base") + F.col("before"))
+    return rows.join(base, "part").withColumn("start", F.col("base") + F.col("before"))
 
 
 def checksums(files: DataFrame) -> DataFrame:

@@ -58,7 +58,7 @@ def test_token_files(spark, library):
     out = fresh_dir(spark, "tokens")
     rows = awkward() + [(20 + k, t, None) for k, t in enumerate(ODD)]
     files = token_files.write(frame(spark, rows), vocabulary_path(), out, parts=4)
-    got = token_files.starts(token_files.checksums(files)).orderBy("start").collect()
+    got = token_files.starts(token_files.checksums(files), files).orderBy("start").collect()
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
     start = 0
     assert len(got) == len(order)
@@ -76,4 +76,4 @@ def test_token_files(spark, library):
 
 def test_token_files_of_no_rows(spark):
     files = token_files.write(frame(spark, []), vocabulary_path(), fresh_dir(spark, "tokens"))
-    assert token_files.starts(token_files.checksums(files)).count() == 0
+    assert token_files.starts(token_files.checksums(files), files).count() == 0
