@@ -13,7 +13,7 @@ Clustering works on ``ITEMS`` items: the most frequent words, and forms (endings
 of letters, hashed) for all the others. Counts of neighbouring items over all training
 tokens are summed by Spark, a table of at most ITEMS x ITEMS; exchange clustering moves one
 item after another to the class that raises the likelihood of the class bigrams most, until
-a round changes nothing or ``rounds`` are over. Class counts follow exactly.
+a round moves no more than one item in 200 or ``rounds`` are over. Class counts follow exactly.
 
 Word counts stay distributed. The ``HEAD`` most frequent words travel to the tasks; other
 words are summed by document and chunk and joined to the counts. Null and empty texts are
@@ -40,12 +40,16 @@ FREQUENT, FORMS = 1535, 512
 ITEMS = FREQUENT + FORMS + 1
 CLASSES, ROUNDS, ALPHA = 48, 12, 8.0
 HEAD = 1 << 18
-CHUNK = 16 << 20
+CHUNK = 8 << 20
 END = ""
 
 
 def _lower(array: pa.Array) -> pa.Array:
-    return pc.ascii_lower(pc.fill_null(array.cast(pa.large_string()), ""))
+    # Not pc.ascii_lower, which misplaces the offsets of slices.
+    data, offsets = texts.text_bytes(array)
+    data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
+    return pa.Array.from_buffers(pa.large_string(), len(array), [
+        None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data.tobytes())])
 
 
 def form(word: str) -> int:
@@ -84,8 +88,10 @@ def exchange(counts: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS,
     member[np.arange(n), of] = 1
     right, left = counts @ member, counts.T @ member       # by item: to and from classes
     table = member.T @ right
+
     def plog(x):
-        return np.where(x > 0, x * np.log(np.where(x > 0, x, 1)), 0)
+        return x * np.log(np.maximum(x, 1e-9))
+
     for _ in range(rounds):
         moved = 0
         for w in order:
@@ -125,7 +131,7 @@ def exchange(counts: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS,
             table[best] += out_w
             table[:, best] += in_w
             table[best, best] += self_count
-        if not moved:
+        if moved <= n // 200:
             break
     return of
 
