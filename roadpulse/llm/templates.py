@@ -7,11 +7,13 @@ tokens, at least half of them words, are hashed; items of fewer tokens are one w
 their own size. Windows of documents that a bitmap of the benchmark's hashes lets pass are
 joined to the benchmark's by hash.
 
-Matches at one shift between document and item are taken together, and their slots have to
-agree: the same value in the item must stand for the same value in the document, and
-different values for different ones. So a question asked again with other numbers, names or
-units is caught and a chance mixture is not. A document leaks an item if agreeing windows
-cover ``least_tokens`` of its tokens, or ``least_share`` of them if it is shorter.
+Matches at one shift between document and item are taken together, and in a run of windows
+the same value in the item must stand for the same value in the document; two values of the
+item may meet in one. So a question asked again with other numbers, names or units is caught
+and a chance mixture is not. Only the windows that disagree are left out: literal ones always
+count, and one changed slot leaves the unchanged tokens around it. A document leaks an item
+if agreeing windows cover ``least_tokens`` of its tokens, or ``least_share`` of them if it is
+shorter.
 
 The bitmap has a fixed size; with a larger benchmark more windows pass to the join and none
 is lost. Null and empty texts, and texts of no more than two tokens, match nothing. Rows of
@@ -152,6 +154,57 @@ def _rows(frame: DataFrame, key: str, sizes: list[int], whole_short: bool, bitma
         cut, f"h long, {key} long, at long, size int, total long, slots array<long>")
 
 
+def _agreeing(windows: list[dict]) -> tuple[list[int], int]:
+    """(tokens of the item, slot values replaced) of the windows that agree in their run.
+
+    In a run of overlapping windows each value of the item stands for the value it meets at
+    most places, itself in a tie. A window that says otherwise is left out, unless it is
+    literal; with one slot changed its unchanged tokens still count.
+    """
+    runs, end = [], -1
+    for w in sorted(windows, key=lambda w: w["item_at"]):
+        if w["item_at"] >= end:
+            runs.append([])
+        runs[-1].append(w)
+        end = max(end, w["item_at"] + w["size"])
+    tokens, changed = set(), set()
+    for run in runs:
+        places = {}
+        for w in run:
+            for k, pair in enumerate(zip(w["item_slots"], w["slots"])):
+                if pair[0]:
+                    places.setdefault(pair, set()).add(w["item_at"] + k)
+        stands = {}
+        for (ours, theirs), at in places.items():
+            rank = (len(at), ours == theirs, theirs)
+            stands[ours] = max(stands.get(ours, rank), rank)
+        for w in run:
+            pairs = list(zip(w["item_slots"], w["slots"]))
+            differ = {p for p in pairs if p[0] != p[1]}
+            if all(not p[0] or stands[p[0]][2] == p[1] for p in pairs):
+                tokens.update(range(w["item_at"], w["item_at"] + w["size"]))
+            elif sum(p in differ for p in pairs) <= 1:
+                tokens.update(w["item_at"] + k for k, p in enumerate(pairs) if p not in differ)
+            else:
+                continue
+            changed |= differ
+    return sorted(tokens), len(changed)
+
+
+def _judged(batches):
+    for batch in batches:
+        windows = texts.column(batch, "windows")
+        rows = np.flatnonzero(windows.is_valid().to_numpy(zero_copy_only=False))
+        kept = batch.select(["doc_id", "item_id", "item_total", "changed", "tokens"])
+        if len(rows):
+            tokens, changed = kept.column("tokens").to_pylist(), kept.column("changed").to_pylist()
+            for row, held in zip(rows, windows.take(pa.array(rows)).to_pylist()):
+                tokens[row], changed[row] = _agreeing(held)
+            kept = kept.set_column(3, "changed", pa.array(changed, pa.int64())) \
+                .set_column(4, "tokens", pa.array(tokens, pa.list_(pa.int64())))
+        yield kept
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, least_tokens: int = LEAST_TOKENS,
           least_share: float = LEAST_SHARE) -> DataFrame:
     """(doc_id, item_id, n_tokens, n_changed): the tokens of the item found in the document
@@ -171,16 +224,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least_tokens: int = LEAST_TOKEN
     shifted = matched.groupBy("doc_id", "item_id", "item_total", (F.col("at") - F.col("item_at"))
                               .alias("shift")).agg(
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
-        F.collect_set(F.struct("item_at", "size")).alias("windows"))
-    agreed = shifted.where(
-        (F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"]))))
-        & (F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["slots"])))))
+        F.collect_set(F.struct("item_at", "size", "item_slots", "slots")).alias("windows"))
+    clash = F.size("pairs") != F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"])))
     changed = F.size(F.filter("pairs", lambda p: p["item_slots"] != p["slots"]))
     tokens = F.array_distinct(F.flatten(F.transform(
-        F.flatten(F.collect_list("windows")),
-        lambda w: F.sequence(w["item_at"], w["item_at"] + w["size"] - 1))))
-    return agreed.withColumn("changed", changed).groupBy("doc_id", "item_id", "item_total").agg(
-        F.size(tokens).cast("long").alias("n_tokens"), F.sum("changed").alias("n_changed")) \
+        "windows", lambda w: F.sequence(w["item_at"], w["item_at"] + w["size"] - 1))))
+    judged = shifted.select(
+        "doc_id", "item_id", "item_total", changed.cast("long").alias("changed"), tokens.alias("tokens"),
+        F.when(clash, F.col("windows")).alias("windows"))
+    judged = judged.mapInArrow(
+        _judged, "doc_id long, item_id long, item_total long, changed long, tokens array<long>")
+    return judged.groupBy("doc_id", "item_id", "item_total").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("tokens")))).cast("long").alias("n_tokens"),
+        F.sum("changed").alias("n_changed")) \
         .where((F.col("n_tokens") >= least_tokens)
                | (F.col("n_tokens") >= least_share * F.col("item_total"))) \
         .select("doc_id", "item_id", "n_tokens", "n_changed")

@@ -141,3 +141,22 @@ def test_templates(spark):
     assert sorted(r.doc_id for r in clean.collect()) == [3, 4, 5, 6, 8]
     assert templates.leaks(frame(spark, awkward()), items.where("false")).count() == 0
     assert templates.leaks(frame(spark, []), items).count() == 0
+
+
+def leaked(spark, item, *docs):
+    rows = [(k, t, None) for k, t in enumerate(docs)]
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    return {r.doc_id: r.n_tokens for r in templates.leaks(frame(spark, rows), items).collect()}
+
+
+def test_templates_leave_out_only_what_conflicts(spark):
+    met = "We know that 40 boys and 30 girls of the old school walk to the river with Anna and Robert"
+    got = leaked(spark, ITEM, ITEM, ITEM.replace("at 60 km", "at 75 km"))
+    assert 13 <= got[1] < got[0]
+    # Two values of the item become one of the document.
+    got = leaked(spark, met, met.replace("40", "7").replace("30", "7").replace("Anna", "Eve")
+                 .replace("Robert", "Eve"))
+    assert got.keys() == {0}
+    short = "so 5 cats eat 5 mice"
+    assert leaked(spark, short, short.replace("5 mice", "6 mice"),
+                  short.replace("5 mice", "6 mice").replace("5 cats", "7 cats")).keys() == {0}
