@@ -2,7 +2,9 @@
 
 Words become template tokens: numbers, units and names give a placeholder of their type,
 all others their letters in lower case without punctuation around them. A name is a word
-with a capital inside a sentence; neighbouring names are one slot. Windows of ``WINDOW``
+with a capital inside a sentence; neighbouring names are one slot. Windows with a capital
+that opens a sentence are hashed with it as a word and as a name, and with those openings
+alone as names that are names elsewhere in the text, as windows of a reading each. Windows of ``WINDOW``
 tokens, at least half of them words, are hashed; items of fewer tokens are one window of
 their own size. Windows of documents that a bitmap of the benchmark's hashes lets pass are
 joined to the benchmark's by hash.
@@ -77,26 +79,59 @@ def canonical(word: str) -> tuple[int, int, bool, bool]:
     return LITERAL, value, capital, ends
 
 
-def template(array: pa.Array):
-    """(token values, slot values or 0, cuts between texts) of all texts."""
+def readings(array: pa.Array):
+    """(token values, slot values or 0, cuts between texts, places, own) of all texts by reading.
+
+    A word with a capital that opens a sentence is literal in the first reading, in the second
+    a name if it is one inside a sentence of the text, and always a name in the last. Places
+    are the numbers the tokens have in the first reading, and one more for the end, so that
+    all readings share their positions. Own has counts of words by token: a window that lacks
+    them is the same in another reading. The first reading has None.
+    """
     index, distinct, cuts = word_lists(array)
     known = [canonical(w) for w in distinct]
     kind = np.array([k[0] for k in known], np.int8)[index] if len(index) else np.zeros(0, np.int8)
-    value = np.array([k[1] for k in known], np.uint64)[index] if len(index) \
-        else np.zeros(0, np.uint64)
+    values = np.array([k[1] for k in known], np.uint64)
+    value = values[index] if len(index) else np.zeros(0, np.uint64)
     capital = np.array([k[2] for k in known], bool)[index] if len(index) else np.zeros(0, bool)
     ends = np.array([k[3] for k in known], bool)[index] if len(index) else np.zeros(0, bool)
     opening = np.ones(len(index), bool)
     opening[1:] = ends[:-1]
     opening[cuts[:-1][cuts[:-1] < len(index)]] = True
-    kind = np.where((kind == LITERAL) & capital & ~opening, NAME, kind)
+    capital &= kind == LITERAL
+    kind = np.where(capital & ~opening, NAME, kind)
+    opens = capital & opening
+    # Openings that are names elsewhere in their text.
+    renamed = np.zeros(len(index), bool)
+    if opens.any():
+        letters, code = np.unique(values, return_inverse=True)
+        text_of = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+        at, names = np.flatnonzero(opens), np.flatnonzero(kind == NAME)
+        renamed[at] = np.isin(text_of[at] * len(letters) + code[index[at]],
+                              text_of[names] * len(letters) + code[index[names]])
     # Marks alone are no tokens.
     real = kind != NOTHING
     cuts = np.append(0, np.cumsum(real))[cuts]
-    kind, value, opening = kind[real], value[real], opening[real]
-    # Neighbouring names are one slot whose value is that of all of them.
+    kind, value, opens, renamed = kind[real], value[real], opens[real], renamed[real]
     first = np.zeros(len(kind), bool)
     first[cuts[:-1][cuts[:-1] < len(kind)]] = True
+    token, slot, own_cuts, heads = _read(kind, value, first, cuts)
+    number = np.full(len(kind) + 1, len(heads))
+    number[:-1] = np.cumsum(np.bincount(heads, minlength=len(kind))) - 1 if len(kind) else 0
+    yield token, slot, own_cuts, np.arange(len(heads) + 1), None
+    for as_name in (renamed, opens):
+        if not as_name.any():
+            continue
+        token, slot, own_cuts, heads = _read(np.where(as_name, NAME, kind), value, first, cuts)
+        # The mixed reading is of its own where it has openings of both sorts.
+        own = [as_name, opens & ~as_name] if as_name is renamed else [as_name]
+        own = [np.add.reduceat(words.astype(np.int64), heads) for words in own]
+        yield token, slot, own_cuts, number[np.append(heads, len(kind))], own
+
+
+def _read(kind: np.ndarray, value: np.ndarray, first: np.ndarray, cuts: np.ndarray):
+    """(token values, slot values or 0, cuts, numbers of the words that head the tokens)."""
+    # Neighbouring names are one slot whose value is that of all of them.
     joined = np.zeros(len(kind), bool)
     joined[1:] = (kind[1:] == NAME) & (kind[:-1] == NAME) & ~first[1:]
     heads = np.flatnonzero(~joined)
@@ -107,15 +142,20 @@ def template(array: pa.Array):
     cuts = np.append(0, np.cumsum(~joined))[cuts]
     kind = kind[heads]
     token = np.where(kind == LITERAL, value, kind.astype(np.uint64))
-    return token, np.where(kind == LITERAL, np.uint64(0), value | np.uint64(1)), cuts
+    return token, np.where(kind == LITERAL, np.uint64(0), value | np.uint64(1)), cuts, heads
 
 
-def _windows(token: np.ndarray, slot: np.ndarray, cuts: np.ndarray, size: int, whole: bool):
-    """Starts and hashes of windows of ``size``; ``whole``: only of texts of that size."""
+def _windows(token: np.ndarray, slot: np.ndarray, cuts: np.ndarray, size: int, whole: bool,
+             own: list[np.ndarray] | None = None):
+    """Starts and hashes of windows of ``size``; ``whole``: only of texts of that size; ``own``:
+    counts of words, of each of which a window has to hold one."""
     starts = texts.starts_of(cuts, size)
     if whole and len(starts):
         sizes = np.diff(cuts)
         starts = cuts[:-1][sizes == size]
+    for words in own or ():
+        held = np.append(0, np.cumsum(words))
+        starts = starts[held[starts + size] > held[starts]]
     filled = np.append(0, np.cumsum(slot != 0))
     starts = starts[2 * (filled[starts + size] - filled[starts]) <= size]
     hashes = texts.Rolling(token, 5).of(starts, starts + size) if len(starts) \
@@ -124,34 +164,42 @@ def _windows(token: np.ndarray, slot: np.ndarray, cuts: np.ndarray, size: int, w
 
 
 def _rows(frame: DataFrame, key: str, sizes: list[int], whole_short: bool, bitmap=None) -> DataFrame:
-    """(h, id, at, size, total, slots) of the windows of all texts."""
+    """(h, id, at, size, total, slots, places) of the windows of all texts."""
     shared = frame.sparkSession.sparkContext.broadcast(bitmap) if bitmap is not None else None
 
     def cut(batches):
         for batch in texts.chunks(batches, limit=CHUNK):
-            token, slot, cuts = template(texts.column(batch, "text"))
-            total = np.diff(cuts)
-            for size in sizes:
-                starts, h = _windows(token, slot, cuts, size, whole_short and size < WINDOW)
-                if shared is not None and len(h):
-                    cell = (h >> np.uint64(64 - BITS)).astype(np.int64)
-                    pass_on = (shared.value[cell >> 3] >> (cell & 7).astype(np.uint8) & 1) == 1
-                    starts, h = starts[pass_on], h[pass_on]
-                if not len(h):
-                    continue
-                own = np.searchsorted(cuts, starts, side="right") - 1
-                slots = slot[(starts[:, None] + np.arange(size))].view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), texts.column(batch, key).take(pa.array(own)),
-                     pa.array(starts - cuts[own]), pa.array(np.full(len(h), size, np.int32)),
-                     pa.array(total[own]), pa.ListArray.from_arrays(
-                         pa.array(np.arange(len(h) + 1) * size, pa.int32()),
-                         pa.array(slots.reshape(-1)))],
-                    ["h", key, "at", "size", "total", "slots"])
+            total = None
+            for token, slot, cuts, places, words in readings(texts.column(batch, "text")):
+                if total is None:
+                    total, begins = np.diff(cuts), cuts
+                for size in sizes:
+                    starts, h = _windows(token, slot, cuts, size, whole_short and size < WINDOW, words)
+                    if shared is not None and len(h):
+                        cell = (h >> np.uint64(64 - BITS)).astype(np.int64)
+                        pass_on = (shared.value[cell >> 3] >> (cell & 7).astype(np.uint8) & 1) == 1
+                        starts, h = starts[pass_on], h[pass_on]
+                    if not len(h):
+                        continue
+                    own = np.searchsorted(cuts, starts, side="right") - 1
+                    slots = slot[(starts[:, None] + np.arange(size))].view(np.int64)
+                    where = places[starts[:, None] + np.arange(size + 1)] - begins[own][:, None]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(h.view(np.int64)), texts.column(batch, key).take(pa.array(own)),
+                         pa.array(where[:, 0]), pa.array(np.full(len(h), size, np.int32)),
+                         pa.array(total[own]), _lists(slots), _lists(where)],
+                        ["h", key, "at", "size", "total", "slots", "places"])
 
     source = frame.select(F.col(key).cast("long").alias(key), F.coalesce("text", F.lit("")).alias("text"))
     return source.mapInArrow(
-        cut, f"h long, {key} long, at long, size int, total long, slots array<long>")
+        cut, f"h long, {key} long, at long, size int, total long, slots array<long>, "
+             "places array<long>")
+
+
+def _lists(table: np.ndarray) -> pa.Array:
+    rows, width = table.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * width, pa.int32()),
+                                    pa.array(table.reshape(-1)))
 
 
 def _agreeing(windows: list[dict]) -> tuple[list[int], int]:
@@ -162,18 +210,18 @@ def _agreeing(windows: list[dict]) -> tuple[list[int], int]:
     literal; with one slot changed its unchanged tokens still count.
     """
     runs, end = [], -1
-    for w in sorted(windows, key=lambda w: w["item_at"]):
-        if w["item_at"] >= end:
+    for w in sorted(windows, key=lambda w: w["places"][0]):
+        if w["places"][0] >= end:
             runs.append([])
         runs[-1].append(w)
-        end = max(end, w["item_at"] + w["size"])
+        end = max(end, w["places"][-1])
     tokens, changed = set(), set()
     for run in runs:
         places = {}
         for w in run:
-            for k, pair in enumerate(zip(w["item_slots"], w["slots"])):
+            for at, *pair in zip(w["places"], w["item_slots"], w["slots"]):
                 if pair[0]:
-                    places.setdefault(pair, set()).add(w["item_at"] + k)
+                    places.setdefault(tuple(pair), set()).add(at)
         stands = {}
         for (ours, theirs), at in places.items():
             rank = (len(at), ours == theirs, theirs)
@@ -181,12 +229,12 @@ def _agreeing(windows: list[dict]) -> tuple[list[int], int]:
         for w in run:
             pairs = list(zip(w["item_slots"], w["slots"]))
             differ = {p for p in pairs if p[0] != p[1]}
-            if all(not p[0] or stands[p[0]][2] == p[1] for p in pairs):
-                tokens.update(range(w["item_at"], w["item_at"] + w["size"]))
-            elif sum(p in differ for p in pairs) <= 1:
-                tokens.update(w["item_at"] + k for k, p in enumerate(pairs) if p not in differ)
-            else:
+            agrees = all(not p[0] or stands[p[0]][2] == p[1] for p in pairs)
+            if not agrees and sum(p in differ for p in pairs) > 1:
                 continue
+            for p, at, end in zip(pairs, w["places"], w["places"][1:]):
+                if agrees or p not in differ:
+                    tokens.update(range(at, end))
             changed |= differ
     return sorted(tokens), len(changed)
 
@@ -218,17 +266,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least_tokens: int = LEAST_TOKEN
     bitmap[cells["cell"].to_numpy()] = True
     found = _rows(docs, "doc_id", sizes, False, np.packbits(bitmap, bitorder="little"))
     theirs = items.select("h", "size", "item_id", F.col("at").alias("item_at"),
-                          F.col("total").alias("item_total"), F.col("slots").alias("item_slots"))
-    matched = found.drop("total").join(theirs, ["h", "size"]).withColumn(
+                          F.col("total").alias("item_total"), F.col("slots").alias("item_slots"),
+                          "places")
+    matched = found.drop("total", "places").join(theirs, ["h", "size"]).withColumn(
         "pairs", F.filter(F.arrays_zip("item_slots", "slots"), lambda p: p["item_slots"] != 0))
     shifted = matched.groupBy("doc_id", "item_id", "item_total", (F.col("at") - F.col("item_at"))
                               .alias("shift")).agg(
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
-        F.collect_set(F.struct("item_at", "size", "item_slots", "slots")).alias("windows"))
+        F.collect_set(F.struct("places", "item_slots", "slots")).alias("windows"))
     clash = F.size("pairs") != F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"])))
     changed = F.size(F.filter("pairs", lambda p: p["item_slots"] != p["slots"]))
     tokens = F.array_distinct(F.flatten(F.transform(
-        "windows", lambda w: F.sequence(w["item_at"], w["item_at"] + w["size"] - 1))))
+        "windows", lambda w: F.sequence(w["places"][0], F.element_at(w["places"], -1) - 1))))
     judged = shifted.select(
         "doc_id", "item_id", "item_total", changed.cast("long").alias("changed"), tokens.alias("tokens"),
         F.when(clash, F.col("windows")).alias("windows"))

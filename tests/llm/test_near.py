@@ -160,3 +160,15 @@ def test_templates_leave_out_only_what_conflicts(spark):
     short = "so 5 cats eat 5 mice"
     assert leaked(spark, short, short.replace("5 mice", "6 mice"),
                   short.replace("5 mice", "6 mice").replace("5 cats", "7 cats")).keys() == {0}
+
+
+def test_templates_names_that_open_sentences(spark):
+    tom = "Tom has 5 red apples. Tom buys 3 green apples. Tom eats 2 apples. Tom sells 4 apples to his brother."
+    mixed = ("Tom has 5 red apples. The girls of the old school then saw Tom on the way home. "
+             "Tom buys 3 green apples, the girls eat 2 of them")
+    got = leaked(spark, tom, tom, tom.replace("Tom", "Ana"), text(5, 60) + ". " + tom.replace("Tom", "Ana"),
+                 tom.replace("Tom", "Mary Ann Smith"), tom.lower(), text(6, 60))
+    assert got == {0: 21, 1: 21, 2: 21, 3: 21, 4: 21}
+    got = leaked(spark, mixed, mixed.replace("Tom", "Ana"),
+                 mixed.replace("Tom", "Ana").replace("apples. The", "apples, the"))
+    assert got.keys() == {0, 1}
