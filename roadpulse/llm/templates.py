@@ -5,8 +5,9 @@ all others their letters in lower case without punctuation around them. A name i
 with a capital inside a sentence; neighbouring names are one slot. Windows with a capital
 that opens a sentence are hashed with it as a word and as a name, and with those openings
 alone as names that are names elsewhere in the text, as windows of a reading each. Windows of ``WINDOW``
-tokens, at least half of them words, are hashed; items of fewer tokens are one window of
-their own size. Windows of documents that a bitmap of the benchmark's hashes lets pass are
+tokens are hashed; items of fewer tokens are one window of
+their own size. Windows of more slots than words are hashed with the values of their slots, so that
+only literal copies of them match. Windows of documents that a bitmap of the benchmark's hashes lets pass are
 joined to the benchmark's by hash.
 
 Matches at one shift between document and item are taken together, and in a run of windows
@@ -156,10 +157,15 @@ def _windows(token: np.ndarray, slot: np.ndarray, cuts: np.ndarray, size: int, w
     for words in own or ():
         held = np.append(0, np.cumsum(words))
         starts = starts[held[starts + size] > held[starts]]
+    if not len(starts):
+        return starts, np.zeros(0, np.uint64)
     filled = np.append(0, np.cumsum(slot != 0))
-    starts = starts[2 * (filled[starts + size] - filled[starts]) <= size]
-    hashes = texts.Rolling(token, 5).of(starts, starts + size) if len(starts) \
-        else np.zeros(0, np.uint64)
+    hashes = texts.Rolling(token, 5).of(starts, starts + size)
+    # Mostly slots: not as a template, but with the values.
+    full = np.flatnonzero(2 * (filled[starts + size] - filled[starts]) > size)
+    if len(full):
+        values = texts.mixed(token) ^ slot
+        hashes[full] = texts.Rolling(values, 6).of(starts[full], starts[full] + size)
     return starts, texts.mixed(hashes + np.uint64(size))
 
 

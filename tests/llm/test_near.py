@@ -172,3 +172,14 @@ def test_templates_names_that_open_sentences(spark):
     got = leaked(spark, mixed, mixed.replace("Tom", "Ana"),
                  mixed.replace("Tom", "Ana").replace("apples. The", "apples, the"))
     assert got.keys() == {0, 1}
+
+
+def test_templates_of_more_slots_than_words(spark):
+    sum_ = "What is 12 + 34 * 56 - 7?"
+    many = "sort these: " + " ".join(str(37 * k % 101) for k in range(20))
+    got = leaked(spark, sum_, sum_, text(7, 30) + ". " + sum_ + " " + text(8, 30),
+                 sum_.replace("12", "13").replace("34", "35"), text(9, 60))
+    assert got == {0: 6, 1: 6}
+    got = leaked(spark, many, text(7, 30) + ". " + many, many.replace(" 37", " 38"),
+                 "sort these: " + " ".join(str(41 * k % 103 + 200) for k in range(20)))
+    assert got[0] == 22 and got.keys() <= {0, 1}
