@@ -13,7 +13,8 @@ Clustering works on ``ITEMS`` items: the most frequent words, and forms (endings
 of letters, hashed) for all the others. Counts of neighbouring items over all training
 tokens are summed by Spark, a table of at most ITEMS x ITEMS; exchange clustering moves one
 item after another to the class that raises the likelihood of the class bigrams most, until
-a round moves no more than one item in 200 or ``rounds`` are over. Class counts follow exactly.
+no move helps. Class counts follow exactly. ITEMS and CLASSES are constant: with a larger
+vocabulary a larger part of the words has the class of its form and none of its own.
 
 Word counts stay distributed. The ``HEAD`` most frequent words travel to the tasks; other
 words are summed by document and chunk and joined to the counts. Null and empty texts are
@@ -23,6 +24,7 @@ replaced. Without any training token every token has the unknown words' mass.
 
 from __future__ import annotations
 
+import itertools
 import math
 import zlib
 
@@ -38,7 +40,7 @@ from roadpulse.session import cut_lineage
 FREQUENT, FORMS = 1535, 512
 #: The item of the end token is the last one.
 ITEMS = FREQUENT + FORMS + 1
-CLASSES, ROUNDS, ALPHA = 48, 12, 8.0
+CLASSES, ALPHA = 48, 8.0
 HEAD = 1 << 18
 CHUNK = 8 << 20
 END = ""
@@ -68,13 +70,13 @@ def neighbours(index: np.ndarray, cuts: np.ndarray, end: int) -> tuple[np.ndarra
     return np.insert(index, cuts[1:], end), cuts + np.arange(len(cuts))
 
 
-def exchange(counts: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS,
+def exchange(counts: np.ndarray, classes: int = CLASSES, rounds: int | None = None,
              end: int | None = None) -> np.ndarray:
     """A class for each item of a square table of neighbour counts.
 
     Classes start round-robin by frequency. The end item, if given, has a class of its own.
     The gain of a move is the change of sum n log n over class bigrams less that over the
-    classes' left and right counts.
+    classes' left and right counts. Rounds go on until no move helps, or ``rounds`` are over.
     """
     n = len(counts)
     size = counts.sum(axis=0) + counts.sum(axis=1)
@@ -92,7 +94,9 @@ def exchange(counts: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS,
     def plog(x):
         return x * np.log(np.maximum(x, 1e-9))
 
-    for _ in range(rounds):
+    # Less than this is rounding, on which moves could go on for ever.
+    least = 1e-9 + 1e-12 * plog(table.sum())
+    for _ in itertools.count() if rounds is None else range(rounds):
         moved = 0
         for w in order:
             if w == end or size[w] == 0:
@@ -105,7 +109,8 @@ def exchange(counts: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS,
             table[own] -= out_w
             table[:, own] -= in_w
             table[own, own] -= self_count
-            rows, cols = table.sum(axis=1), table.sum(axis=0)
+            # Wherever w goes, the classes keep what they have to and from it.
+            rows, cols = table.sum(axis=1) + in_w, table.sum(axis=0) + out_w
             total_out, total_in = out_w.sum() + self_count, in_w.sum() + self_count
             # Joining class k: row k gains out_w, column k gains in_w, the cell (k, k) all.
             gain = (plog(table + out_w[None]) - plog(table)).sum(axis=1) \
@@ -116,7 +121,7 @@ def exchange(counts: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS,
             gain -= plog(rows + total_out) - plog(rows) + plog(cols + total_in) - plog(cols)
             gain = gain[:last]
             best = int(np.argmax(gain))
-            if gain[best] <= gain[own] + 1e-9:
+            if gain[best] <= gain[own] + least:
                 best = own
             if best != own:
                 moved += 1
@@ -131,7 +136,7 @@ def exchange(counts: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS,
             table[best] += out_w
             table[:, best] += in_w
             table[best, best] += self_count
-        if moved <= n // 200:
+        if not moved:
             break
     return of
 

@@ -122,6 +122,17 @@ def test_exchange_ends_where_no_move_helps():
             assert likelihood(counts, moved, 4) <= reached + 1e-6
 
 
+def test_exchange_leaves_no_move_of_many_items():
+    counts = np.random.default_rng(2).poisson(0.3, (210, 210)).astype(float)
+    of = brown.exchange(counts, classes=4)
+    reached = likelihood(counts, of, 4)
+    for w in range(210):
+        for k in range(4):
+            moved = of.copy()
+            moved[w] = k
+            assert likelihood(counts, moved, 4) <= reached + 1e-6
+
+
 def test_probabilities_sum_to_one(spark):
     """All continuations of a text by one token, known words and one unknown for each class."""
     rows = [(k, text(70 + k, 30), None) for k in range(20)]
