@@ -15,6 +15,7 @@ Position 4 is renumbered on 2024-01-15.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from roadpulse.functions.paths import computed_once
 from roadpulse.functions.station_ids import km_post, road_code
 from roadpulse.functions.timeparts import TimeRange, day_of, slot_of
+from roadpulse.session import fresh_dir
 
 RENUMBERED = "2024-01-15"
 POSITIONS = 20
@@ -176,6 +178,50 @@ def raw_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.substring("name", 15, 2), F.lit("/"), F.col("name")))
 
 
+def landing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of detections with the file they land in: (name, value).
+
+    Files of a day run from half past midnight, so they hold rows of the next day's first half
+    hour. Events of a day take turns in its files; most days use two hours of slots only and
+    stay incomplete, those divisible by five use all. The time of ``k`` 99 is unreadable.
+    """
+    rows = events(spark, sf_dir, None)
+    day = F.date_format(F.col("t").cast("timestamp_ntz") - F.lit(timedelta(minutes=30)), "yyyyMMdd")
+    turn = F.col("event_id") % F.when(F.substring(day, 8, 1).isin("0", "5"), 288).otherwise(24)
+    station = station_at(F.floor(F.col("k") / 5).cast("int"), F.col("t"))
+    return rows.withColumn("GantryID", station).select(
+        F.format_string("TDCS_M03A_%s_%02d%02d00.csv", day, F.floor(turn / 12), turn % 12 * 5).alias("name"),
+        F.to_csv(F.struct(
+            F.when(F.col("k") == 99, "never").otherwise(slot_of(F.col("t"), 5)), "GantryID",
+            F.right("GantryID", F.lit(1)), "VehicleType", "amount")).alias("value"))
+
+
+def landing_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of trips with the hourly file of their departure: (name, value)."""
+    hour = F.translate(F.substring("DetectionTime_O", 1, 13), "- ", "")
+    return trips(spark, sf_dir).select(
+        F.concat(F.lit("TDCS_M06A_"), F.substring(hour, 1, 8), F.lit("_"), F.substring(hour, 9, 2),
+                 F.lit("0000.csv")).alias("name"), F.to_csv(F.struct("*")).alias("value"))
+
+
+def land(lines: DataFrame, root: str) -> None:
+    """Write (name, value) lines to files of these names, as a source would land them."""
+    spark = lines.sparkSession
+    aside = fresh_dir(spark, "aside")
+    lines.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "name").write.partitionBy("name").text(aside)
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    system = Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(Path(root))
+
+    def move(path: str) -> None:
+        name = path.rsplit("/name=", 1)[1].split("/")[0]
+        system.rename(Path(path), Path(root, name))
+
+    written = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(aside)
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(move, [r["path"] for r in written.select("path").collect()]))
+
+
 def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One fetch attempt per event: file of its slot, outcome from ``k``."""
     k = F.col("k")

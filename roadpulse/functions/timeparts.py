@@ -72,6 +72,13 @@ class TimeRange:
         return TimeRange(self.start - timedelta(days=before), self.end + timedelta(days=after))
 
 
+def month_in(span: TimeRange, pad_days: int = 1):
+    """Whether a (year, month) of text lies in a range padded by some days, as a plain function."""
+    wide = span.padded(pad_days, pad_days)
+    low, high = (f"{t:%Y%m}" for t in (wide.start, wide.end))
+    return lambda year, month: low <= year + month <= high
+
+
 def in_minutes(column: str, span: TimeRange) -> Column:
     """Closed range at minute precision on a text time."""
     return F.col(column).between(*span.minutes())

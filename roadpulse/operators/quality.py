@@ -38,6 +38,23 @@ def landed(listing: DataFrame) -> DataFrame:
             .select("dtype", "day", "hhmm", "name").distinct())
 
 
+def landed_paths(listing: DataFrame) -> DataFrame:
+    """Valid landed files with path and length; of several files of one name the longest counts."""
+    best = F.max(F.struct("length", "path"))
+    return (parsed_names(listing).filter("length > 0").groupBy("dtype", "day", "hhmm", "name")
+            .agg(best.alias("best")).select("dtype", "day", "hhmm", "name", "best.length", "best.path"))
+
+
+def unpublished(files: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Landed files that the ledger of published files lacks, or has in another length."""
+    return files.join(ledger.select("name", "length"), ["name", "length"], "left_anti")
+
+
+def published_before(files: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Landed files of which the lake already holds rows, in this or another length."""
+    return files.join(ledger.select("name"), "name", "left_semi")
+
+
 def slot_grid(days: DataFrame, dtypes: tuple[str, ...] = ("M06A", "M03A")) -> DataFrame:
     """Every file a day should have, for both types: (dtype, day, name)."""
     types = F.array(*[F.struct(F.lit(t).alias("dtype"), F.lit(MINUTES_PER_FILE[t]).alias("step"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import tarfile
+from datetime import date
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from roadpulse import fixtures
 from roadpulse.functions.timeparts import TimeRange, day_of
 from roadpulse.operators import quality, stats
+from roadpulse.plans import convert
 from roadpulse.registry.book import DETECTIONS, EVENTS, TRIPS, registered, with_views
 from roadpulse.schemas import file_month, retype, with_day
 from roadpulse.session import fresh_dir
@@ -118,11 +120,56 @@ def count_check(spark, sf_dir):
 
 @registered(with_views(DETECTIONS, select=_BY_DAY))
 def lake_compacted(spark, sf_dir):
-    """A published month rewritten into two files sorted by time."""
-    root, smaller = fresh_dir(spark, "lake"), fresh_dir(spark, "compact")
-    lake.write_months(file_month(fixtures.detections(spark, sf_dir), "TimeInterval"), root)
-    lake.compact(lake.tree(spark, root, "M03A"), "M03A", smaller, 2)
-    return by_day(lake.tree(spark, smaller, "M03A"))
+    """Months published in parts, then rewritten to files as many as their bytes ask for."""
+    root = fresh_dir(spark, "lake")
+    lake.publish(fixtures.detections(spark, sf_dir), "M03A", root)
+    lake.rewrite(spark, root, "M03A", target_bytes=64 * 1024, force=True)
+    return by_day(lake.tree(spark, root, "M03A"))
+
+
+@registered(with_views(EVENTS, select=f"""
+    , f AS (SELECT CASE k WHEN 99 THEN 'never' ELSE substr(t, 1, 10) END AS day, amount,
+                   strftime(ts0 - INTERVAL 30 MINUTE, '%Y%m%d') AS file_day, rid
+            FROM ev),
+      s AS (SELECT file_day, count(DISTINCT rid % CASE WHEN right(file_day, 1) IN ('0', '5')
+                                                 THEN 288 ELSE 24 END) AS files
+            FROM (SELECT f.*, e.event_id AS rid FROM (SELECT row_number() OVER () AS n, * FROM events) e
+                  JOIN (SELECT row_number() OVER () AS n, * EXCLUDE rid FROM f) f USING (n)) GROUP BY 1)
+    SELECT stage, day, count(*) AS row_count, CAST(sum(amount) AS BIGINT) AS volume
+    FROM f JOIN s USING (file_day), (VALUES ('complete'), ('forced')) AS stages(stage)
+    WHERE stage = 'forced' OR files = 288 GROUP BY 1, 2"""))
+def convert_days(spark, sf_dir):
+    """Landed files to the lake: complete days, each once in two runs; then all days by force."""
+    landed, root = fresh_dir(spark, "slots"), fresh_dir(spark, "lake")
+    fixtures.land(fixtures.landing_days(spark, sf_dir), landed)
+    days = date(2023, 12, 31), date(2024, 2, 1)
+    parts = []
+    for stage, runs in (("complete", (False, False)), ("forced", (True,))):
+        for force in runs:
+            convert.convert_days(spark, landed, root, *days, force=force)
+        rows = lake.tree(spark, root, "M03A")
+        parts.append(rows.groupBy(F.when(F.col("TimeInterval") == "never", "never").otherwise(
+            day_of(F.col("TimeInterval"))).alias("day")).agg(
+            F.count(F.lit(1)).alias("row_count"), F.sum("Volume").alias("volume")).select(
+            F.lit(stage).alias("stage"), "*"))
+    return parts[0].unionByName(parts[1])
+
+
+@registered(with_views(TRIPS, select="""
+    SELECT substr(time_o, 1, 4) AS year, substr(time_o, 6, 2) AS month, count(*) AS n, sum(len) AS km,
+           count(DISTINCT substr(time_o, 1, 13)) AS raw_count FROM trp GROUP BY 1, 2"""))
+def convert_months(spark, sf_dir):
+    """Hourly files that land in two parts, taken as they come, and their stamps."""
+    landed, root, marks = (fresh_dir(spark, label) for label in ("hours", "lake", "stamps"))
+    lines = fixtures.landing_hours(spark, sf_dir)
+    early = F.substring("name", 20, 2) < "12"
+    for part in (early, ~early):
+        fixtures.land(lines.filter(part), landed)
+        convert.convert_months(spark, landed, root, marks)
+    convert.convert_months(spark, landed, root, marks)
+    rows = lake.tree(spark, root, "M06A").groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("TripLength").alias("km"))
+    return rows.join(lake.stamps(spark, marks).drop("dtype"), ["year", "month"])
 
 
 @registered("""

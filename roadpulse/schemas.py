@@ -69,10 +69,11 @@ def partition_text(df: DataFrame) -> DataFrame:
 
 
 def file_month(df: DataFrame, time_column: str) -> DataFrame:
-    """Add ``year``/``month`` partition text taken from a text time."""
+    """Add ``year``/``month`` partition text taken from a text time; null if there is no month in it."""
+    dated = F.col(time_column).rlike(r"^\d{4}-(0[1-9]|1[0-2])")
     return df.withColumns({
-        "year": F.substring(time_column, 1, 4),
-        "month": F.substring(time_column, 6, 2),
+        "year": F.when(dated, F.substring(time_column, 1, 4)),
+        "month": F.when(dated, F.substring(time_column, 6, 2)),
     })
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -63,6 +64,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def list_dir(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(name, time of change) of what lies in a folder; nothing if there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    return [(status.getPath().getName(), status.getModificationTime())
+            for status in system.listStatus(folder)]
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder to a name that must be free; whether it was."""
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs
+    context = fs.FileContext.getFileContext(fs.Path(source).toUri(), spark._jsc.hadoopConfiguration())
+    plain = spark.sparkContext._gateway.new_array(fs.Options.Rename, 0)
+    try:
+        context.rename(fs.Path(source), fs.Path(target), plain)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    return True
+
+
 def drop_dir(spark: SparkSession, path: str) -> None:
     """Remove a folder that :func:`fresh_dir` named, wherever the shared folder is."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

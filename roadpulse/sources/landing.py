@@ -43,9 +43,11 @@ def strict_csv(spark: SparkSession, path: str) -> DataFrame:
     return _strict(spark.read.text(path))
 
 
-def listing(spark: SparkSession, root: str) -> DataFrame:
+def listing(spark: SparkSession, root: str, uri: bool = False) -> DataFrame:
     """Files below a folder as ``(path, length)``, contents unread; empty files are left out.
 
+    With ``uri`` paths are spelled as in the metadata of rows read from them.
+
     A missing folder is an empty listing; any other failure stays an error, so
     it cannot look as if all files were missing.
     """
@@ -55,7 +57,7 @@ def listing(spark: SparkSession, root: str) -> DataFrame:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], "path string, length bigint")
-    return files.select("path", "length")
+    return files.select(F.col("_metadata.file_path").alias("path") if uri else "path", "length")
 
 
 def partition_of(path: Column, key: str) -> Column:

@@ -14,7 +14,7 @@ from roadpulse.operators import alias as al
 from roadpulse.operators import flow, quality, stations
 from roadpulse.plans import convert, service
 from roadpulse.session import fresh_dir, shared_dir
-from roadpulse.sources import lake, landing
+from roadpulse.sources import lake, landing, snapshots
 from roadpulse.streaming import jobs
 
 
@@ -115,11 +115,11 @@ def test_publish_holds_back_a_mismatch(spark, monkeypatch):
     root = fresh_dir(spark, "lake")
     first = lake.publish(facts(spark, *detections(spark, 1, 3), *detections(spark, 2, 4)), "M03A", root)
     assert rows(first, "month") == [("2024", "01", 3, 3, "OK"), ("2024", "02", 4, 4, "OK")]
-    check = lake.count_check
+    counts = lake.stored_counts
 
-    def spoiled(source, target, keys):
-        return check(source, target.filter("month = '02' or Volume > 0"), keys)
-    monkeypatch.setattr(lake, "count_check", spoiled)
+    def spoiled(spark, root, batch, schema):
+        return {m: n - (m[1] == "01") for m, n in counts(spark, root, batch, schema).items()}
+    monkeypatch.setattr(lake, "stored_counts", spoiled)
     second = lake.publish(facts(spark, *detections(spark, 1, 9), *detections(spark, 2, 9)), "M03A", root)
     assert [r["status"] for r in second.orderBy("month").collect()] == ["MISMATCH", "OK"]
     stored = lake.tree(spark, root, "M03A").groupBy("month").count()
@@ -138,12 +138,16 @@ def test_scan_prunes_and_pushes_down(spark):
     df = flow.selected(lake.scan(spark, root, "M03A", span), span, ["A"]).select("Volume")
     assert df.count() == 4
     plan = df._jdf.queryExecution().executedPlan().toString()
-    pruned = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
-    assert "year" in pruned and "month" in pruned
+    # the version names the folders, so others are not even listed
     assert "GreaterThanOrEqual(TimeInterval,2024-03-01 00:00)" in plan
     assert "EqualTo(GantryID,A)" in plan or "In(GantryID" in plan
     files = df.inputFiles()
-    assert files and all("month=03" in f or "month=01" in f for f in files)
+    assert files and all("month=03" in f for f in files)
+    plain = fresh_dir(spark, "plain")
+    lake.write_months(schemas.file_month(facts(spark, *detections(spark, 1, 3)), "TimeInterval"), plain)
+    plan = lake.scan(spark, plain, "M03A", span)._jdf.queryExecution().executedPlan().toString()
+    pruned = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "year" in pruned and "month" in pruned
     assert lake.scan(spark, fresh_dir(spark, "none"), "M03A", span).isEmpty()
 
 
@@ -205,7 +209,7 @@ def test_retype_lake(spark):
     lake.write_months(typed, root)
     lake.write_months(typed.select(*[F.col(c).cast("string") for c in typed.columns]).withColumn(
         "month", F.lit("02")), root)
-    assert [p[-8:] for p in lake.text_months(spark, root)] == ["month=02"]
+    assert [e.month for e in lake.text_months(spark, root)] == ["02"]
     assert rows(lake.retype_lake(spark, root, "M06A")) == [("2024", "02", 1, 1, "OK")]
     assert lake.text_months(spark, root) == [] and lake.retype_lake(spark, root, "M06A") is None
     assert rows(lake.tree(spark, root, "M06A").select("VehicleType", "TripLength", "month"),
@@ -239,8 +243,9 @@ def test_convert_keeps_days_that_left_the_landing_folder(spark, tmp_path):
             slot(folder, "M03A", f"202401{day}_{at.replace(':', '')}00", f"2024-01-{day} {at},A,N,31,1\n")
     days = date(2024, 1, 1), date(2024, 1, 9)
     convert.convert_days(spark, str(raw), root, *days)
+    # the second day is a batch of its own, the first is not written again
     check = convert.convert_days(spark, str(other), root, *days)
-    assert rows(check) == [("2024", "01", 576, 576, "OK")]
+    assert rows(check) == [("2024", "01", 288, 288, "OK")]
     stored = lake.tree(spark, root, "M03A").groupBy(F.substring("TimeInterval", 1, 10)).count()
     assert sorted(rows(stored)) == [("2024-01-03", 288), ("2024-01-04", 288)]
     assert convert.convert_days(spark, str(other), root, *days, force=True).first()["dst_count"] == 576
@@ -272,7 +277,8 @@ def test_convert_months(spark, tmp_path):
     assert convert.convert_months(spark, str(raw), root, marks).isEmpty()
     slot(raw, "M06A", "20240201_010000", line)
     again = convert.convert_months(spark, str(raw), root, marks)
-    assert rows(again.select("month", "dst_count")) == [("02", 2)]
+    assert rows(again.select("month", "dst_count")) == [("02", 1)]
+    assert rows(lake.tree(spark, root, "M06A").groupBy("month").count(), "month") == [("01", 1), ("02", 2)]
     assert rows(lake.stamps(spark, marks).select("month", "raw_count"), "month") == [
         ("01", 1), ("02", 2)]
 
@@ -313,6 +319,172 @@ def test_late_rows_still_count(spark, tmp_path):
     assert run("2024-01-01 00:02:00") == [("2024-01-01 00:00:00", 2)]
 
 
+def test_days_are_judged_by_files(spark, tmp_path):
+    """Rows of a neighbouring day and unreadable ones neither hide a day nor repeat."""
+    raw, root = tmp_path / "raw", fresh_dir(spark, "lake")
+    for day in ("03", "04"):
+        for minute in range(0, 1440, 5):
+            at = f"{minute // 60:02d}:{minute % 60:02d}"
+            more = "2024-01-04 23:00,A,N,31,1\nnever,B,N,31,1\n" if (day, minute) == ("03", 0) else ""
+            if day == "03" or minute < 1435:
+                slot(raw, "M03A", f"202401{day}_{at.replace(':', '')}00",
+                     f"2024-01-{day} {at},A,N,31,1\n" + more)
+    days = date(2024, 1, 3), date(2024, 1, 4)
+
+    def stored():
+        held = lake.tree(spark, root, "M03A")
+        return held.count(), held.filter("TimeInterval = 'never'").count()
+    assert rows(convert.convert_days(spark, str(raw), root, *days)) == [("2024", "01", 290, 290, "OK")]
+    assert convert.convert_days(spark, str(raw), root, *days).isEmpty() and stored() == (290, 1)
+    slot(raw, "M03A", "20240104_235500", "2024-01-04 23:55,A,N,31,1\n")
+    assert rows(convert.convert_days(spark, str(raw), root, *days)) == [("2024", "01", 288, 288, "OK")]
+    assert stored() == (578, 1)
+    for _ in range(2):
+        assert convert.convert_days(spark, str(raw), root, *days, force=True).first()["dst_count"] == 578
+        assert stored() == (578, 1)
+    # a file that landed again in another length takes the place of its own rows
+    slot(raw, "M03A", "20240103_000000", "2024-01-03 00:00,A,N,31,1\n2024-01-03 00:00,B,N,31,1\n")
+    convert.convert_days(spark, str(raw), root, *days)
+    assert stored() == (577, 0)
+    assert snapshots.sources(spark, root).count() == 576
+    assert snapshots.sources(spark, root).select("name").distinct().count() == 576
+
+
+def test_one_name_in_two_folders_counts_once(spark, tmp_path):
+    root, marks = fresh_dir(spark, "lake"), fresh_dir(spark, "stamps")
+    line = "31,2024-01-31 23:59:00,A,2024-02-01 00:10:00,B,1.5,Y,2024-01-31 23:59:00+A\n"
+    slot(tmp_path / "raw" / "a b", "M06A", "20240131_230000", line * 2)
+    slot(tmp_path / "raw" / "c", "M06A", "20240131_230000", line)
+    slot(tmp_path / "raw" / "c", "M06A", "20240132_230000", line)
+    check = convert.convert_months(spark, str(tmp_path / "raw"), root, marks)
+    assert rows(check) == [("2024", "01", 2, 2, "OK")]
+
+
+def test_months_keep_rows_whose_files_left(spark, tmp_path):
+    raw, root, marks = tmp_path / "raw", fresh_dir(spark, "lake"), fresh_dir(spark, "stamps")
+    line = "31,2024-01-{},A,2024-01-04 00:10:00,B,1.5,Y,x\n"
+    slot(raw, "M06A", "20240103_010000", line.format("03 01:00:00") * 3)
+    slot(raw, "M06A", "20240104_010000", line.format("04 01:00:00") * 2)
+    convert.convert_months(spark, str(raw), root, marks)
+    (raw / "TDCS_M06A_20240103_010000.csv").unlink()
+    slot(raw, "M06A", "20240105_010000", line.format("05 01:00:00"))
+    slot(raw, "M06A", "20240105_020000", "")
+    assert rows(convert.convert_months(spark, str(raw), root, marks)) == [("2024", "01", 1, 1, "OK")]
+    held = lake.tree(spark, root, "M06A").groupBy(F.substring("DetectionTime_O", 9, 2)).count()
+    assert sorted(rows(held)) == [("03", 3), ("04", 2), ("05", 1)]
+    assert rows(lake.stamps(spark, marks).select("raw_count")) == [(3,)]
+
+
+def test_publishes_keep_bad_times_apart(spark):
+    root = fresh_dir(spark, "lake")
+    lake.publish(facts(spark, ("x", "A", "N", 31, 1), ("2024-01-01 00:00", "A", "N", 31, 1)), "M03A", root)
+    lake.publish(facts(spark, ("2024-13-01 00:00", "B", "N", 31, 1), ("2024-02-01 00:00", "A", "N", 31, 1)),
+                 "M03A", root)
+    assert rows(lake.tree(spark, root, "M03A").select("year", "month", "GantryID"),
+                "year", "month", "GantryID") == [
+        ("0000", "00", "A"), ("0000", "00", "B"), ("2024", "01", "A"), ("2024", "02", "A")]
+
+
+def test_readers_see_one_version(spark):
+    root = fresh_dir(spark, "lake")
+    lake.publish(facts(spark, *detections(spark, 1, 5)), "M03A", root)
+    before = lake.tree(spark, root, "M03A")
+    lake.publish(facts(spark, *detections(spark, 1, 8), *detections(spark, 2, 2)), "M03A", root)
+    assert (before.count(), lake.tree(spark, root, "M03A").count()) == (5, 10)
+    assert snapshots.read(spark, root, schemas.DETECTIONS, version=1).count() == 5
+    # a batch that no version names is not there for readers
+    lake.write_batch(lake.filed(facts(spark, *detections(spark, 3, 9)), "M03A"), root, 2, schemas.DETECTIONS)
+    assert lake.tree(spark, root, "M03A").count() == 10
+    assert snapshots.drop_old(spark, root, keep=1) == []
+    assert len(snapshots.drop_old(spark, root, keep=1, hours=-1)) == 2
+    assert lake.tree(spark, root, "M03A").count() == 10 and snapshots.numbers(spark, root) == [2]
+
+
+def test_two_writers(spark):
+    root = fresh_dir(spark, "lake")
+    lake.publish(facts(spark, *detections(spark, 1, 5), *detections(spark, 2, 5)), "M03A", root)
+
+    def entry(month, n):
+        batch, check = lake.write_batch(lake.filed(facts(spark, *detections(spark, month, n)), "M03A"),
+                                        root, 1, schemas.DETECTIONS)
+        return [snapshots.Entry(y, m, batch, rows, 0) for y, m, _, rows, _ in check]
+    one, other, same = entry(1, 7), entry(2, 9), entry(1, 3)
+    assert snapshots.commit(spark, root, 1, one, [("2024", "01")]) == 2
+    # another month goes on top, the same month is refused
+    assert snapshots.commit(spark, root, 1, other, [("2024", "02")]) == 3
+    with pytest.raises(snapshots.Conflict):
+        snapshots.commit(spark, root, 1, same, [("2024", "01")])
+    assert lake.tree(spark, root, "M03A").count() == 16
+
+
+def test_a_plain_lake_is_taken_over(spark):
+    root = fresh_dir(spark, "lake")
+    old = facts(spark, *detections(spark, 1, 3), *detections(spark, 2, 4))
+    lake.write_months(schemas.file_month(old, "TimeInterval"), root)
+    lake.publish(facts(spark, *detections(spark, 2, 9)), "M03A", root)
+    assert rows(lake.tree(spark, root, "M03A").groupBy("month").count(), "month") == [("01", 3), ("02", 9)]
+
+
+def test_publish_reads_its_source_once(spark):
+    root, reads = fresh_dir(spark, "lake"), spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+    source = facts(spark, *detections(spark, 1, 30), *detections(spark, 2, 20)).repartition(7)
+    check = lake.publish(source.mapInPandas(seen, schemas.DETECTIONS), "M03A", root)
+    assert rows(check, "month") == [("2024", "01", 30, 30, "OK"), ("2024", "02", 20, 20, "OK")]
+    assert reads.value == 50
+    assert lake.publish(source.limit(0), "M03A", root).isEmpty()
+
+
+def test_counts_on_the_way_are_exact(spark, monkeypatch):
+    rows_ = spark.range(0, 60_000, 1, 16).select(
+        F.format_string("%04d", 1900 + F.col("id") % 150).alias("year"),
+        F.format_string("%02d", F.col("id") % 12 + 1).alias("month"))
+    passing, seen = lake.counted(rows_)
+    passing.write.format("noop").mode("overwrite").save()
+    assert lake.observed(seen) == lake.by_month(rows_)
+    monkeypatch.setattr(lake, "MOST_MONTHS", 50)
+    passing, seen = lake.counted(rows_)
+    passing.write.format("noop").mode("overwrite").save()
+    assert lake.observed(seen) is None
+
+
+def test_files_by_size(spark, tmp_path):
+    """A month of most rows, most of them in one hour, gets files of equal size in time order."""
+    root = fresh_dir(spark, "lake")
+    hot = spark.range(0, 40_000, 1, 6).select(
+        F.when(F.col("id") % 2 == 0, "2024-01-05 08:00").otherwise(F.format_string(
+            "2024-01-%02d %02d:00", F.col("id") % 28 + 1, F.col("id") % 24)).alias("TimeInterval"),
+        F.sha2(F.col("id").cast("string"), 256).alias("GantryID"), F.lit("N").alias("Direction"),
+        F.lit(31).alias("VehicleType"), F.lit(1).alias("Volume"))
+    lake.publish(hot.unionByName(facts(spark, *detections(spark, 2, 9))), "M03A", root)
+    total = lake.stored_files(spark, root).filter("month = '01'").agg(F.sum("length")).first()[0]
+    target = total // 6
+    check = lake.rewrite(spark, root, "M03A", target, force=True)
+    assert rows(check, "month") == [("2024", "01", 40_000, 40_000, "OK"), ("2024", "02", 9, 9, "OK")]
+    sizes = [r["length"] for r in lake.stored_files(spark, root).filter("month = '01'").collect()]
+    assert len(sizes) == 6 and max(sizes) < 2 * target and min(sizes) > target / 2
+    assert lake.stored_files(spark, root).filter("month = '02'").count() == 1
+    spans = lake.tree(spark, root, "M03A").filter("month = '01'").groupBy(F.input_file_name().alias("f")).agg(
+        F.min(F.substring("TimeInterval", 1, 13)).alias("lo"), F.max(F.substring("TimeInterval", 1, 13)).alias("hi")
+    ).orderBy("lo", "hi").collect()
+    assert all(a["hi"] <= b["lo"] for a, b in zip(spans, spans[1:]))
+    assert lake.rewrite(spark, root, "M03A", target).isEmpty()
+    # several batches of a month become one, and the ledger of its files goes with it
+    raw = tmp_path / "raw"
+    for hour in range(2):
+        slot(raw, "M06A", f"20240131_0{hour}0000", f"31,2024-01-31 0{hour}:59:00,A,,B,1.5,Y,x\n")
+        convert.convert_months(spark, str(raw), root + "t", root + "s")
+    assert len(snapshots.entries(spark, root + "t")) == 2
+    lake.rewrite(spark, root + "t", "M06A")
+    assert len(snapshots.entries(spark, root + "t")) == 1
+    assert snapshots.sources(spark, root + "t").count() == 2
+    assert convert.convert_months(spark, str(raw), root + "t", root + "s").isEmpty()
+
+
 @pytest.fixture(scope="module")
 def data(spark):
     m03, m06 = fresh_dir(spark, "lake"), fresh_dir(spark, "lake")
