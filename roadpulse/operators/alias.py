@@ -82,7 +82,38 @@ def expansion(alias: DataFrame, asked: DataFrame) -> DataFrame:
     return own.select(F.col("asked").alias("id"), "asked", "position").unionByName(others)
 
 
-def request_ids(alias: DataFrame | None, ids: Sequence[str]) -> list[tuple[str, str]]:
+class AliasIndex:
+    """The alias table held on the driver, so that a request needs no job to resolve its ids.
+
+    It is made from the station dimension and no larger; beyond ``most`` rows it is not held,
+    and each request joins its ids instead.
+    """
+
+    def __init__(self, table: DataFrame, most: int = 200_000):
+        self.table = table
+        held = table.select("id", "component").limit(most + 1).collect()
+        self.component = {r["id"]: r["component"] for r in held} if len(held) <= most else None
+        self.members: dict[str, list[str]] = {}
+        for station, component in (self.component or {}).items():
+            self.members.setdefault(component, []).append(station)
+
+    def request_ids(self, ids: Sequence[str]) -> list[tuple[str, str]]:
+        """As :func:`request_ids` of the table."""
+        if self.component is None:
+            return request_ids(self.table, ids)
+        position = {station: at for at, station in enumerate(ids)}
+        last: dict[str, tuple[int, str]] = {}
+        for station, at in position.items():
+            component = self.component.get(station)
+            if component is not None:
+                last[component] = max(last.get(component, (at, station)), (at, station))
+        found = [(at, False, station, station) for station, at in position.items()]
+        found += [(at, True, station, asked) for component, (at, asked) in last.items()
+                  for station in self.members[component] if station not in position]
+        return [(station, asked) for _, _, station, asked in sorted(found)]
+
+
+def request_ids(alias: DataFrame | AliasIndex | None, ids: Sequence[str]) -> list[tuple[str, str]]:
     """``(id, asked)`` of a request in its order, an asked id before its aliases.
 
     They come to the driver: the request is there already, and its aliases are no
@@ -90,12 +121,14 @@ def request_ids(alias: DataFrame | None, ids: Sequence[str]) -> list[tuple[str,
     """
     if alias is None:
         return [(station, station) for station in dict.fromkeys(ids)]
+    if isinstance(alias, AliasIndex):
+        return alias.request_ids(ids)
     found = expansion(alias, asked_ids(alias, ids))
     return [(row["id"], row["asked"]) for row in found.orderBy(
         "position", F.col("id") != F.col("asked"), "id").collect()]
 
 
-def attribute(df: DataFrame, alias: DataFrame | None, ids: Sequence[str],
+def attribute(df: DataFrame, alias: DataFrame | AliasIndex | None, ids: Sequence[str],
               column: str = "GantryID") -> DataFrame:
     """Rows of the asked stations and their aliases, alias ids rewritten to the asked id.
 
@@ -111,6 +144,6 @@ def attribute(df: DataFrame, alias: DataFrame | None, ids: Sequence[str],
         column, F.coalesce("asked", column)).drop("asked").select(*df.columns)
 
 
-def expanded_ids(alias: DataFrame | None, *lists: Sequence[str]) -> list[list[str]]:
+def expanded_ids(alias: DataFrame | AliasIndex | None, *lists: Sequence[str]) -> list[list[str]]:
     """Each list of asked ids with their aliases, in request order, for path patterns."""
     return [[station for station, _ in request_ids(alias, ids)] for ids in lists]

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions import timeparts as tp
 from roadpulse.functions.text import first_filled, number_value
-from roadpulse.operators.alias import attribute
+from roadpulse.operators.alias import AliasIndex, attribute
 from roadpulse.operators.ranking import numbered_top, percent, share_of
-from roadpulse.schemas import DIRECTIONS, UNNAMED_STATION
+from roadpulse.schemas import DIRECTIONS, UNNAMED_STATION, UNNAMED_VEHICLE
 
 # Column spellings accepted for a detection row.
 TIME_NAMES = ["time", "timestamp", "datetime", "date_time", "time_interval", "TimeInterval",
@@ -28,7 +28,7 @@ DETECTION_MARKS = ["volume", "flow", "trafficvolume", "traffic_volume", "traffic
 
 def selected(detections: DataFrame, span: tp.TimeRange, stations: Sequence[str] | None = None,
              direction: str = "", vehicles: Sequence[int] | None = None,
-             alias: DataFrame | None = None) -> DataFrame:
+             alias: DataFrame | AliasIndex | None = None) -> DataFrame:
     """Detections of a closed range; a missing station, direction or vehicle means all."""
     rows = detections.filter(tp.in_minutes("TimeInterval", span))
     if direction in DIRECTIONS:
@@ -40,7 +40,7 @@ def selected(detections: DataFrame, span: tp.TimeRange, stations: Sequence[str]
 
 def series(detections: DataFrame, span: tp.TimeRange, stations: Sequence[str] | None = None,
            direction: str = "", vehicle: int | None = None,
-           alias: DataFrame | None = None) -> DataFrame:
+           alias: DataFrame | AliasIndex | None = None) -> DataFrame:
     """Volume per time bucket, station, direction and vehicle at the grain the span asks for."""
     rows = selected(detections, span, stations, direction,
                     None if vehicle is None else [vehicle], alias)
@@ -124,11 +124,12 @@ def metrics(rows: DataFrame) -> DataFrame:
 
 
 def vehicle_breakdown(rows: DataFrame) -> DataFrame:
-    """Volume, share and mean per day of each vehicle type.
+    """Volume, share and mean per day of each vehicle type, largest first; blank ones are one unnamed type.
 
     Total and days come from one subquery over the same (vehicle, day) grouping.
     """
-    fine = rows.groupBy("vehicle_type", tp.date_part(F.col("time")).alias("day")).agg(
+    named = F.coalesce(F.nullif(F.trim("vehicle_type"), F.lit("")), F.lit(UNNAMED_VEHICLE))
+    fine = rows.groupBy(named.alias("vehicle_type"), tp.date_part(F.col("time")).alias("day")).agg(
         F.sum("traffic_volume").alias("v"))
     per_day = fine.groupBy(F.nullif("day", F.lit("")).alias("day")).agg(F.sum("v").alias("v"))
     whole = per_day.agg(F.sum("v").alias("total"), F.count("day").alias("days")).select(
@@ -136,7 +137,8 @@ def vehicle_breakdown(rows: DataFrame) -> DataFrame:
     share = percent(F.col("volume"), whole.getField("total"))
     return fine.groupBy("vehicle_type").agg(F.sum("v").alias("volume")).select(
         "vehicle_type", "volume", share.alias("share"),
-        (F.col("volume") / F.greatest(whole.getField("days"), F.lit(1))).alias("mean_per_day"))
+        (F.col("volume") / F.greatest(whole.getField("days"), F.lit(1))).alias("mean_per_day")
+    ).orderBy(F.desc("volume"), "vehicle_type")
 
 
 def station_ranking(rows: DataFrame, groups_by_station: DataFrame, top: int = 12) -> DataFrame:
@@ -157,10 +159,10 @@ def station_ranking(rows: DataFrame, groups_by_station: DataFrame, top: int = 12
 
 
 def trend(rows: DataFrame, span: tp.TimeRange) -> DataFrame:
-    """Volume per trend bucket of the span."""
+    """Volume per trend bucket of the span, in time order."""
     return rows.groupBy(
         tp.trend_bucket(F.col("time"), span.span_days).alias("bucket")).agg(
-        F.sum("traffic_volume").alias("volume"))
+        F.sum("traffic_volume").alias("volume")).orderBy("bucket")
 
 
 def any_of(values: Sequence[str] | str | None) -> list[str] | None:

@@ -123,5 +123,57 @@ def dashboard(fine: DataFrame, sections: DataFrame) -> DataFrame:
     return rows.withColumn("share", percent(F.col("volume"), whole))
 
 
+def answer(fine: DataFrame, sections: DataFrame, top: int = 10) -> DataFrame:
+    """The dashboard as it is shown: each panel complete and in its order, one table, one grouping.
+
+    ``panel`` is total, hour (of an hourly base), day, vehicle or section; ``place`` numbers the
+    rows of a panel from 1: times ascending, the five vehicle types in their order with zeros
+    filled in, the ``top`` sections by volume, name and direction. Sections have name, station,
+    direction and its label. No data, no rows.
+    """
+    grouped = panels(fine)
+    lookup = sections.select(F.col("station").alias("GantryID"), F.struct(
+        "group_id", "current_gantry_id", "name", "group_direction", "direction_label").alias("section"))
+    found, own = F.col("section"), F.when(F.col("Direction") == "S", "S").otherwise("N")
+    code = F.col("VehicleType").cast("string")
+    is_section = F.col("panel") == "station"
+    # The total meets one empty row of each vehicle type.
+    none = F.array(*[F.struct(F.lit("vehicle").alias("panel"), F.lit(str(v)).alias("key"),
+                              F.lit(0).cast("long").alias("volume"), F.lit(0).cast("long").alias("row_count"))
+                     for v in VEHICLE_ORDER])
+    own_row = F.struct(
+        F.when(is_section, "section").when((F.col("panel") == "bucket") & (F.length("bucket") > 10), "hour")
+        .otherwise(F.col("panel")).alias("panel"),
+        F.when(F.col("panel") == "bucket", F.col("bucket")).when(F.col("panel") == "day", F.col("day"))
+        .when(F.col("panel") == "vehicle", code)
+        .when(is_section, F.coalesce(found["group_id"], F.concat(F.lit("RAW_"), "GantryID"))).otherwise("")
+        .alias("key"), "volume", "row_count")
+    rows = grouped.join(lookup, "GantryID", "left").select(
+        F.explode(F.when(F.col("panel") == "total", F.concat(F.array(own_row), none))
+                  .otherwise(F.array(own_row))).alias("row"),
+        F.when(is_section, F.coalesce(found["current_gantry_id"], "GantryID")).alias("gantry_id"),
+        F.when(is_section, F.coalesce(found["name"], "GantryID")).alias("name"),
+        F.when(is_section, F.coalesce(found["group_direction"], own)).alias("direction"),
+        F.when(is_section, F.coalesce(found["direction_label"], road_direction_label(own))).alias("direction_label"))
+    kept = rows.select("row.*", "gantry_id", "name", "direction", "direction_label").filter(
+        (F.col("panel") != "bucket") & ((F.col("panel") != "vehicle")
+                                        | F.col("key").isin([str(v) for v in VEHICLE_ORDER])))
+    summed = kept.groupBy("panel", "key").agg(
+        F.sum("volume").alias("volume"), F.sum("row_count").alias("row_count"),
+        F.min("gantry_id").alias("gantry_id"), F.min("name").alias("name"),
+        F.min("direction").alias("direction"), F.min_by("direction_label", "direction").alias("direction_label"))
+    order = Window.partitionBy("panel").orderBy(
+        F.when(F.col("panel") == "section", -F.col("volume")),
+        F.when(F.col("panel") == "section", F.col("name")),
+        F.when(F.col("panel") == "section", F.col("direction")),
+        F.when(F.col("panel") == "vehicle", F.array_position(
+            F.array(*[F.lit(str(v)) for v in VEHICLE_ORDER]), F.col("key"))), "key")
+    whole = F.max(F.when(F.col("panel") == "total", F.col("volume"))).over(Window.partitionBy())
+    placed = summed.withColumn("share", percent(F.col("volume"), whole)).withColumn(
+        "place", F.row_number().over(order))
+    return placed.filter((F.col("panel") != "section") | (F.col("place") <= top)).filter(
+        F.col("row_count").isNotNull()).orderBy("panel", "place")
+
+
 def panel(table: DataFrame, name: str) -> DataFrame:
     return table.filter(F.col("panel") == name)

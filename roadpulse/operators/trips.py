@@ -104,13 +104,13 @@ def totals_by_vehicle(rows: DataFrame) -> DataFrame:
 
 
 def pivot(rows: DataFrame, span: tp.TimeRange) -> DataFrame:
-    """Trips per bucket with one column per vehicle in domain order, and the row total."""
+    """Trips per bucket with one column per vehicle in domain order, and the row total, by time."""
     count = F.col("trip_count")
     columns = [F.coalesce(F.sum(F.when(F.col("vehicle_type") == str(code), count)), F.lit(0))
                .alias(f"v{code}") for code in VEHICLE_ORDER]
     return rows.groupBy(
         tp.trip_bucket(F.col("origin_time"), span.span_days).alias("bucket")
-    ).agg(*columns, F.sum(count).alias("total"))
+    ).agg(*columns, F.sum(count).alias("total")).orderBy("bucket")
 
 
 def mean_travel_minutes(rows: DataFrame) -> DataFrame:

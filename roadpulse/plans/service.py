@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, timedelta
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.functions.timeparts import TimeRange, parse_day
+from roadpulse.functions.timeparts import TimeRange, parse_day, period_label
 from roadpulse.operators import flow, quality, stats, trips
-from roadpulse.operators.alias import expanded_ids
+from roadpulse.operators.alias import AliasIndex, expanded_ids
 from roadpulse.sources import lake, landing
 
 
@@ -24,7 +25,17 @@ class TrafficData:
     alias: DataFrame | None = None
     sections: DataFrame | None = None
 
+    #: Detections kept partly by day: both layouts are read.
+    days_too: bool = False
+
+    @cached_property
+    def aliases(self) -> AliasIndex | None:
+        """The alias table, fetched with the first request that names a station."""
+        return None if self.alias is None else AliasIndex(self.alias)
+
     def detections(self, span: TimeRange) -> DataFrame:
+        if self.days_too:
+            return lake.mixed_layout(self.spark, self.detections_root, "M03A", span)
         return lake.scan(self.spark, self.detections_root, "M03A", span)
 
     def trips(self, span: TimeRange) -> DataFrame:
@@ -45,7 +56,8 @@ class TrafficData:
 
 @dataclass
 class Answer:
-    """All rows of a query, and the modal route of an OD query; callers limit what they show."""
+    """All rows of a query in their order, and the modal route of an OD query; callers limit what
+    they show."""
 
     rows: DataFrame
     route: DataFrame | None = None
@@ -74,7 +86,8 @@ def flow_query(data: TrafficData, payload: dict, max_days: int | None = None) ->
     span = asked_range(payload, max_days)
     return flow.series(
         data.detections(span), span, flow.any_of(payload.get("gantry_ids")),
-        str(payload.get("direction") or "").strip().upper(), asked_vehicle(payload), data.alias)
+        str(payload.get("direction") or "").strip().upper(), asked_vehicle(payload), data.aliases
+    ).orderBy("time", "gantry_id", "direction", "vehicle_type")
 
 
 def asked_ends(data: TrafficData, payload: dict) -> tuple[list[str], list[str], str, str]:
@@ -83,7 +96,7 @@ def asked_ends(data: TrafficData, payload: dict) -> tuple[list[str], list[str],
     ends = flow.any_of(payload.get("end_gantry_ids")) or flow.any_of(payload.get("end_gantry"))
     if not starts or not ends:
         raise ValueError("an OD request needs start and end stations")
-    starts, ends = expanded_ids(data.alias, starts, ends)
+    starts, ends = expanded_ids(data.aliases, starts, ends)
     return (starts, ends, str(payload.get("start_gantry") or starts[0]),
             str(payload.get("end_gantry") or ends[0]))
 
@@ -95,7 +108,8 @@ def od_query(data: TrafficData, payload: dict, max_days: int | None = None) -> A
     matched = trips.stretches(found, span, starts, ends, asked_vehicle(payload))
     rows = trips.travel_time(matched).select(
         "origin_time", "vehicle_type", "trip_count", "avg_travel_time_minutes",
-        F.lit(start_name).alias("start_gantry"), F.lit(end_name).alias("end_gantry"))
+        F.lit(start_name).alias("start_gantry"), F.lit(end_name).alias("end_gantry")
+    ).orderBy("origin_time", "vehicle_type")
     return Answer(rows, trips.modal_route(matched, starts, ends))
 
 
@@ -106,7 +120,7 @@ def detections_page(data: TrafficData, start: str, end: str, gantry: str = "all"
     vehicles = flow.any_of(vehicle_type)
     return flow.detail_page(
         data.detections(span), span, limit=limit, offset=offset,
-        stations=flow.any_of(gantry), alias=data.alias,
+        stations=flow.any_of(gantry), alias=data.aliases,
         vehicles=[int(v) for v in vehicles] if vehicles else None)
 
 
@@ -134,6 +148,18 @@ def dashboard(data: TrafficData, payload: dict, max_days: int | None = None) ->
     return stats.dashboard(fine, data.known_sections())
 
 
+def dashboard_answer(data: TrafficData, payload: dict, max_days: int | None = None) -> DataFrame:
+    """The dashboard as it is shown, see :func:`stats.answer`, with the label of its period."""
+    period = payload.get("period_type")
+    if period not in ("daily", "weekly", "monthly"):
+        raise ValueError("period_type must be daily, weekly or monthly")
+    first, last = parse_day(payload["start_date"]), parse_day(payload["end_date"])
+    span = TimeRange.days(payload["start_date"], payload["end_date"]).check(max_days)
+    fine = stats.base(data.detections(span), span, hourly=period == "daily")
+    return stats.answer(fine, data.known_sections()).withColumn(
+        "label", period_label(F.lit(period), F.lit(first), F.lit(last)))
+
+
 def week_of(day: str) -> tuple[date, date]:
     """Sunday to Saturday around a day, for a weekly request."""
     at = parse_day(day)

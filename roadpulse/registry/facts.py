@@ -72,6 +72,11 @@ def alias_of(spark: SparkSession, sf_dir: str) -> DataFrame:
         cut_lineage(fixtures.station_dimension(spark, sf_dir))))
 
 
+def alias_index_of(spark: SparkSession, sf_dir: str) -> al.AliasIndex:
+    """The same, held for the requests of this application."""
+    return once(spark, sf_dir, "alias index", lambda: al.AliasIndex(alias_of(spark, sf_dir)))
+
+
 def sections_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Section of each station id, renumbered ones through their canonical id."""
     return once(spark, sf_dir, "sections", lambda: cut_lineage(

@@ -10,7 +10,7 @@ from roadpulse.operators import flow, stats
 from roadpulse.plans import service
 from roadpulse.registry.book import (ALIAS, DETECTIONS, GROUPS, SECTIONS, registered,
                                      with_views)
-from roadpulse.registry.facts import alias_of, data_of, detections_of, lookup_of, sections_of
+from roadpulse.registry.facts import alias_index_of, data_of, detections_of, lookup_of, sections_of
 
 MONTH = TimeRange.of("2024-01-01 00:00", "2024-01-30 23:59")
 STATIONS = ["01F0230N", "01F0345S", "03F1265S"]
@@ -68,7 +68,7 @@ def flow_daily(spark, sf_dir):
                        " WHERE id = '01F0460N'))", "'01F0460N'", (DETECTIONS, ALIAS)))
 def flow_alias_expanded(spark, sf_dir):
     """One series across a renumbering, under the id that was asked for."""
-    return series_of(spark, sf_dir, MONTH, stations=["01F0460N"], alias=alias_of(spark, sf_dir))
+    return series_of(spark, sf_dir, MONTH, stations=["01F0460N"], alias=alias_index_of(spark, sf_dir))
 
 
 @registered(series_sql("2024-01-01 00:00", "2024-01-30 23:59", DAY,
@@ -76,7 +76,7 @@ def flow_alias_expanded(spark, sf_dir):
 def flow_alias_attributed(spark, sf_dir):
     """Both ids asked for: neither is rewritten."""
     return series_of(spark, sf_dir, MONTH, stations=["01F0459N", "01F0460N", "01F0230N"],
-                     alias=alias_of(spark, sf_dir))
+                     alias=alias_index_of(spark, sf_dir))
 
 
 @registered(with_views(DETECTIONS, select="""
@@ -269,3 +269,52 @@ def dashboard(spark, sf_dir):
     """The whole answer to a month's dashboard request, in one action."""
     return service.dashboard(data_of(spark, sf_dir), {
         "period_type": "monthly", "start_date": "2024-01-01", "end_date": "2024-01-31"})
+
+
+def _answer_sql(low: str, high: str, label: str, hourly: bool) -> str:
+    hours = f"UNION ALL SELECT 'hour', {HOUR}, sum(vol), count(*) FROM d GROUP BY 2" if hourly else ""
+    return with_views(DETECTIONS, ALIAS, SECTIONS, select=f"""
+    , d AS (SELECT det.*, coalesce(a.group_id, b.group_id, 'RAW_' || g) AS section,
+                   coalesce(a.cur, b.cur, g) AS cur, coalesce(a.nm, b.nm, g) AS nm,
+                   coalesce(a.gdir, b.gdir, CASE dir WHEN 'S' THEN 'S' ELSE 'N' END) AS way
+            FROM det LEFT JOIN mem a ON a.station = g LEFT JOIN alias ON alias.id = g
+            LEFT JOIN mem b ON b.station = alias.canonical WHERE {_in_days(low, high)}),
+      kinds AS (SELECT unnest([31, 32, 41, 42, 5]) AS code, unnest(range(1, 6)) AS place),
+      panels AS (
+        SELECT 'total' AS panel, '' AS key, sum(vol) AS volume, count(*) AS row_count,
+               NULL AS gantry_id, NULL AS name, NULL AS direction, 1 AS place FROM d
+        UNION ALL SELECT 'vehicle', CAST(code AS VARCHAR), coalesce(sum(vol), 0), count(vt), NULL, NULL, NULL,
+               place FROM kinds LEFT JOIN d ON vt = code GROUP BY code, place
+        UNION ALL SELECT 'section', section, sum(vol), count(*), min(cur), min(nm), min(way),
+               row_number() OVER (ORDER BY sum(vol) DESC, min(nm), min(way), section) FROM d GROUP BY 2
+        UNION ALL SELECT panel, key, volume, row_count, NULL, NULL, NULL,
+               row_number() OVER (PARTITION BY panel ORDER BY key) FROM (
+            SELECT 'day' AS panel, {DAY} AS key, sum(vol) AS volume, count(*) AS row_count FROM d GROUP BY 2
+            {hours}))
+    SELECT panel, key, CAST(volume AS BIGINT) AS volume, row_count, gantry_id, name, direction,
+           CASE direction WHEN 'S' THEN '南下' WHEN 'N' THEN '北上' END AS direction_label,
+           CAST(place AS INTEGER) AS place, '{label}' AS label,
+           round(volume / (SELECT sum(vol) FROM d)::DOUBLE * 100, 1) AS share
+    FROM panels WHERE panel <> 'section' OR place <= 10""")
+
+
+@registered(_answer_sql("2024-01-01", "2024-01-31", "月流量｜2024/01/01 ～ 2024/01/31", hourly=False))
+def dashboard_month(spark, sf_dir):
+    """A month's dashboard as shown: named and ordered sections, all vehicle types, days."""
+    return service.dashboard_answer(data_of(spark, sf_dir), {
+        "period_type": "monthly", "start_date": "2024-01-01", "end_date": "2024-01-31"})
+
+
+@registered(_answer_sql("2024-01-10", "2024-01-10", "日流量｜2024/01/10", hourly=True))
+def dashboard_day(spark, sf_dir):
+    """A day's dashboard as shown, with its hours."""
+    return service.dashboard_answer(data_of(spark, sf_dir), {
+        "period_type": "daily", "start_date": "2024-01-10", "end_date": "2024-01-10"})
+
+
+@registered(series_sql("2024-01-10 00:00", "2024-01-11 23:55", "ti", _LISTED))
+def flow_answer(spark, sf_dir):
+    """A flow request answered, in time and station order."""
+    return service.query(data_of(spark, sf_dir), {
+        "dataset": "M03A", "start_time": "2024-01-10 00:00", "end_time": "2024-01-11 23:55",
+        "gantry_ids": STATIONS}).rows

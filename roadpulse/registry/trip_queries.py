@@ -8,8 +8,9 @@ from roadpulse.functions.timeparts import TimeRange
 from roadpulse.operators import trips
 from roadpulse.operators.alias import expanded_ids
 from roadpulse.operators.quality import value_counts
+from roadpulse.plans import service
 from roadpulse.registry.book import TRIPS, registered, with_views
-from roadpulse.registry.facts import alias_of, trips_of
+from roadpulse.registry.facts import alias_index_of, data_of, trips_of
 
 MONTH = TimeRange.of("2024-01-01 00:00:00", "2024-01-30 23:59:59")
 WEEK = TimeRange.of("2024-01-08 00:00:00", "2024-01-14 23:59:59")
@@ -21,7 +22,7 @@ _HIT = f"regexp_matches(path, '({_A}).*({_B})')"
 
 
 def ends_of(spark, sf_dir):
-    return expanded_ids(alias_of(spark, sf_dir), STARTS, ENDS)
+    return expanded_ids(alias_index_of(spark, sf_dir), STARTS, ENDS)
 
 
 def matched_sql(low: str, high: str, where: str = "TRUE") -> str:
@@ -202,3 +203,13 @@ def trips_normalized(spark, sf_dir):
     SELECT fin AS "TripEnd", count(*) AS "count" FROM trp GROUP BY fin"""))
 def trip_end_counts(spark, sf_dir):
     return value_counts(trips_of(spark, sf_dir), "TripEnd")
+
+
+@registered(with_views(TRIPS, select=WEEK_SQL + f"""
+    SELECT origin_time, vehicle_type, trip_count, '{STARTS[0]}' AS start_gantry, '{ENDS[0]}' AS end_gantry,
+           round(sum_seconds / (trip_count * 60.0::DOUBLE), 1) AS avg_travel_time_minutes FROM od"""))
+def od_answer(spark, sf_dir):
+    """An OD request answered, in time and vehicle order."""
+    return service.query(data_of(spark, sf_dir), {
+        "dataset": "M06A", "start_time": "2024-01-08 00:00:00", "end_time": "2024-01-14 23:59:59",
+        "start_gantry_ids": STARTS, "end_gantry_ids": ENDS}).rows

@@ -29,6 +29,7 @@ VEHICLE_ORDER = [31, 32, 41, 42, 5]
 VEHICLE_LABELS = {31: "小客車", 32: "小貨車", 41: "大客車", 42: "大貨車", 5: "聯結車"}
 OTHER_VEHICLE = "其他車種"
 ALL_VEHICLES = "全部車種"
+UNNAMED_VEHICLE = "未分類"
 DIRECTIONS = ["N", "S"]
 ROAD_DIRECTION_LABELS = {"N": "北上", "S": "南下"}
 QUERY_DIRECTION_LABELS = {"N": "北向（N）", "S": "南向（S）"}

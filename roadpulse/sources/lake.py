@@ -59,10 +59,11 @@ def scan(spark: SparkSession, root: str, dtype: str, span: TimeRange) -> DataFra
     return tree(spark, root, dtype).filter(months_of(span))
 
 
-def mixed_layout(spark: SparkSession, root: str, dtype: str) -> DataFrame:
+def mixed_layout(spark: SparkSession, root: str, dtype: str, span: TimeRange | None = None) -> DataFrame:
     """A fact stored partly by day, partly by month: two reads, one union.
 
-    One read over both layouts fails on conflicting partition columns.
+    One read over both layouts fails on conflicting partition columns. A range prunes the
+    months of both, a day wider at both ends.
     """
     schema = lake_schema(dtype)
     parts = []
@@ -77,7 +78,8 @@ def mixed_layout(spark: SparkSession, root: str, dtype: str) -> DataFrame:
                 raise
     if not parts:
         return spark.createDataFrame([], schema)
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return both if span is None else both.filter(months_of(span))
 
 
 def write_files(df: DataFrame, path: str, files: int) -> None:

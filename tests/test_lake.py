@@ -543,6 +543,48 @@ def test_dashboard(data):
         == ("RAW_01F0340N",)
 
 
+def test_answers_come_in_order(data):
+    flows = service.query(data, {"dataset": "M03A", "start_time": "2024-01-01 00:00",
+                                 "end_time": "2024-01-31 00:00"}).rows.collect()
+    keys = [(r["time"], r["gantry_id"], r["direction"], r["vehicle_type"]) for r in flows]
+    assert keys == sorted(keys) and len(keys) == 4
+    month = service.dashboard_answer(data, {"period_type": "monthly", "start_date": "2024-01-01",
+                                            "end_date": "2024-01-31"}).collect()
+    assert [(r["panel"], r["place"], r["key"], r["volume"], r["name"], r["direction"]) for r in month] == [
+        ("day", 1, "2024-01-01", 5, None, None), ("day", 2, "2024-01-02", 12, None, None),
+        ("section", 1, "G1", 10, "one", "N"), ("section", 2, "RAW_01F0100S", 7, "01F0100S", "S"),
+        ("total", 1, "", 17, None, None),
+        *[("vehicle", k, v, n, None, None) for k, (v, n) in enumerate(
+            [("31", 5), ("32", 0), ("41", 0), ("42", 0), ("5", 12)], 1)]]
+    assert {r["label"] for r in month} == {"月流量｜2024/01/01 ～ 2024/01/31"}
+    day = service.dashboard_answer(data, {"period_type": "daily", "start_date": "2024-01-02",
+                                          "end_date": "2024-01-02"}).collect()
+    assert [r["key"] for r in day if r["panel"] == "hour"] == ["2024-01-02 09:00"]
+    assert service.dashboard_answer(data, {"period_type": "daily", "start_date": "2020-01-02",
+                                           "end_date": "2020-01-02"}).collect() == []
+
+
+def test_time_tables_and_breakdown_are_ordered(spark):
+    span = TimeRange.of("2024-01-01 00:00", "2024-01-20 00:00")
+    flows = spark.createDataFrame(
+        [(f"2024-01-{d:02d} 00:00", "A", v, d) for d in (9, 3, 17, 1) for v in ("31", " ", None, "5")],
+        "time string, gantry_id string, vehicle_type string, traffic_volume int").repartition(4)
+    days = [r["bucket"] for r in flow.trend(flows, span).collect()]
+    assert days == sorted(days) and len(days) == 4
+    kinds = [(r["vehicle_type"], r["volume"]) for r in flow.vehicle_breakdown(flows).collect()]
+    assert kinds == [("未分類", 60), ("31", 30), ("5", 30)]
+
+
+def test_held_aliases_resolve_as_the_table_does(spark):
+    table = spark.createDataFrame(
+        [(f"{g}{k}", g) for g in "ABC" for k in range(4)], "id string, component string").withColumns(
+        {"canonical": F.col("component"), "members": F.lit(4)})
+    index, joined = al.AliasIndex(table), al.AliasIndex(table, most=3)
+    assert index.component is not None and joined.component is None
+    for ids in ([], ["A1"], ["A1", "A3", "B0"], ["x", "C2", "C2", "A0", "C1", "x"], ["B3", "B0", "B3"]):
+        assert index.request_ids(ids) == al.request_ids(table, ids) == joined.request_ids(ids)
+
+
 def test_pages_and_coverage(data):
     page = service.detections_page(data, "2024-01-01 00:00", "2024-01-03 00:00", "01F0340N,01F0100S",
                                    "5", 1, 1)
