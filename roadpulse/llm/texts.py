@@ -7,7 +7,9 @@ document if that alone is longer.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,35 @@ CHUNK = 1 << 19
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+_forgotten: list[Callable[[], None]] = []
+_last_user = ""
+
+
+def remembers(forget: Callable[[], None]) -> None:
+    """Register what empties a worker's cache when another operator takes the worker over."""
+    _forgotten.append(forget)
+
+
+def begin(user: str) -> None:
+    """Start of a task. Workers serve many tasks: caches stay for those of one operator only."""
+    global _last_user
+    if _last_user not in ("", user):
+        for forget in _forgotten:
+            forget()
+        Rolling.forget()
+        gc.collect()
+        give_back()
+    _last_user = user
+
+
+def give_back() -> None:
+    """Return freed memory to the system, which both allocators would keep for later."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
            limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
     """The batches cut into slices of about ``limit`` text bytes."""
@@ -31,6 +62,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
             held += size
         if begin < batch.num_rows:
             yield batch.slice(begin)
+    give_back()
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
@@ -96,6 +128,10 @@ class Rolling:
         np.cumsum(values * power[:len(values)], out=self.sums[1:])
         self.inverse = inverse
 
+    @classmethod
+    def forget(cls) -> None:
+        cls._powers.clear()
+
     @classmethod
     def _table(cls, base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
         held = cls._powers.get(base)

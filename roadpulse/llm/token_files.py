@@ -29,7 +29,9 @@ from roadpulse.llm import texts
 from roadpulse.llm.bpe import byte_letters, gather, word_lists
 
 #: Pieces a worker remembers before it starts afresh.
-REMEMBERED = 300_000
+REMEMBERED = 450_000
+#: Bytes of text whose distinct words are encoded together; the more, the fewer words a byte.
+CHUNK = 16 << 20
 #: The pieces of a lower-case ASCII word, as the vocabulary's own pre-tokenizer cuts them.
 _plain = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
 _any = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
@@ -61,6 +63,9 @@ class Encoder:
 
     def word(self, word: str) -> bytes:
         """The ids of a word without white space, as little-endian 32-bit integers."""
+        if word.isascii() and word.isalpha():
+            piece = word.lower()
+            return self.known.get(piece) or self._piece(piece)
         if "<|" in word:
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
             return np.array(ids, "<i4").tobytes()
@@ -80,6 +85,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+texts.remembers(encoder.cache_clear)
+
+
 def write(docs: DataFrame, path: str, out: str, end_id: int = 2,
           parts: int | None = None) -> DataFrame:
     """Write the files under ``out`` and return them as read back."""
@@ -90,8 +98,9 @@ def write(docs: DataFrame, path: str, out: str, end_id: int = 2,
 
     def coded(batches):
         from pyspark import TaskContext
+        texts.begin("token_files")
         code, before, part = encoder(path), 0, TaskContext.get().partitionId()
-        for batch in texts.chunks(batches, limit=8 << 20):
+        for batch in texts.chunks(batches, limit=CHUNK):
             index, distinct, cuts = word_lists(texts.column(batch, "text"))
             lists = list(map(code.word, distinct))
             ends = np.zeros(len(lists) + 1, np.int64)
