@@ -19,8 +19,9 @@ if agreeing windows cover ``least_tokens`` of its tokens, or ``least_share`` of
 shorter.
 
 The bitmap has a fixed size; with a larger benchmark more windows pass to the join and none
-is lost. Null and empty texts, and texts of no more than two tokens, match nothing. Rows of
-one id count together; null ids are kept as an id of their own. Repeated items count each.
+is lost. Null and empty texts, and texts of no more than two tokens, match nothing. Rows are
+judged by their text: of two rows of one id, null ids too, one may leak and the other not;
+a leak is given once for rows equal in id and text. Repeated items count each.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ LEAST_TOKENS, LEAST_SHARE = 13, 0.6
 SHORTEST = 3
 BITS = 22
 CHUNK = 8 << 20
-LITERAL, NUMBER, UNIT, NAME, NOTHING = range(5)
+LITERAL, NUMBER, UNIT, NAME, NOTHING, MAYBE = range(6)
 #: Fixed word lists: units of measure and written numbers.
 UNITS = frozenset("""mm cm m km in ft yd mi mg g kg t ml cl l s sec min h hr kb mb gb usd eur gbp
     inch inches foot feet yard yards mile miles metre metres meter meters kilometre kilometres
@@ -50,6 +51,8 @@ UNITS = frozenset("""mm cm m km in ft yd mi mg g kg t ml cl l s sec min h hr kb
     ounces litre litres liter liters gallon gallons second seconds minute minutes hour hours day
     days week weeks month months year years dollar dollars euro euros cent cents percent degree
     degrees watt watts volt volts joule joules newton newtons""".split())
+#: Units that are other words too, in one of the languages; units after a number only.
+AMBIGUOUS = frozenset("in m s t g l h mi min sec second".split())
 NUMBERS = frozenset("""zero one two three four five six seven eight nine ten eleven twelve
     thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty
     seventy eighty ninety hundred thousand million billion half double triple""".split())
@@ -57,7 +60,7 @@ _number = regex.compile(r"[$£€]?[+-]?\d[\d.,:/]*(%|[a-z]{0,3}²?³?)?").fullm
 _around = regex.compile(r"^[^\w$£€+-]+|[^\w%]+$").sub
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=100_000)
 def canonical(word: str) -> tuple[int, int, bool, bool]:
     """Type, hash of the letters, whether a capital leads, whether a sentence ends after the word."""
     if word.isalpha():
@@ -75,11 +78,14 @@ def canonical(word: str) -> tuple[int, int, bool, bool]:
     if low in NUMBERS or not low.isalpha() and _number(low):
         return NUMBER, value, False, ends
     if low in UNITS:
-        return UNIT, value, False, ends
+        return MAYBE if low in AMBIGUOUS else UNIT, value, False, ends
     capital = bare[0].isupper() and (len(bare) == 1 or not bare.isupper())
     return LITERAL, value, capital, ends
 
 
+texts.remembers(canonical.cache_clear)
+
+
 def readings(array: pa.Array):
     """(token values, slot values or 0, cuts between texts, places, own) of all texts by reading.
 
@@ -116,6 +122,10 @@ def readings(array: pa.Array):
     kind, value, opens, renamed = kind[real], value[real], opens[real], renamed[real]
     first = np.zeros(len(kind), bool)
     first[cuts[:-1][cuts[:-1] < len(kind)]] = True
+    # Ambiguous units are units after a number and words like others elsewhere.
+    after = np.zeros(len(kind), bool)
+    after[1:] = (kind[:-1] == NUMBER) & ~first[1:]
+    kind = np.where(kind == MAYBE, np.where(after, UNIT, LITERAL), kind)
     token, slot, own_cuts, heads = _read(kind, value, first, cuts)
     number = np.full(len(kind) + 1, len(heads))
     number[:-1] = np.cumsum(np.bincount(heads, minlength=len(kind))) - 1 if len(kind) else 0
@@ -170,10 +180,11 @@ def _windows(token: np.ndarray, slot: np.ndarray, cuts: np.ndarray, size: int, w
 
 
 def _rows(frame: DataFrame, key: str, sizes: list[int], whole_short: bool, bitmap=None) -> DataFrame:
-    """(h, id, at, size, total, slots, places) of the windows of all texts."""
+    """(h, id, tag, at, size, total, slots, places) of the windows of all texts; tag: a hash of the text."""
     shared = frame.sparkSession.sparkContext.broadcast(bitmap) if bitmap is not None else None
 
     def cut(batches):
+        texts.begin("templates")
         for batch in texts.chunks(batches, limit=CHUNK):
             total = None
             for token, slot, cuts, places, words in readings(texts.column(batch, "text")):
@@ -192,13 +203,14 @@ def _rows(frame: DataFrame, key: str, sizes: list[int], whole_short: bool, bitma
                     where = places[starts[:, None] + np.arange(size + 1)] - begins[own][:, None]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(h.view(np.int64)), texts.column(batch, key).take(pa.array(own)),
-                         pa.array(where[:, 0]), pa.array(np.full(len(h), size, np.int32)),
+                         texts.column(batch, "tag").take(pa.array(own)), pa.array(where[:, 0]), pa.array(np.full(len(h), size, np.int32)),
                          pa.array(total[own]), _lists(slots), _lists(where)],
-                        ["h", key, "at", "size", "total", "slots", "places"])
+                        ["h", key, "tag", "at", "size", "total", "slots", "places"])
 
-    source = frame.select(F.col(key).cast("long").alias(key), F.coalesce("text", F.lit("")).alias("text"))
+    source = frame.select(F.col(key).cast("long").alias(key), F.xxhash64("text").alias("tag"),
+                          F.coalesce("text", F.lit("")).alias("text"))
     return source.mapInArrow(
-        cut, f"h long, {key} long, at long, size int, total long, slots array<long>, "
+        cut, f"h long, {key} long, tag long, at long, size int, total long, slots array<long>, "
              "places array<long>")
 
 
@@ -249,20 +261,20 @@ def _judged(batches):
     for batch in batches:
         windows = texts.column(batch, "windows")
         rows = np.flatnonzero(windows.is_valid().to_numpy(zero_copy_only=False))
-        kept = batch.select(["doc_id", "item_id", "item_total", "changed", "tokens"])
+        kept = batch.select(["doc_id", "tag", "item_id", "item_total", "changed", "tokens"])
         if len(rows):
             tokens, changed = kept.column("tokens").to_pylist(), kept.column("changed").to_pylist()
             for row, held in zip(rows, windows.take(pa.array(rows)).to_pylist()):
                 tokens[row], changed[row] = _agreeing(held)
-            kept = kept.set_column(3, "changed", pa.array(changed, pa.int64())) \
-                .set_column(4, "tokens", pa.array(tokens, pa.list_(pa.int64())))
+            kept = kept.set_column(4, "changed", pa.array(changed, pa.int64())) \
+                .set_column(5, "tokens", pa.array(tokens, pa.list_(pa.int64())))
         yield kept
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, least_tokens: int = LEAST_TOKENS,
           least_share: float = LEAST_SHARE) -> DataFrame:
-    """(doc_id, item_id, n_tokens, n_changed): the tokens of the item found in the document
-    and how many of its slot values were replaced."""
+    """(doc_id, tag, item_id, n_tokens, n_changed): the tokens of the item found in the document
+    and how many of its slot values were replaced; ``tag`` is xxhash64 of its text."""
     sizes = list(range(SHORTEST, WINDOW + 1))
     items = cut_lineage(_rows(benchmark, "item_id", sizes, True))
     used = items.groupBy("size").count().collect()
@@ -276,7 +288,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least_tokens: int = LEAST_TOKEN
                           "places")
     matched = found.drop("total", "places").join(theirs, ["h", "size"]).withColumn(
         "pairs", F.filter(F.arrays_zip("item_slots", "slots"), lambda p: p["item_slots"] != 0))
-    shifted = matched.groupBy("doc_id", "item_id", "item_total", (F.col("at") - F.col("item_at"))
+    shifted = matched.groupBy("doc_id", "tag", "item_id", "item_total", (F.col("at") - F.col("item_at"))
                               .alias("shift")).agg(
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
         F.collect_set(F.struct("places", "item_slots", "slots")).alias("windows"))
@@ -285,19 +297,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least_tokens: int = LEAST_TOKEN
     tokens = F.array_distinct(F.flatten(F.transform(
         "windows", lambda w: F.sequence(w["places"][0], F.element_at(w["places"], -1) - 1))))
     judged = shifted.select(
-        "doc_id", "item_id", "item_total", changed.cast("long").alias("changed"), tokens.alias("tokens"),
+        "doc_id", "tag", "item_id", "item_total", changed.cast("long").alias("changed"), tokens.alias("tokens"),
         F.when(clash, F.col("windows")).alias("windows"))
     judged = judged.mapInArrow(
-        _judged, "doc_id long, item_id long, item_total long, changed long, tokens array<long>")
-    return judged.groupBy("doc_id", "item_id", "item_total").agg(
+        _judged, "doc_id long, tag long, item_id long, item_total long, changed long, tokens array<long>")
+    return judged.groupBy("doc_id", "tag", "item_id", "item_total").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("tokens")))).cast("long").alias("n_tokens"),
         F.sum("changed").alias("n_changed")) \
         .where((F.col("n_tokens") >= least_tokens)
                | (F.col("n_tokens") >= least_share * F.col("item_total"))) \
-        .select("doc_id", "item_id", "n_tokens", "n_changed")
+        .select("doc_id", "tag", "item_id", "n_tokens", "n_changed")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without those that leak an item."""
-    bad = leaks(docs, benchmark).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["__id"]), "left_anti")
+    bad = leaks(docs, benchmark).select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag")).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(bad["__id"]) & (F.xxhash64(docs["text"]) == bad["__tag"])
+    return docs.join(bad, same, "left_anti")

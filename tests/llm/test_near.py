@@ -149,6 +149,29 @@ def leaked(spark, item, *docs):
     return {r.doc_id: r.n_tokens for r in templates.leaks(frame(spark, rows), items).collect()}
 
 
+def test_leaks_are_judged_by_text(spark):
+    """Rows of one id, or of none, leak by themselves."""
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    docs = [(None, ITEM, "a"), (None, text(3, 90), "b"), (7, text(4, 90), "c"), (7, ITEM + " now", "d"),
+            (7, ITEM + " now", "e"), (None, None, "f")]
+    half = len(ITEM) // 2
+    docs += [(8, ITEM[:half], "g"), (8, ITEM[half:], "h")]
+    clean = templates.keep_clean(frame(spark, docs), items).collect()
+    leaks = templates.leaks(frame(spark, docs), items).collect()
+    apart = {r.h for r in clean} - {"g", "h"}
+    assert apart == {"b", "c", "f"} and len([r for r in leaks if r.doc_id == 7]) == 1
+
+
+def test_ambiguous_units(spark):
+    """A preposition is no unit, the same letters after a number are."""
+    item = "the tall man stood in the wide gate of the old town and looked to the river for a while"
+    swapped = item.replace(" in ", " t ").replace("tall man stood", "tall man stands")
+    assert leaked(spark, item, item, swapped)[0] == 20
+    length = "cut a board of 12 in from the long plank and give it to the old man who waits outside now"
+    got = leaked(spark, length, length.replace("12 in", "30 cm"), length.replace("12 in", "in cm"))
+    assert got[0] == 21 and got.get(1, 0) < 21
+
+
 def test_templates_leave_out_only_what_conflicts(spark):
     met = "We know that 40 boys and 30 girls of the old school walk to the river with Anna and Robert"
     got = leaked(spark, ITEM, ITEM, ITEM.replace("at 60 km", "at 75 km"))
