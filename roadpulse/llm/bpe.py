@@ -184,6 +184,9 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+texts.remembers(vocabulary.cache_clear)
+
+
 def word_lists(array: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
     """Words of all texts as numbers of distinct words, those, and the cuts between texts."""
     array = pc.fill_null(array.cast(pa.large_string()), "")
@@ -227,6 +230,7 @@ def encode(docs: DataFrame, path: str, keep_ids: bool = True) -> DataFrame:
     kept = [c for c in docs.columns if c != "text"]
 
     def coded(batches):
+        texts.begin("bpe")
         vocab = vocabulary(path)
         for batch in texts.chunks(batches, limit=CHUNK):
             ids, cuts = encode_texts(texts.column(batch, "text"), path)

@@ -192,6 +192,7 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, size: int = WORDS,
     docs = tagged(docs).where("doc_id IS NOT NULL")
 
     def sketched(batches):
+        texts.begin("order_minhash")
         for batch in texts.chunks(batches):
             word, bounds = _plain_words(batch)
             hashes, cuts = _shingles(word, bounds, size)
@@ -229,6 +230,7 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, size: int = WORDS,
         .select("node", "first.doc_id", "first.tag")
 
     def hashed(batches):
+        texts.begin("order_minhash")
         for batch in texts.chunks(batches):
             word, bounds = _plain_words(batch)
             hashes, cuts = _shingles(word, bounds, size)

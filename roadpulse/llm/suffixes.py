@@ -58,6 +58,7 @@ def stretches(docs: DataFrame, length: int, gram: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(bitmaps)
 
     def cut(batches):
+        texts.begin("suffixes")
         for batch in texts.chunks(batches):
             data, offsets, h, (at, first, last) = _anchored(batch, length, gram)
             if not len(h):
@@ -152,6 +153,7 @@ def repeat_groups(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     docs = tagged(docs)
 
     def scanned(batches):
+        texts.begin("suffixes")
         for part, heavy in groups(batches, min(20_000, large), large):
             h = part["h"].to_numpy()
             n = len(h)
@@ -241,6 +243,7 @@ def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     joined = with_spans(docs, repeat_groups(docs, length, gram, large))
 
     def kept(batches):
+        texts.begin("suffixes")
         for batch in unpacked(batches):
             data, offsets = texts.text_bytes(texts.column(batch, "text"))
             gone = covered(batch, np.diff(offsets))

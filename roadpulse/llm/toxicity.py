@@ -81,6 +81,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_train: int
     sample = training_sample(docs, labels, label, max_train)
 
     def counted(batches):
+        texts.begin("toxicity")
         for batch in texts.chunks(batches):
             data, offsets = texts.text_bytes(texts.column(batch, "text"))
             own, bucket = _distinct(data, offsets)
@@ -110,6 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_train: int
     shared = sample.sparkSession.sparkContext.broadcast(buckets)
 
     def selected(batches):
+        texts.begin("toxicity")
         known = shared.value
         for batch in texts.chunks(batches):
             data, offsets = texts.text_bytes(texts.column(batch, "text"))
@@ -167,9 +169,8 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((model.features, model.weights, model.bias))
 
     def scored(batches):
+        texts.begin("toxicity")
         features, weights, bias = shared.value
-        table = np.zeros(BUCKETS * len(LEVELS), np.float32)
-        table[features] = weights
         used = np.zeros(BUCKETS, bool)
         used[features // len(LEVELS)] = True
         for batch in texts.chunks(batches):
@@ -180,7 +181,9 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
                 hit = np.flatnonzero(used[bucket])
                 pairs.append(own[hit] * BUCKETS + bucket[hit])
             own, feature = _levels(np.concatenate(pairs))
-            z += np.bincount(own, table[feature], len(z))
+            if len(features):
+                at = np.minimum(np.searchsorted(features, feature), len(features) - 1)
+                z += np.bincount(own, np.where(features[at] == feature, weights[at], 0.0), len(z))
             s = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(s), pa.array((s >= threshold).astype(np.int32))],
