@@ -62,3 +62,8 @@ def hms(seconds: Column) -> Column:
 def grouped(number: Column, decimals: int = 0) -> Column:
     """Thousands grouping for display."""
     return F.format_number(number, decimals)
+
+
+def percent_text(share: Column) -> Column:
+    """Percentage for display: thousands grouping, one decimal, halves up."""
+    return F.concat(F.format_number(F.round(share, 1), 1), F.lit("%"))

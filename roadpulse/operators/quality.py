@@ -131,6 +131,24 @@ def fetch_totals(log: DataFrame) -> DataFrame:
         for status in ("saved", "fail", "source_missing", "skipped_exist")])
 
 
+def run_totals(log: DataFrame, puts: DataFrame, missing: DataFrame, budget: int) -> DataFrame:
+    """One row for a backfill run: fetch outcomes, days whose upload failed, files left over.
+
+    A day is uploaded if the run saved a file of it or found one saved before; ``puts`` has
+    the exit code of each upload (dtype, day, code). What is beyond ``budget`` waits.
+    """
+    outcomes = ("saved", "fail", "source_missing", "skipped_exist")
+    per_day = log.groupBy("dtype", "day").agg(*[
+        F.count_if(F.col("status") == status).alias(status) for status in outcomes])
+    failed = puts.filter("code <> 0").select("dtype", "day", F.lit(1).alias("put")).distinct()
+    summed = per_day.join(failed, ["dtype", "day"], "left").agg(
+        *[F.coalesce(F.sum(status), F.lit(0)).alias(status) for status in outcomes],
+        F.count_if(F.col("put").isNotNull() & ((F.col("saved") > 0) | (F.col("skipped_exist") > 0)))
+        .alias("put_fail"))
+    waiting = missing.agg(F.greatest(F.count(F.lit(1)) - budget, F.lit(0)).alias("n")).scalar()
+    return summed.withColumn("left_over", waiting)
+
+
 def reconcile(log: DataFrame, days: DataFrame, dtypes: tuple[str, ...] = ("M03A",)) -> DataFrame:
     """Per type and day: files found at the source, saved and failed, and the verdict."""
     spine = days.select(F.date_format("day", "yyyy-MM-dd").alias("day"),

@@ -155,3 +155,13 @@ def strict_dates_and_formats(spark, sf_dir):
         "o_orderkey", shown.alias("good"),
         F.coalesce(F.date_format(broken, "yyyy-MM-dd"), F.lit("")).alias("bad"),
         text.grouped(whole).alias("grouped"), text.hms(whole % 90000).alias("hms"))
+
+
+@registered("""
+    SELECT o_orderkey, format('{:,}', CAST(trunc(x) AS BIGINT)) || right(printf('%.1f', x), 2) || '%' AS share
+    FROM (SELECT o_orderkey, round((CAST(floor(o_totalprice) AS BIGINT) % 100000) / 8.0::DOUBLE, 1) AS x
+          FROM orders)""")
+def percent_display(spark, sf_dir):
+    whole = F.floor("o_totalprice") % 100000
+    return fixtures.table(spark, sf_dir, "orders").select(
+        "o_orderkey", text.percent_text(whole / F.lit(8.0)).alias("share"))

@@ -133,6 +133,24 @@ def fetch_totals(spark, sf_dir):
     return quality.fetch_totals(fixtures.fetch_log(spark, sf_dir))
 
 
+@registered(with_views(EVENTS, LISTING, _LISTED_GRID, select=_GAPS + _LOG + """
+    , d AS (SELECT day, count(*) FILTER (status = 'saved') AS saved,
+                   count(*) FILTER (status = 'fail') AS fail,
+                   count(*) FILTER (status = 'source_missing') AS source_missing,
+                   count(*) FILTER (status = 'skipped_exist') AS skipped_exist FROM log GROUP BY 1)
+    SELECT CAST(sum(saved) AS BIGINT) AS saved, CAST(sum(fail) AS BIGINT) AS fail,
+           CAST(sum(source_missing) AS BIGINT) AS source_missing,
+           CAST(sum(skipped_exist) AS BIGINT) AS skipped_exist,
+           count(*) FILTER (CAST(right(day, 2) AS INTEGER) % 7 = 0 AND saved + skipped_exist > 0) AS put_fail,
+           (SELECT greatest(count(*) - 480, 0) FROM gaps) AS left_over FROM d"""))
+def fetch_run(spark, sf_dir):
+    """Totals of a backfill run; uploads of every seventh day of a month failed."""
+    log = fixtures.fetch_log(spark, sf_dir)
+    puts = log.select("dtype", "day", F.when(F.right("day", F.lit(2)).cast("int") % 7 == 0, 1)
+                      .otherwise(0).alias("code")).distinct()
+    return quality.run_totals(log, puts, gaps_of(spark, sf_dir), BUDGET)
+
+
 @registered(with_views(EVENTS, select=_LOG + """
     , s AS (SELECT strftime(unnest(generate_series((SELECT min(day)::DATE FROM log),
                                                    (SELECT max(day)::DATE FROM log),

@@ -58,3 +58,12 @@ def drain(windows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Write finished windows to files, process what is there, then stop."""
     return (windows.writeStream.outputMode("append").format("parquet").option("path", path)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def dropped(query: StreamingQuery) -> int:
+    """Rows that came behind the watermark and are in no window, over all batches of a run.
+
+    Their months have to be computed from the lake.
+    """
+    return sum(int(operator["numRowsDroppedByWatermark"])
+               for progress in query.recentProgress for operator in progress["stateOperators"])

@@ -301,22 +301,25 @@ def test_stream_takes_each_file_once(spark, tmp_path):
 
 def test_late_rows_still_count(spark, tmp_path):
     out, checkpoint = fresh_dir(spark, "windows"), fresh_dir(spark, "stream")
-    source = str(tmp_path / "src")
+    source, late = str(tmp_path / "src"), []
 
     def run(*values):
         spark.createDataFrame([(v, 31, 1) for v in values], "ts string, VehicleType int, Volume int"
                               ).withColumn("ts", F.col("ts").cast("timestamp")).write.mode(
             "append").parquet(source)
         stream = spark.readStream.schema("ts timestamp, VehicleType int, Volume int").parquet(source)
-        jobs.drain(jobs.windowed_flow(stream), out, checkpoint).awaitTermination()
+        query = jobs.drain(jobs.windowed_flow(stream), out, checkpoint)
+        query.awaitTermination()
+        late.append(jobs.dropped(query))
         stored = spark.read.schema("window_start timestamp, VehicleType int, volume bigint, "
                                    "row_count bigint").parquet(out)
         return [(str(r[0]), r[3]) for r in stored.orderBy("window_start").collect()]
     assert run("2024-01-01 00:01:00", "2024-01-20 00:00:00") == []
     # nineteen days late, still counted; then the watermark passes its window
     assert run("2024-01-01 00:14:00", "2024-01-26 00:00:00") == [("2024-01-01 00:00:00", 2)]
-    # too late now
-    assert run("2024-01-01 00:02:00") == [("2024-01-01 00:00:00", 2)]
+    # too late now, and counted as such
+    assert run("2024-01-01 00:02:00", "2024-01-01 00:03:00") == [("2024-01-01 00:00:00", 2)]
+    assert late[:2] == [0, 0] and late[2] > 0
 
 
 def test_days_are_judged_by_files(spark, tmp_path):
