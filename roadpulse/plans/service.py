@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from roadpulse.functions.timeparts import TimeRange, parse_day, period_label
 from roadpulse.operators import flow, quality, stats, trips
 from roadpulse.operators.alias import AliasIndex, expanded_ids
-from roadpulse.sources import lake, landing
+from roadpulse.sources import lake, snapshots
 
 
 @dataclass
@@ -48,10 +48,10 @@ class TrafficData:
         return self.spark.createDataFrame([], "station string, group_id string")
 
     def coverage(self, dtype: str) -> DataFrame:
-        """First and last day of a fact from its file listing, no data read."""
+        """First and last day of a fact by its months, no data read."""
         root = self.detections_root if dtype == "M03A" else self.trips_root
-        files = landing.listed_partitions(landing.listing(self.spark, root))
-        return quality.coverage(files.filter(F.col("month").isNotNull()))
+        months = [e[:2] for e in snapshots.entries(self.spark, root) if e.rows != 0]
+        return quality.coverage(self.spark.createDataFrame(months, "year string, month string"))
 
 
 @dataclass

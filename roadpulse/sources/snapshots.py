@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadpulse.session import drop_dir, list_dir, rename_new
-from roadpulse.sources.landing import listed_partitions, listing
 
 MONTH_KEYS = ["year", "month"]
 _KEYS = [T.StructField(name, T.StringType()) for name in ("batch", *MONTH_KEYS)]
@@ -71,13 +70,10 @@ def latest(spark: SparkSession, root: str) -> int:
 def entries(spark: SparkSession, root: str, version: int | None = None) -> list[Entry]:
     """The folders of a version, the newest by default: one for each month and batch."""
     version = latest(spark, root) if version is None else version
-    if not version and not list_dir(spark, root):
-        return []
     if not version:
-        plain = listed_partitions(listing(spark, root)).filter(
-            "month is not null and path not like '%/batches/batch=%' and path not like '%/sources/batch=%'")
-        return [Entry(r["year"], r["month"], "", None, 0)
-                for r in plain.select(*MONTH_KEYS).distinct().orderBy(*MONTH_KEYS).collect()]
+        return [Entry(year[5:], month[6:], "", None, 0)
+                for year, _ in sorted(list_dir(spark, root)) if year.startswith("year=")
+                for month, _ in sorted(list_dir(spark, f"{root}/{year}")) if month.startswith("month=")]
     key = (spark.sparkContext.applicationId, root, version)
     if key not in _KNOWN:
         if len(_KNOWN) > 64:
