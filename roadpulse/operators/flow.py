@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions import timeparts as tp
 from roadpulse.functions.text import first_filled, number_value
+from roadpulse.operators import pages
 from roadpulse.operators.alias import AliasIndex, attribute
 from roadpulse.operators.ranking import numbered_top, percent, share_of
 from roadpulse.schemas import DIRECTIONS, UNNAMED_STATION, UNNAMED_VEHICLE
@@ -57,14 +58,29 @@ def page(rows: DataFrame, keys: Sequence[str], limit: int, offset: int = 0) -> D
     return rows.orderBy(*keys).offset(offset).limit(limit)
 
 
+def detail_rows(detections: DataFrame, span: tp.TimeRange, **filters) -> DataFrame:
+    """Detection rows as shown, columns in their order of precedence."""
+    return selected(detections, span, **filters).select(
+        "TimeInterval", "GantryID", "Direction", "VehicleType", "Volume")
+
+
 def detail_page(detections: DataFrame, span: tp.TimeRange, limit: int = 1000, offset: int = 0,
                 **filters) -> DataFrame:
-    """Detection rows in (time, station) order with a full tie-break."""
-    rows = selected(detections, span, **filters).select(
-        "TimeInterval", "GantryID", "Direction", "VehicleType", "Volume")
+    """Detection rows in (time, station) order with a full tie-break.
+
+    Fit for the first pages; :func:`detail_pages` gives far ones.
+    """
+    rows = detail_rows(detections, span, **filters)
     return page(rows, rows.columns, limit, offset)
 
 
+def detail_pages(detections: DataFrame, span: tp.TimeRange, block: int = pages.BLOCK,
+                 **filters) -> pages.Pages:
+    """The same rows under an index, for pages at any offset."""
+    rows = detail_rows(detections, span, **filters)
+    return pages.index(rows, rows.columns, block)
+
+
 def looks_like_detections(df: DataFrame) -> bool:
     """Whether some column is a vehicle count, by name."""
     names = [name.lower() for name in df.columns]

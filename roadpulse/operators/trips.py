@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from roadpulse.functions import paths
 from roadpulse.functions import timeparts as tp
 from roadpulse.functions.text import first_filled, first_minutes, number_value
+from roadpulse.operators import pages
 from roadpulse.operators.flow import page
 from roadpulse.operators.ranking import peak_of
 from roadpulse.schemas import VEHICLE_ORDER
@@ -46,18 +47,34 @@ def of_vehicles(trips: DataFrame, vehicles: Sequence[int] | None) -> DataFrame:
     return trips.filter(F.col("VehicleType").isin([int(v) for v in vehicles]))
 
 
-def detail_page(trips: DataFrame, span: tp.TimeRange, starts: Sequence[str], ends: Sequence[str],
-                vehicles: Sequence[int] | None = None, limit: int = 1000,
-                offset: int = 0) -> DataFrame:
-    """Trips by departure time that pass start before end, under their public names."""
+def detail_rows(trips: DataFrame, span: tp.TimeRange, starts: Sequence[str], ends: Sequence[str],
+                vehicles: Sequence[int] | None = None) -> DataFrame:
+    """Trips of a range that pass start before end, under their public names, departure first."""
     rows = of_vehicles(passing(trips.filter(tp.in_seconds("DetectionTime_O", span)),
                                starts, ends), vehicles)
-    shown = rows.select(
-        "VehicleType", F.col("DetectionTime_O").alias("DetectionTimeO"),
+    return rows.select(
+        F.col("DetectionTime_O").alias("DetectionTimeO"), "VehicleType",
         F.col("GantryID_O").alias("GantryO"), F.col("DetectionTime_D").alias("DetectionTimeD"),
         F.col("GantryID_D").alias("GantryD"), "TripLength", "TripEnd", "TripInformation")
-    keys = ["DetectionTimeO"] + [c for c in shown.columns if c != "DetectionTimeO"]
-    return page(shown, keys, limit, offset)
+
+
+def detail_page(trips: DataFrame, span: tp.TimeRange, starts: Sequence[str], ends: Sequence[str],
+                vehicles: Sequence[int] | None = None, limit: int = 1000,
+                offset: int = 0) -> DataFrame:
+    """Trips by departure time that pass start before end, under their public names.
+
+    Fit for the first pages; :func:`detail_pages` gives far ones.
+    """
+    rows = detail_rows(trips, span, starts, ends, vehicles)
+    shown = ["VehicleType", *(c for c in rows.columns if c != "VehicleType")]
+    return page(rows, rows.columns, limit, offset).select(*shown)
+
+
+def detail_pages(trips: DataFrame, span: tp.TimeRange, starts: Sequence[str], ends: Sequence[str],
+                 vehicles: Sequence[int] | None = None, block: int = pages.BLOCK) -> pages.Pages:
+    """The same rows under an index, for pages at any offset."""
+    rows = detail_rows(trips, span, starts, ends, vehicles)
+    return pages.index(rows, rows.columns, block)
 
 
 def stretches(trips: DataFrame, span: tp.TimeRange, starts: Sequence[str], ends: Sequence[str],

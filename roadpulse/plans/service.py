@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from roadpulse.functions.timeparts import TimeRange, parse_day, period_label
 from roadpulse.operators import flow, quality, stats, trips
 from roadpulse.operators.alias import AliasIndex, expanded_ids
+from roadpulse.operators.pages import Pages
 from roadpulse.sources import lake, snapshots
 
 
@@ -135,6 +136,26 @@ def trips_page(data: TrafficData, start: str, end: str, gantry_o: str, gantry_d:
                              limit, offset)
 
 
+def detections_pages(data: TrafficData, start: str, end: str, gantry: str = "all",
+                     vehicle_type: str = "all") -> Pages:
+    """Detection rows under an index that gives pages at any offset; the index is built when called."""
+    span = TimeRange.of(start, end)
+    vehicles = flow.any_of(vehicle_type)
+    return flow.detail_pages(
+        data.detections(span), span, stations=flow.any_of(gantry), alias=data.aliases,
+        vehicles=[int(v) for v in vehicles] if vehicles else None)
+
+
+def trips_pages(data: TrafficData, start: str, end: str, gantry_o: str, gantry_d: str,
+                vehicle_type: str = "all") -> Pages:
+    """Trips from one station to another under an index, by departure time."""
+    span = TimeRange.of(start, end)
+    starts, ends, *_ = asked_ends(data, {"start_gantry": gantry_o, "end_gantry": gantry_d})
+    vehicles = flow.any_of(vehicle_type)
+    return trips.detail_pages(data.trips(span), span, starts, ends,
+                              [int(v) for v in vehicles] if vehicles else None)
+
+
 def dashboard(data: TrafficData, payload: dict, max_days: int | None = None) -> DataFrame:
     """Statistics of a day, week or month as one table, see :func:`stats.dashboard`.
 

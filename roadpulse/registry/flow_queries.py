@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions.timeparts import TimeRange
-from roadpulse.operators import flow, stats
+from roadpulse.operators import flow, pages, stats
 from roadpulse.plans import service
 from roadpulse.registry.book import (ALIAS, DETECTIONS, GROUPS, SECTIONS, registered,
                                      with_views)
@@ -90,6 +90,20 @@ def flow_detail_page(spark, sf_dir):
                             vehicles=[31, 5])
 
 
+@registered(with_views(DETECTIONS, select="""
+    , o AS (SELECT *, row_number() OVER (ORDER BY ti, g, dir, vt, vol) AS nth,
+                   count(*) OVER () AS total FROM det)
+    SELECT total, ti AS "TimeInterval", g AS "GantryID", dir AS "Direction", vt AS "VehicleType",
+           vol AS "Volume" FROM o WHERE nth > total * 3 // 4 AND nth <= total * 3 // 4 + 500"""))
+def flow_far_page(spark, sf_dir):
+    """A page three quarters down all detections, by the index of their pages."""
+    rows = detections_of(spark, sf_dir)
+    found = pages.index(rows.select("TimeInterval", "GantryID", "Direction", "VehicleType", "Volume"),
+                        ["TimeInterval", "GantryID", "Direction", "VehicleType", "Volume"])
+    total = found.total()
+    return found.page(500, total * 3 // 4).withColumn("total", F.lit(total).cast("long"))
+
+
 @registered(with_views(DETECTIONS, select=f"""
     , r AS (SELECT {HOUR} AS "time", g AS gantry_id, dir AS direction,
                    CAST(vt AS VARCHAR) AS vehicle_type, CAST(sum(vol) AS BIGINT) AS traffic_volume

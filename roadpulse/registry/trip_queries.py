@@ -62,6 +62,20 @@ def trip_detail_page(spark, sf_dir):
                              *ends_of(spark, sf_dir), limit=200, offset=20)
 
 
+@registered(with_views(TRIPS, select=f"""
+    , o AS (SELECT *, row_number() OVER (ORDER BY time_o, vt, g_o, time_d, g_d, len, fin, path) AS nth,
+                   count(*) OVER () AS total
+            FROM trp WHERE {_HIT} AND time_o BETWEEN '2024-01-01 00:00:00' AND '2024-01-30 23:59:59')
+    SELECT vt AS "VehicleType", time_o AS "DetectionTimeO", g_o AS "GantryO",
+           time_d AS "DetectionTimeD", g_d AS "GantryD", len AS "TripLength", fin AS "TripEnd",
+           path AS "TripInformation" FROM o WHERE nth > total - 150"""))
+def trip_last_page(spark, sf_dir):
+    """The last page of a month's trips, by the index of their pages."""
+    found = trips.detail_pages(trips_of(spark, sf_dir, MONTH), MONTH, *ends_of(spark, sf_dir))
+    total = found.total()
+    return found.page(150, max(0, total - 150))
+
+
 @registered(with_views(TRIPS, select=f"""
     SELECT time_o, g_o, g_d, path FROM trp WHERE {_HIT}"""))
 def od_pass_filter(spark, sf_dir):
