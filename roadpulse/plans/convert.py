@@ -22,6 +22,12 @@ from roadpulse.session import cut_lineage
 from roadpulse.sources import lake, landing, snapshots
 
 
+def name_pattern(dtype: str, stamps: Sequence[str]) -> str:
+    """Glob of the file names that have one of ``stamps`` (``yyyyMMdd`` or ``yyyyMM``)."""
+    some = ",".join(stamp + "[0-9]" * (8 - len(stamp)) for stamp in stamps)
+    return f"TDCS_{dtype}_{{{some}}}_*.csv"
+
+
 def landed_rows(spark: SparkSession, landing_root: str, dtype: str,
                 stamps: Sequence[str]) -> DataFrame:
     """CSV rows of one type, of the files whose name has one of ``stamps`` (``yyyyMMdd`` or
@@ -30,10 +36,9 @@ def landed_rows(spark: SparkSession, landing_root: str, dtype: str,
     The month a row is filed under is that of its file, which need not be that
     of its own time.
     """
-    some = ",".join(stamp + "[0-9]" * (8 - len(stamp)) for stamp in stamps)
     raw = (spark.read.schema(FACTS[dtype]).option("mode", "PERMISSIVE")
            .option("recursiveFileLookup", "true")
-           .option("pathGlobFilter", f"TDCS_{dtype}_{{{some}}}_*.csv").csv(landing_root))
+           .option("pathGlobFilter", name_pattern(dtype, stamps)).csv(landing_root))
     name = F.col("_metadata.file_name")
     stamp = F.substring(name, 11, 8)
     year, month = F.substring(stamp, 1, 4), F.substring(stamp, 5, 2)
@@ -107,6 +112,20 @@ def convert_days(spark: SparkSession, landing_root: str, lake_root: str, first:
     return take(spark, landing_root, lake_root, "M03A", files)
 
 
+def convert_given(spark: SparkSession, landing_root: str, lake_root: str, dtype: str,
+                  days: Sequence[date]) -> DataFrame:
+    """Add the landed files of the given days that the lake does not hold yet; the count check.
+
+    Only files of those days are listed and read. A second call finds nothing to add.
+    """
+    if not days:
+        return lake.no_check(spark)
+    pattern = name_pattern(dtype, sorted({day.strftime("%Y%m%d") for day in days}))
+    files = quality.landed_paths(landing.listing(spark, landing_root, uri=True, names=pattern))
+    return take(spark, landing_root, lake_root, dtype,
+                quality.unpublished(files, snapshots.sources(spark, lake_root)))
+
+
 def convert_months(spark: SparkSession, landing_root: str, lake_root: str,
                    manifest: str) -> DataFrame:
     """Trips: add every landed file that the lake does not hold yet, and stamp its month.

@@ -127,14 +127,17 @@ def lake_compacted(spark, sf_dir):
     return by_day(lake.tree(spark, root, "M03A"))
 
 
-@registered(with_views(EVENTS, select=f"""
+_LANDED_DAYS = """
     , f AS (SELECT CASE k WHEN 99 THEN 'never' ELSE substr(t, 1, 10) END AS day, amount,
                    strftime(ts0 - INTERVAL 30 MINUTE, '%Y%m%d') AS file_day, rid
             FROM ev),
       s AS (SELECT file_day, count(DISTINCT rid % CASE WHEN right(file_day, 1) IN ('0', '5')
                                                  THEN 288 ELSE 24 END) AS files
             FROM (SELECT f.*, e.event_id AS rid FROM (SELECT row_number() OVER () AS n, * FROM events) e
-                  JOIN (SELECT row_number() OVER () AS n, * EXCLUDE rid FROM f) f USING (n)) GROUP BY 1)
+                  JOIN (SELECT row_number() OVER () AS n, * EXCLUDE rid FROM f) f USING (n)) GROUP BY 1)"""
+
+
+@registered(with_views(EVENTS, select=_LANDED_DAYS + """
     SELECT stage, day, count(*) AS row_count, CAST(sum(amount) AS BIGINT) AS volume
     FROM f JOIN s USING (file_day), (VALUES ('complete'), ('forced')) AS stages(stage)
     WHERE stage = 'forced' OR files = 288 GROUP BY 1, 2"""))
@@ -315,6 +318,25 @@ def stream_ingest(spark, sf_dir):
     return by_day(jobs.ingested(spark, root, "M03A"))
 
 
+@registered(with_views(EVENTS, select=_LANDED_DAYS + """
+    SELECT day, count(*) AS row_count, CAST(sum(amount) AS BIGINT) AS volume
+    FROM f JOIN s USING (file_day) WHERE files = 288 GROUP BY 1"""))
+def stream_complete_days(spark, sf_dir):
+    """Files that land in two parts; a stream publishes the days that are complete, each once."""
+    landed, root = fresh_dir(spark, "slots"), fresh_dir(spark, "lake")
+    checkpoint = fresh_dir(spark, "stream")
+    lines = fixtures.landing_days(spark, sf_dir)
+    early = F.substring("name", 20, 2) < "12"
+    for part in (early, ~early):
+        fixtures.land(lines.filter(part), landed)
+        jobs.publish_complete(spark, landed, "M03A", root, checkpoint).awaitTermination()
+    jobs.publish_complete(spark, landed, "M03A", root, checkpoint).awaitTermination()
+    rows = lake.tree(spark, root, "M03A")
+    return rows.groupBy(F.when(F.col("TimeInterval") == "never", "never").otherwise(
+        day_of(F.col("TimeInterval"))).alias("day")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("Volume").alias("volume"))
+
+
 @registered(with_views(EVENTS, select="""
     , w AS (SELECT time_bucket(INTERVAL 15 MINUTE, ts0) AS s, vt, sum(amount) AS volume,
                    count(*) AS row_count FROM ev GROUP BY ALL)

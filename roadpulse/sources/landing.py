@@ -43,16 +43,18 @@ def strict_csv(spark: SparkSession, path: str) -> DataFrame:
     return _strict(spark.read.text(path))
 
 
-def listing(spark: SparkSession, root: str, uri: bool = False) -> DataFrame:
+def listing(spark: SparkSession, root: str, uri: bool = False, names: str = "*") -> DataFrame:
     """Files below a folder as ``(path, length)``, contents unread; empty files are left out.
 
-    With ``uri`` paths are spelled as in the metadata of rows read from them.
+    With ``uri`` paths are spelled as in the metadata of rows read from them; ``names`` is a
+    pattern that file names must match.
 
     A missing folder is an empty listing; any other failure stays an error, so
     it cannot look as if all files were missing.
     """
     try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
+            .option("pathGlobFilter", names).load(root)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -1,4 +1,4 @@
-"""Structured Streaming jobs: incremental ingest and 15-minute flow windows."""
+"""Structured Streaming jobs: ingest, publishing of complete days, 15-minute flow windows."""
 
 from __future__ import annotations
 
@@ -8,7 +8,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.functions.timeparts import day_of
-from roadpulse.schemas import FACT_TIME, FACTS
+from roadpulse.operators.quality import expected_files, parsed_names
+from roadpulse.plans import convert
+from roadpulse.schemas import FACT_TIME, FACTS, MINUTES_PER_FILE, files_per_day
 
 # Fixed value: data may arrive until the day falls out of the rolling window
 # that ends 5 days back and is 20 days long.
@@ -44,6 +46,65 @@ def ingested(spark: SparkSession, root: str, dtype: str) -> DataFrame:
     return spark.read.schema(schema).parquet(root)
 
 
+# Fixed value: the columns under which Spark lists files whole.
+LISTED = "path string, modificationTime timestamp, length bigint, content binary"
+#: Slots of a day in one state column.
+_BITS = 60
+
+
+def landed_files(spark: SparkSession, path: str, files_per_batch: int = 100_000) -> DataFrame:
+    """Landed files as a stream of (path, length), each file once, contents unread.
+
+    Files count however old they are, so that days fetched late are seen too.
+    """
+    return (spark.readStream.format("binaryFile").schema(LISTED)
+            .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_batch)
+            .option("maxFileAge", "36500d").load(path).select("path", "length"))
+
+
+def day_slots(files: DataFrame, dtype: str) -> DataFrame:
+    """(day, slots, expected) of each day of one type, from a stream or a table of (path, length).
+
+    The slots that landed are bits of a few numbers, or-ed together: a name that lands twice
+    counts once, and a day's state stays the same few bytes. Empty files, names off the grid of
+    slots and impossible days do not count.
+    """
+    step = MINUTES_PER_FILE[dtype]
+    hour, minute = (F.substring("hhmm", at, 2).cast("int") for at in (1, 3))
+    named = parsed_names(files).filter(
+        (F.col("dtype") == dtype) & F.col("day").isNotNull() & (F.col("length") > 0)
+        & F.col("name").endswith("00.csv") & (hour < 24) & (minute < 60) & (minute % step == 0))
+    slot = ((hour * 60 + minute) / step).cast("int")
+    flag = F.call_function("shiftleft", F.lit(1).cast("bigint"), slot % _BITS)
+    words = range(-(-files_per_day(dtype) // _BITS))
+    held = named.groupBy("day").agg(*[
+        F.bit_or(F.when(F.floor(slot / _BITS) == k, flag)).alias(f"w{k}") for k in words])
+    count = sum((F.coalesce(F.bit_count(f"w{k}"), F.lit(0)) for k in words), F.lit(0))
+    return held.select("day", count.alias("slots"), expected_files(F.lit(dtype)).alias("expected"))
+
+
+def publish_complete(spark: SparkSession, landing: str, dtype: str, root: str, checkpoint: str,
+                     files_per_batch: int = 100_000) -> StreamingQuery:
+    """Publish every day to the lake once all of its slots have landed, then stop.
+
+    Rows stay in the landing folder until then; nothing is stored twice. Days that change are
+    looked at again, so a slot that lands a second time, in another folder and longer, takes the
+    place of its first rows. The ledger tells what is published, so a repeated batch adds nothing.
+    A failed count check fails the run before its batch is marked as done. A file written over in
+    its own place is not seen again; :func:`convert.convert_days` takes it.
+    """
+    def publish(batch: DataFrame, _: int) -> None:
+        days = [r["day"] for r in batch.filter("slots = expected").select("day").collect()]
+        check = convert.convert_given(spark, landing, root, dtype, days)
+        wrong = check.filter("status <> 'OK'").collect()
+        if wrong:
+            raise RuntimeError(f"count check of {root} failed: {wrong}")
+
+    return (day_slots(landed_files(spark, landing, files_per_batch), dtype).writeStream
+            .outputMode("update").foreachBatch(publish)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
 def windowed_flow(stream: DataFrame, time: str = "ts", value: str = "Volume",
                   lateness: str = LATENESS) -> DataFrame:
     """Volume and rows per 15-minute window and vehicle, complete once the watermark passes."""
