@@ -120,6 +120,66 @@ def valid_between(versions: Column, first: date, last: date) -> Column:
     return F.exists(versions, overlaps)
 
 
+#: Begin and end of versions that have none.
+FIRST_DAY, LAST_DAY = "0001-01-01", "9999-12-31"
+
+
+def section_spans(groups: DataFrame) -> DataFrame:
+    """Which section a station belongs to on which days: (station, begin, end, section fields).
+
+    The days of a version are those of :func:`valid_between`: from its first day, if it has one,
+    to its last, or for ever while in use; a version without days and not in use has none, nor
+    has a section without versions. Where versions of several sections overlap the smallest
+    ``group_id`` wins, as in :func:`group_lookup`. The spans of a station are disjoint, in whole
+    days as text, both ends included.
+    """
+    ids = F.array_distinct(F.concat(F.array("current_gantry_id"), F.col("gantry_ids")))
+    section = F.struct("group_id", "current_gantry_id", "name", "group_direction",
+                       "direction_label", "lat", "lng")
+    active = F.coalesce(F.col("version.is_active"), F.lit(False))
+    seen, left = (F.nullif(F.substring(f"version.{c}", 1, 10), F.lit("")).try_cast("date")
+                  for c in ("first_seen", "last_seen"))
+    open_end, open_begin = F.lit(LAST_DAY).cast("date"), F.lit(FIRST_DAY).cast("date")
+    held = (groups.select(F.explode(ids).alias("station"), section.alias("section"), "versions")
+            .filter(F.col("station") != "")
+            .select("station", "section", F.explode("versions").alias("version"))
+            .filter(active | seen.isNotNull() | left.isNotNull())
+            .select("station", "section", F.coalesce(seen, open_begin).alias("begin"),
+                    F.when(active, open_end).otherwise(F.coalesce(left, open_end)).alias("end"))
+            .filter(F.col("begin") <= F.col("end")))
+    # A station's days are cut wherever one of its versions begins or is over.
+    after = F.when(F.col("end") < open_end, F.date_add("end", 1))
+    cuts = held.select("station", F.explode(F.array("begin", after)).alias("from")).filter(
+        F.col("from").isNotNull()).distinct()
+    following = F.lead("from").over(Window.partitionBy("station").orderBy("from"))
+    pieces = cuts.select("station", "from", F.coalesce(F.date_sub(following, 1), open_end).alias("to"))
+    inside = held.join(pieces, "station").filter(F.col("from").between(F.col("begin"), F.col("end")))
+    chosen = inside.groupBy("station", "from", "to").agg(
+        F.min_by("section", F.col("section.group_id")).alias("section"))
+    # Neighbouring pieces of one section are one span.
+    order = Window.partitionBy("station").orderBy("from")
+    same = (F.lag("section.group_id").over(order) == F.col("section.group_id")) \
+        & (F.lag("to").over(order) == F.date_sub("from", 1))
+    run = F.sum(F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1)).over(order)
+    return chosen.withColumn("run", run).groupBy("station", "run").agg(
+        F.min("from").cast("string").alias("begin"), F.max("to").cast("string").alias("end"),
+        F.first("section").alias("section")).select("station", "begin", "end", "section.*")
+
+
+def in_section(rows: DataFrame, spans: DataFrame, station: str = "GantryID", day: str = "day") -> DataFrame:
+    """Rows with the section their station was in on their day (``yyyy-MM-dd``), null in none.
+
+    Spans of a station are disjoint, so no row is doubled. Sum rows by station and day before.
+    """
+    one = spans.select(F.col("station").alias("__station"), F.col("begin").alias("__begin"),
+                       F.col("end").alias("__end"), F.struct(*[
+                           c for c in spans.columns if c not in ("station", "begin", "end")])
+                       .alias("section"))
+    found = (F.col(station) == F.col("__station")) & F.col(day).between(
+        F.col("__begin"), F.col("__end"))
+    return rows.join(one, found, "left").drop("__station", "__begin", "__end")
+
+
 def driving_order(groups: DataFrame) -> DataFrame:
     """Place of each section on its road and direction: by km along the way, then by name.
 
@@ -143,13 +203,15 @@ def active_sections(groups: DataFrame, first: date, last: date, road: str | None
     return driving_order(kept)
 
 
-def candidates(groups: DataFrame, starts: DataFrame) -> DataFrame:
+def candidates(groups: DataFrame, starts: DataFrame,
+               days: tuple[date, date] | None = None) -> DataFrame:
     """End sections offered for requested starts (``start_id``).
 
     On the start's road those further along, on other roads all of the same
-    direction, tagged as a change of road.
+    direction, tagged as a change of road. With ``days`` only sections valid in them are
+    starts or ends.
     """
-    ordered = driving_order(groups)
+    ordered = driving_order(groups) if days is None else active_sections(groups, *days)
     start = ordered.join(starts, F.col("group_id") == F.col("start_id")).select(
         "start_id", "group_direction", F.col("road").alias("start_road"),
         F.col("place").alias("start_place"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions import timeparts as tp
 from roadpulse.operators.ranking import percent, share_of
+from roadpulse.operators.stations import in_section
 from roadpulse.schemas import VEHICLE_ORDER, road_direction_label
 
 
@@ -79,6 +80,22 @@ def section_volume(stations: DataFrame, sections: DataFrame) -> DataFrame:
         F.sum("volume").alias("volume"))
 
 
+def section_volume_in_time(fine: DataFrame, spans: DataFrame) -> DataFrame:
+    """Volume per road section, each row counted for the section its station was in on its day.
+
+    ``fine`` is :func:`base`, ``spans`` :func:`operators.stations.section_spans`. A station in no
+    section on a day stands for itself as ``RAW_<id>`` on it. Days of a section are counted.
+    """
+    days = fine.groupBy("GantryID", tp.day_of(F.col("bucket")).alias("day")).agg(
+        F.sum("volume").alias("volume"))
+    own = F.concat(F.lit("RAW_"), "GantryID")
+    return in_section(days, spans).groupBy(
+        F.coalesce(F.col("section.group_id"), own).alias("group_id")).agg(
+        F.min(F.coalesce(F.col("section.name"), "GantryID")).alias("name"),
+        F.countDistinct("GantryID").alias("stations"), F.min("day").alias("first_day"),
+        F.max("day").alias("last_day"), F.sum("volume").alias("volume"))
+
+
 def road_ranking(stations: DataFrame, sections: DataFrame, top: int = 10) -> DataFrame:
     """Top sections by volume, then name and direction, with their share of the total."""
     return share_of(section_volume(stations, sections), "volume").orderBy(

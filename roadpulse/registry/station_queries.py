@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from roadpulse import fixtures
 from roadpulse.functions.paths import station_ids
 from roadpulse.operators import alias as al
-from roadpulse.operators import routes, stations
-from roadpulse.registry.book import (ALIAS, EVENTS, GROUPS, TRIPS, registered, with_views)
+from roadpulse.operators import routes, stations, stats
+from roadpulse.registry.book import (ALIAS, DETECTIONS, EVENTS, GROUPS, TRIPS, registered,
+                                     with_views)
 from roadpulse.registry.facts import (alias_of, detections_of, groups_of, lookup_of,
                                       trips_of)
 
@@ -118,6 +119,62 @@ def od_candidates(spark, sf_dir):
     return stations.candidates(groups_of(spark, sf_dir), busy(spark, sf_dir))
 
 
+@registered(with_views(EVENTS, GROUPS, select=_BUSY + """
+    , valid AS (SELECT *, row_number() OVER (
+                    PARTITION BY road, gdir
+                    ORDER BY CASE WHEN gdir = 'N' THEN -km ELSE km END, nm, group_id) AS place
+                FROM grp WHERE pos NOT IN (7, 9))
+    SELECT start_id, e.group_id AS end_id, e.road, CAST(e.place AS INTEGER) AS place,
+           e.road <> s.road AS other_road
+    FROM busy JOIN valid s ON s.group_id = start_id JOIN valid e ON e.gdir = s.gdir
+    WHERE e.road <> s.road OR e.place > s.place"""))
+def od_candidates_dated(spark, sf_dir):
+    """End sections for every start with traffic, of sections valid in the asked days only."""
+    return stations.candidates(groups_of(spark, sf_dir), busy(spark, sf_dir),
+                               (date(2024, 1, 5), date(2024, 1, 25)))
+
+
+MOVED, OVER = "2024-01-15", "2024-01-20"
+
+
+def moved_groups(spark, sf_dir):
+    """Sections of which every station changes one: its own before ``MOVED``, one by road and
+    direction from then on; that of 03A ends again after ``OVER``."""
+    seen = fixtures.station_history(spark, sf_dir).select("station").distinct()
+    version = lambda begin, end, active: F.array(F.struct(
+        begin.cast("string").alias("first_seen"), end.cast("string").alias("last_seen"),
+        active.alias("is_active")))
+    alone = seen.select(
+        F.concat(F.lit("Z_"), "station").alias("group_id"), F.col("station").alias("current_gantry_id"),
+        F.array("station").alias("gantry_ids"), F.col("station").alias("display_name"),
+        version(F.lit(None), F.lit(MOVED), F.lit(False)).alias("versions"))
+    # a road has at most its stations, so the lists stay short
+    road = F.substring("station", 1, 3)
+    joined = seen.groupBy(F.concat(F.lit("R_"), road, F.right("station", F.lit(1))).alias("group_id")).agg(
+        F.max("station").alias("current_gantry_id"), F.array_sort(F.collect_set("station")).alias("gantry_ids"))
+    over = F.col("group_id").startswith("R_03A")
+    return alone.unionByName(joined.select(
+        "group_id", "current_gantry_id", "gantry_ids", F.col("group_id").alias("display_name"),
+        version(F.lit(MOVED), F.when(over, F.lit(OVER)), ~over).alias("versions")))
+
+
+@registered(with_views(DETECTIONS, select=f"""
+    , d AS (SELECT g, substr(ti, 1, 10) AS day, vol FROM det),
+      s AS (SELECT CASE WHEN day < '{MOVED}' THEN 'Z_' || g
+                        WHEN substr(g, 1, 3) = '03A' AND day > '{OVER}' THEN 'RAW_' || g
+                        ELSE 'R_' || substr(g, 1, 3) || right(g, 1) END AS group_id, * FROM d)
+    SELECT group_id, CASE WHEN starts_with(group_id, 'R_') THEN group_id ELSE min(g) END AS name,
+           count(DISTINCT g) AS stations, min(day) AS first_day, max(day) AS last_day,
+           CAST(sum(vol) AS BIGINT) AS volume
+    FROM s GROUP BY group_id"""))
+def sections_in_time(spark, sf_dir):
+    """Volume by the section each station was in on the day of its rows."""
+    spans = stations.section_spans(stations.normalize_groups(moved_groups(spark, sf_dir)))
+    rows = detections_of(spark, sf_dir).groupBy("GantryID", F.col("TimeInterval").alias("bucket")).agg(
+        F.sum("Volume").alias("volume"))
+    return stats.section_volume_in_time(rows, spans)
+
+
 _PAIRS = """, pair AS (
     SELECT a.group_id AS start_id, b.group_id AS end_id, count(*) AS n
     FROM trp JOIN mem a ON a.station = g_o JOIN mem b ON b.station = g_d
