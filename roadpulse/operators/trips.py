@@ -176,6 +176,38 @@ def modal_route(trips: DataFrame, starts: Sequence[str], ends: Sequence[str]) ->
     return route_counts(trips, starts, ends).orderBy(F.desc("trips"), "route").limit(1)
 
 
+def answer(matched: DataFrame, starts: Sequence[str], ends: Sequence[str]) -> DataFrame:
+    """Rows and modal route of an OD request in one table, out of one pass over the paths.
+
+    ``part`` is ``time`` for the rows of :func:`travel_time` and ``route`` for the one most driven
+    station sequence, with its trips and mean minutes. Trips are grouped once by slot, vehicle
+    and route; both parts add that up, and its exchange is read twice.
+    """
+    route = F.array_join(paths.route_between(paths.station_ids(F.col("TripInformation")), starts, ends), ",")
+    seconds = tp.wall_seconds(F.col("time_b")) - tp.wall_seconds(F.col("time_a"))
+    fine = matched.select(
+        tp.slot_of(F.col("time_a"), 15).alias("origin_time"),
+        F.col("VehicleType").cast("string").alias("vehicle_type"), seconds.alias("seconds"),
+        paths.computed_once(route).alias("route"),
+    ).groupBy("origin_time", "vehicle_type", "route").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("seconds").alias("seconds"))
+    both = [F.sum("n").alias("trip_count"), F.sum("seconds").alias("sum_seconds")]
+    times = fine.groupBy("origin_time", "vehicle_type").agg(*both)
+    # No filter on the route: pushed below the grouping it would make another one of it.
+    order = F.struct(F.col("route").isNull(), -F.col("trip_count"), F.col("route"))
+    top = fine.groupBy("route").agg(*both).agg(
+        F.min_by(F.struct("route", "trip_count", "sum_seconds"), order).alias("top")
+    ).select("top.*").filter(F.col("route").isNotNull())
+    none = F.lit(None).cast("string")
+    united = times.select(F.lit("time").alias("part"), "origin_time", "vehicle_type", "trip_count",
+                          "sum_seconds", none.alias("route")).unionByName(
+        top.select(F.lit("route").alias("part"), none.alias("origin_time"),
+                   none.alias("vehicle_type"), "trip_count", "sum_seconds", "route"))
+    return united.withColumn("avg_travel_time_minutes", F.round(
+        F.col("sum_seconds") / (F.col("trip_count") * 60.0), 1)).drop("sum_seconds").orderBy(
+        F.desc("part"), "origin_time", "vehicle_type")
+
+
 def trip_legs(trips: DataFrame) -> DataFrame:
     """One row per passed station: position, time, station."""
     kept = [c for c in trips.columns if c != "TripInformation"]

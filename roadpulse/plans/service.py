@@ -114,6 +114,15 @@ def od_query(data: TrafficData, payload: dict, max_days: int | None = None) -> A
     return Answer(rows, trips.modal_route(matched, starts, ends))
 
 
+def od_answer(data: TrafficData, payload: dict, max_days: int | None = None) -> DataFrame:
+    """Rows and modal route of an OD request as one table from one scan, see :func:`trips.answer`."""
+    span = asked_range(payload, max_days)
+    starts, ends, start_name, end_name = asked_ends(data, payload)
+    matched = trips.stretches(data.trips(span), span, starts, ends, asked_vehicle(payload))
+    return trips.answer(matched, starts, ends).select(
+        "*", F.lit(start_name).alias("start_gantry"), F.lit(end_name).alias("end_gantry"))
+
+
 def detections_page(data: TrafficData, start: str, end: str, gantry: str = "all",
                     vehicle_type: str = "all", limit: int = 1000, offset: int = 0) -> DataFrame:
     """Detection rows page by page."""

@@ -181,6 +181,29 @@ def od_modal_route(spark, sf_dir):
     return trips.modal_route(trips_of(spark, sf_dir), *ends_of(spark, sf_dir))
 
 
+@registered(with_views(TRIPS, select=MONTH_SQL + f"""
+    , pos AS (SELECT *, regexp_full_match(st, '{_A}') AS a, regexp_full_match(st, '{_B}') AS b FROM leg),
+      cut AS (SELECT rid, min(i) FILTER (a) AS fst, max(i) FILTER (b) AS lst,
+                     arg_min(lt, i) FILTER (a) AS ta, arg_max(lt, i) FILTER (b) AS tb
+              FROM pos GROUP BY rid),
+      rt AS (SELECT rid, string_agg(st, ',' ORDER BY i) AS route,
+                    any_value(epoch(tb::TIMESTAMP) - epoch(ta::TIMESTAMP)) AS secs
+             FROM pos JOIN cut USING (rid)
+             WHERE fst < lst AND i BETWEEN fst AND lst
+               AND ta BETWEEN '2024-01-01 00:00:00' AND '2024-01-30 23:59:59' GROUP BY rid),
+      top AS (SELECT route, count(*) AS n, CAST(sum(secs) AS BIGINT) AS s
+              FROM rt GROUP BY route ORDER BY n DESC, route LIMIT 1)
+    SELECT 'time' AS part, origin_time, vehicle_type, trip_count, NULL AS route,
+           round(sum_seconds / (trip_count * 60.0::DOUBLE), 1) AS avg_travel_time_minutes FROM od
+    UNION ALL
+    SELECT 'route', NULL, NULL, n, route, round(s / (n * 60.0::DOUBLE), 1) FROM top"""))
+def od_request(spark, sf_dir):
+    """A month of an OD pair: rows and modal route by one scan of the paths."""
+    starts, ends = ends_of(spark, sf_dir)
+    return trips.answer(trips.stretches(trips_of(spark, sf_dir, MONTH), MONTH, starts, ends),
+                        starts, ends)
+
+
 @registered(with_views(TRIPS, select="""
     SELECT t AS time_o, vt AS vehicle, CAST(i + 1 AS INTEGER) AS position, lt AS "time",
            st AS station FROM leg"""))

@@ -528,6 +528,22 @@ def test_od_request(data):
     assert rows(answer.route) == [("01F0339N,01F0200N,01F0100N", 1)]
 
 
+def test_od_answer_reads_the_paths_once(data):
+    ask = {"start_time": "2024-01-01 08:00:00", "end_time": "2024-01-01 09:00:00",
+           "start_gantry_ids": ["01F0340N"], "start_gantry": "01F0340N", "end_gantry": "01F0100N"}
+    answer = service.od_answer(data, ask)
+    got = [tuple(r) for r in answer.select("part", "origin_time", "vehicle_type", "trip_count",
+                                           "route", "avg_travel_time_minutes", "start_gantry").collect()]
+    assert got == [("time", "2024-01-01 08:00", "31", 1, None, 20.0, "01F0340N"),
+                   ("route", None, None, 1, "01F0339N,01F0200N,01F0100N", 20.0, "01F0340N")]
+    plan = answer._jdf.queryExecution().executedPlan()
+    answer._jdf.collect()
+    final = plan.toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+    nobody = {**ask, "start_time": "2023-01-01 08:00:00", "end_time": "2023-01-01 09:00:00"}
+    assert service.od_answer(data, nobody).isEmpty()
+
+
 def test_dashboard(data):
     day = service.dashboard(data, {"period_type": "daily", "start_date": "2024-01-02",
                                    "end_date": "2024-01-02"})
