@@ -360,6 +360,32 @@ def stream_15min(spark, sf_dir):
     return stored.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm"))
 
 
+@registered(with_views(EVENTS, select="""
+    , m AS (SELECT max(ts) - INTERVAL 24 DAY AS lim FROM events),
+      r AS (SELECT time_bucket(INTERVAL 15 MINUTE, ts0) AS s, vt, amount,
+                   CASE WHEN t >= '2024-01-10' THEN 2 WHEN k < 50 THEN 1 ELSE 3 END AS part FROM ev)
+    SELECT CASE part WHEN 3 THEN 'late' ELSE 'window' END AS place,
+           strftime(s, '%Y-%m-%d %H:%M') AS window_start, vt AS "VehicleType",
+           CAST(sum(amount) AS BIGINT) AS volume, count(*) AS row_count
+    FROM r, m WHERE s + INTERVAL 15 MINUTE <= lim GROUP BY ALL"""))
+def stream_late_rows(spark, sf_dir):
+    """Detections in three batches, the last far behind: finished windows, and what missed them."""
+    source, root, checkpoint = (fresh_dir(spark, label) for label in ("source", "windows", "stream"))
+    rows = fixtures.events(spark, sf_dir, None).select(
+        F.col("t").cast("timestamp").alias("ts"), "VehicleType", F.col("amount").alias("Volume"), "k")
+    old = F.col("ts") < F.lit("2024-01-10").cast("timestamp")
+    for part in (old & (F.col("k") < 50), ~old, old & (F.col("k") >= 50)):
+        rows.filter(part).drop("k").write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.drop("k").schema).parquet(source)
+        jobs.split_flow(stream, root, checkpoint).awaitTermination()
+    late = jobs.late_rows(spark, root, rows.drop("k").schema)
+    late = late.groupBy(F.window("ts", "15 minutes")["start"].alias("window_start"), "VehicleType").agg(
+        F.sum("Volume").alias("volume"), F.count(F.lit(1)).alias("row_count"))
+    both = jobs.finished_windows(spark, root).select(F.lit("window").alias("place"), "*").unionByName(
+        late.select(F.lit("late").alias("place"), "*"))
+    return both.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm"))
+
+
 @registered(with_views(TRIPS, select="""
     SELECT vt AS "VehicleType", len AS "TripLength", count(*) AS n FROM trp GROUP BY ALL"""))
 def retyped_columns(spark, sf_dir):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +13,7 @@ from roadpulse.functions.timeparts import day_of
 from roadpulse.operators.quality import expected_files, parsed_names
 from roadpulse.plans import convert
 from roadpulse.schemas import FACT_TIME, FACTS, MINUTES_PER_FILE, files_per_day
+from roadpulse.session import list_dir
 
 # Fixed value: data may arrive until the day falls out of the rolling window
 # that ends 5 days back and is 20 days long.
@@ -128,3 +131,80 @@ def dropped(query: StreamingQuery) -> int:
     """
     return sum(int(operator["numRowsDroppedByWatermark"])
                for progress in query.recentProgress for operator in progress["stateOperators"])
+
+
+#: Microseconds of a window.
+_QUARTER = 15 * 60_000_000
+_WINDOW = "window_start timestamp, VehicleType int, volume bigint, row_count bigint"
+
+
+def sealed(spark: SparkSession, root: str, before: int | None = None) -> tuple[int, int] | None:
+    """(batch, latest time in it or before, in microseconds) of the newest whole batch."""
+    numbers = [int(name[6:]) for name, _ in list_dir(spark, f"{root}/marks")
+               if name.startswith("batch=") and (before is None or int(name[6:]) < before)]
+    if not numbers:
+        return None
+    newest = max(numbers)
+    return newest, spark.read.schema("seen bigint").parquet(f"{root}/marks/batch={newest}").first()[0]
+
+
+def split_flow(stream: DataFrame, root: str, checkpoint: str, time: str = "ts", value: str = "Volume",
+               lateness: timedelta = timedelta(days=24)) -> StreamingQuery:
+    """15-minute sums that lose no row: what comes too late goes to a table of its own, then stop.
+
+    A row is late if its window ended ``lateness`` before the latest time of earlier batches, the
+    rule by which :func:`windowed_flow` drops it; a row without a time is late too. Other rows
+    are summed by window and vehicle. A batch writes its sums and its late rows to folders
+    of its number and its mark last, so a repeated batch replaces itself and readers see
+    whole batches only. No state is held between batches but one time. A root belongs to one
+    checkpoint.
+    """
+    def store(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        earlier = sealed(spark, root, number)
+        seen = earlier and earlier[1]
+        rows = batch.persist()
+        # Not F.window, which leaves out rows without a time.
+        end = (F.floor(F.unix_micros(F.col(time)) / _QUARTER) + 1) * _QUARTER
+        late = F.col(time).isNull()
+        if seen is not None:
+            late = late | (end <= seen - lateness // timedelta(microseconds=1))
+        rows.filter(~late).groupBy(F.window(time, "15 minutes").alias("w"), "VehicleType").agg(
+            F.sum(value).cast("bigint").alias("volume"), F.count(F.lit(1)).alias("row_count")).select(
+            F.col("w.start").alias("window_start"), "VehicleType", "volume", "row_count").write.mode(
+            "overwrite").parquet(f"{root}/windows/batch={number}")
+        rows.filter(late).write.mode("overwrite").parquet(f"{root}/late/batch={number}")
+        rows.agg(F.greatest(F.max(F.unix_micros(F.col(time))), F.lit(seen).cast("bigint")).alias("seen")
+                 ).write.mode("overwrite").parquet(f"{root}/marks/batch={number}")
+        rows.unpersist()
+
+    return (stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def finished_windows(spark: SparkSession, root: str, lateness: timedelta = timedelta(days=24)) -> DataFrame:
+    """Sums of the windows that get no more rows: those that ended ``lateness`` before the latest time."""
+    newest = sealed(spark, root)
+    if newest is None or newest[1] is None:
+        return spark.createDataFrame([], _WINDOW)
+    limit = newest[1] - lateness // timedelta(microseconds=1)
+    return (spark.read.schema(_WINDOW + ", batch bigint").parquet(f"{root}/windows")
+            .filter(F.col("batch") <= newest[0])
+            .groupBy("window_start", "VehicleType").agg(
+                F.sum("volume").alias("volume"), F.sum("row_count").alias("row_count"))
+            .filter(F.unix_micros("window_start") + _QUARTER <= limit))
+
+
+def late_rows(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """Rows that are in no window, with the batch they came in."""
+    newest = sealed(spark, root)
+    wide = T.StructType(schema.fields + [T.StructField("batch", T.LongType())])
+    if newest is None:
+        return spark.createDataFrame([], wide)
+    return spark.read.schema(wide).parquet(f"{root}/late").filter(F.col("batch") <= newest[0])
+
+
+def late_months(late: DataFrame, time: str = "ts") -> DataFrame:
+    """Months whose windows lack late rows and are to be computed from the lake again; null: no time."""
+    return late.groupBy(F.date_format(time, "yyyy").alias("year"), F.date_format(time, "MM").alias("month")
+                        ).agg(F.count(F.lit(1)).alias("late"))

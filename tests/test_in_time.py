@@ -1,6 +1,6 @@
 """Sections that change over time, and days that complete over several stream runs."""
 
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -158,3 +158,56 @@ def test_a_failed_check_is_done_again(spark, tmp_path, monkeypatch):
     jobs.publish_complete(spark, str(raw), "M06A", root, checkpoint).awaitTermination()
     assert lake.tree(spark, root, "M06A").count() == 24
     assert convert.convert_given(spark, str(raw), root, "M06A", []).isEmpty()
+
+
+FLOW = "ts timestamp, VehicleType int, Volume int"
+
+
+def test_no_row_is_lost_behind_the_watermark(spark, tmp_path):
+    """Each batch as Spark's own watermark sees it: the same windows, the same rows left out."""
+    source, root = str(tmp_path / "src"), fresh_dir(spark, "windows")
+    marks, own, out = (fresh_dir(spark, "stream") for _ in range(3))
+    batches = [
+        [("2024-01-01 00:01:00", 31, 1), ("2024-01-01 00:10:00", 31, 2), ("2024-01-20 00:00:00", 5, 4)],
+        [("2024-01-01 00:14:59", 31, 8), ("2024-01-26 00:00:00", 31, 16)],
+        # On time by 15 minutes, late, late.
+        [("2024-01-02 00:00:00", 31, 32), ("2024-01-01 00:02:00", 31, 64), ("2023-12-01 00:00:00", None, 128)],
+        [("2024-01-01 23:59:59", 31, 256), ("2024-02-20 00:00:00", 31, 512)],
+        [("2024-01-20 00:00:00", 5, 1024)]]
+    dropped = 0
+    for values in batches:
+        spark.createDataFrame(values, "ts string, VehicleType int, Volume int").withColumn(
+            "ts", F.col("ts").cast("timestamp")).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(FLOW).parquet(source)
+        jobs.split_flow(stream, root, marks).awaitTermination()
+        query = jobs.drain(jobs.windowed_flow(stream), out, own)
+        query.awaitTermination()
+        dropped += jobs.dropped(query)
+    names = ["window_start", "VehicleType", "volume", "row_count"]
+    spark_own = spark.read.schema(jobs._WINDOW).parquet(out)
+    windows = jobs.finished_windows(spark, root)
+    late = jobs.late_rows(spark, root, spark.read.schema(FLOW).parquet(source).schema)
+    assert found(windows, *names) == found(spark_own, *names) != []
+    # Spark counts late rows after it has combined them within a task.
+    assert late.count() >= dropped > 0
+    sums = [tuple(r) for r in windows.agg(F.sum("volume"), F.sum("row_count")).collect()]
+    rest = spark.read.schema(jobs._WINDOW).parquet(f"{root}/windows").agg(
+        F.sum("row_count")).first()[0]
+    assert rest + late.count() == sum(len(b) for b in batches) and sums[0][1] <= rest
+    assert {(r["year"], r["month"], r["late"]) for r in jobs.late_months(late).collect()} >= {
+        ("2023", "12", 1)}
+
+
+def test_batches_without_times_and_nothing(spark, tmp_path):
+    source, root, marks = str(tmp_path / "src"), fresh_dir(spark, "windows"), fresh_dir(spark, "stream")
+    assert jobs.finished_windows(spark, root).isEmpty()
+    assert jobs.late_rows(spark, root, spark.createDataFrame([], FLOW).schema).isEmpty()
+    for value in (None, "2024-01-30 00:00:00", None):
+        spark.createDataFrame([(value, 31, 1)], "ts string, VehicleType int, Volume int").withColumn(
+            "ts", F.col("ts").cast("timestamp")).write.mode("append").parquet(source)
+        jobs.split_flow(spark.readStream.schema(FLOW).parquet(source), root, marks).awaitTermination()
+    late = jobs.late_rows(spark, root, spark.createDataFrame([], FLOW).schema)
+    assert found(late, "Volume", "batch") == [(1, 0), (1, 2)]
+    assert jobs.finished_windows(spark, root).isEmpty()
+    assert jobs.finished_windows(spark, root, timedelta(0)).count() == 0
+    assert jobs.finished_windows(spark, root, timedelta(minutes=-15)).count() == 1
