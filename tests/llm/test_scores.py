@@ -142,3 +142,99 @@ def test_probabilities_sum_to_one(spark):
     by = {r.doc_id: r.score for r in model.collect()}
     # P(word) P(end | word) over all words and P(end) is at most one; unknown words have the rest.
     assert 0 < sum(10 ** s for d, s in by.items() if d >= 1000) <= 1
+
+
+def bigram_likelihood(table):
+    return sum((x[x > 0] * np.log(x[x > 0])).sum() * sign
+               for x, sign in ((table, 1), (table.sum(axis=0), -1)))
+
+
+def test_gains_are_differences_of_the_likelihood():
+    rng = np.random.default_rng(8)
+    hists = rng.integers(0, 4, (12, 5)) + np.eye(12, 5, dtype=int)
+    hists[11] = [0, 0, 900, 0, 0]
+    own = rng.integers(0, 5, 12)
+    table = np.zeros((5, 5))
+    np.add.at(table.T, own, hists)
+    word, context = np.nonzero(hists)
+    entries = np.empty(len(word), brown.ENTRY)
+    entries["context"], entries["n"] = context, hists[word, context]
+    cuts = np.searchsorted(word, np.arange(13))
+    got = brown.gains(entries, cuts, hists.sum(axis=1).astype(float), own, table)
+    for w in range(12):
+        without = table.copy()
+        without[:, own[w]] -= hists[w]
+        for k in range(5):
+            moved = without.copy()
+            moved[:, k] += hists[w]
+            assert got[w, k] == pytest.approx(
+                bigram_likelihood(moved) - bigram_likelihood(without), abs=1e-6)
+
+
+def class_docs():
+    """More words than the core has: six thousand rare ones, each after words of one kind."""
+    rows = [(k, text(50 + k, 60).upper() if k % 2 else text(50 + k, 60), None) for k in range(40)]
+    rows += [(200 + k, " ".join(f"{('the', 'river')[j % 2]} {'qx'[j % 2]}{j}z" for j in range(k * 50, k * 50 + 50))
+              + " end.", None) for k in range(120)]
+    return rows + [(900, None, None), (901, "", None), (None, "The unseen qq1 qq1", None),
+                   (902, "never é seen the q7z river x9z q2z", None)]
+
+
+@pytest.mark.parametrize("head", [30, brown.HEAD])
+def test_class_scores_against_a_plain_model(spark, head):
+    rows = class_docs()
+    docs = frame(spark, rows)
+    trained = [t for d, t, _ in rows if d is not None and d < 900]
+    model = brown.fit(docs.where("doc_id < 900"), classes=6)
+    cls = {r["word"]: r["class"] for r in model.known.collect()}
+    count = Counter(w for t in trained for w in tokens(t))
+    assert {r["word"]: r["n"] for r in model.known.collect()} == {w: n for w, n in count.items() if w}
+    core = dict(zip(model.core.to_pylist(), model.of.tolist()))
+    assert len(core) == brown.FREQUENT and all(cls[w] == c for w, c in core.items())
+    end = model.of[-1]
+    assert end not in cls.values()
+
+    def form(w):
+        return int(model.of[brown.FREQUENT + brown.forms(pa.array([w]))[0]])
+
+    def context(w):
+        return end if w == "" else core.get(w, None) if w in core else form(w)
+
+    def own(w):
+        return end if w == "" else cls.get(w, None) if w in cls else form(w)
+
+    table = np.zeros((6, 6))
+    for t in trained:
+        words = tokens(t)
+        for a, b in zip(["", *words], words):
+            table[context(a), own(b)] += 1
+    assert (table == model.bigrams).all()
+    types = Counter(own(w) for w in count)
+    mass = [table[:, c].sum() + types[c] + 1 for c in range(6)]
+    assert mass == model.mass.tolist()
+    want = Counter()
+    for doc, t, _ in rows:
+        words, total = tokens(t), 0.0
+        for a, b in zip(["", *words], words):
+            a, c = context(a), own(b)
+            p = (table[a, c] + brown.ALPHA * mass[c] / sum(mass)) / (table[a].sum() + brown.ALPHA)
+            total += math.log10(p * (count[b] + 1) / mass[c])
+        want[doc, len(words), round(total, 6)] += 1
+    got = brown.scores(docs, model, head).collect()
+    assert Counter((r.doc_id, r.n_tokens, round(r.score, 6)) for r in got) == want
+
+
+def test_every_word_is_exchanged_and_the_likelihood_rises(spark):
+    learned = frame(spark, class_docs()).where("doc_id < 900")
+    still, moved = brown.fit(learned, classes=6, rounds=0), brown.fit(learned, classes=6)
+    assert bigram_likelihood(moved.bigrams) > bigram_likelihood(still.bigrams)
+    # Each word stood after "the" or after "river" only, whatever its form.
+    cls = {r["word"]: r["class"] for r in moved.known.collect()}
+    for kind in (0, 1):
+        mine = {f"{'qx'[kind]}{j}z" for j in range(kind, 6000, 2)} - set(moved.core.to_pylist())
+        assert len(mine) > 1500
+        assert Counter(cls[w] for w in mine).most_common(1)[0][1] > 0.95 * len(mine)
+
+
+def test_classes_grow_with_the_vocabulary():
+    assert [brown.class_count(n) for n in (0, 24_000, 10_000_000)] == [4, 25, 112]
