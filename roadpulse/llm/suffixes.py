@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 from roadpulse.llm import sketch, texts
 from roadpulse.llm.substrings import (FOUND, covered, groups, pack, settled, strings_of, tagged,
                                       text_size, unpacked, with_spans)
+from roadpulse.session import cut_lineage
 
 LENGTH, GRAM = 100, 28
 LARGE = 300_000
@@ -223,6 +224,77 @@ def repeat_groups(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     return settled(found, length, True)
 
 
+def group_members(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
+                  large: int = LARGE) -> DataFrame:
+    """(group, doc_id, tag, start, end): repeat groups with all their occurrences, the first as well.
+
+    ``group`` is a digest of the repeated string. A group holds every place of the string in all
+    texts, and no longer string around these places has the same members within the reach of their
+    anchor. So a repeat that is longer than that reach comes as several groups that overlap; they
+    are not joined. Of an anchor with more than ``large`` stretches the groups are single strings
+    of ``length`` bytes.
+    """
+    docs = tagged(docs)
+
+    def rows(part: pa.Table, row: list[np.ndarray], group: list[bytes], start: list[np.ndarray],
+             size: list[int]) -> pa.RecordBatch:
+        times = [len(x) for x in row]
+        at, start = np.concatenate(row), np.concatenate(start)
+        names = pa.array(group, pa.binary()).take(pa.array(np.repeat(np.arange(len(group)), times)))
+        return pa.RecordBatch.from_arrays(
+            [names, *(part[c].combine_chunks().take(pa.array(at)) for c in ("doc_id", "tag")),
+             pa.array(start), pa.array(start + np.repeat(size, times)),
+             pa.array(np.zeros(len(at), bool))],
+            ["group", "doc_id", "tag", "start", "end", "alone"])
+
+    def scanned(batches):
+        texts.begin("suffixes")
+        for part, heavy in groups(batches, min(20_000, large), large):
+            if heavy:
+                found = all_strings(part, length)
+                first = found.column(2).to_numpy()
+                yield pa.RecordBatch.from_arrays(
+                    [found.column(3), found.column(0), found.column(1), pa.array(first),
+                     pa.array(first + length), pa.array(np.ones(len(first), bool))],
+                    ["group", "doc_id", "tag", "start", "end", "alone"])
+                continue
+            h = part["h"].to_numpy()
+            right = part["right"].combine_chunks()
+            shared = common(right, np.arange(len(h)), 2 * length)
+            middle = part["first"].to_numpy() + np.array([len(x) for x in part["left"].to_pylist()])
+            cuts = np.flatnonzero(np.append(True, h[1:] != h[:-1])).tolist() + [len(h)]
+            held, n_held = ([], [], [], []), 0
+            for begin, end in zip(cuts, cuts[1:]):
+                if end - begin == 1:
+                    continue
+                prefix = [0, *shared[begin + 1:end].tolist()]
+                lefts = part["left"].slice(begin, end - begin).to_pylist()
+                for size, back, members in tree_repeats(prefix, lefts, length):
+                    # Members that share more to the right are a group of a smaller interval.
+                    if min(prefix[min(members) + 1:max(members) + 1]) > size:
+                        continue
+                    one = members[0]
+                    text = lefts[one][:back][::-1] + right[begin + one].as_py()[:size]
+                    name = hashlib.blake2b(text, digest_size=16).digest()
+                    row = begin + np.array(members)
+                    for values, value in zip(held, (row, name, middle[row] - back, back + size)):
+                        values.append(value)
+                    n_held += len(row)
+                    if n_held > 50_000:
+                        yield rows(part, *held)
+                        held, n_held = ([], [], [], []), 0
+            if n_held:
+                yield rows(part, *held)
+
+    found = cut_lineage(stretches(docs, length, gram).repartition("h")
+                        .sortWithinPartitions("h", "right", "left", "doc_id", "tag", "first")
+                        .mapInArrow(scanned, "group binary, doc_id long, tag long, start long, "
+                                             "end long, alone boolean"))
+    several = found.where("alone").groupBy("group").count().where("count > 1").select("group")
+    return found.where("NOT alone").unionByName(found.where("alone").join(several, "group", "left_semi")) \
+        .drop("alone")
+
+
 def all_strings(part: pa.Table, length: int) -> pa.RecordBatch:
     strings, sizes = [], []
     for right, left in zip(part["right"].to_pylist(), part["left"].to_pylist()):

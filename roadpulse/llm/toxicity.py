@@ -4,6 +4,10 @@ Features say that a hashed n-gram of the lower-cased bytes occurs in a text at l
 twice, three or five times. Each is scaled by the log ratio of its smoothed shares among
 toxic and other labelled texts; logistic regression with an L2 penalty then learns one weight for each scaled feature.
 
+The model holds at most ``max_features`` features: those seen in eight fitted texts or more whose
+class counts lie ``LEAST_SHIFT`` standard deviations or more from chance, the farthest first. N-grams are
+of UTF-8 bytes, so a character outside ASCII counts as two to four.
+
 Fitting reads at most ``max_train`` labelled texts, those with the smallest hash of their
 id; scoring reads every whole text. Null and empty texts hold no n-gram and get the score
 of the bias; null, repeated or contradicting labels: null ones are ignored, several labels

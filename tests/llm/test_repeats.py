@@ -91,3 +91,39 @@ def test_anchors_cover_each_window_once_and_follow_content():
     assert sorted(starts) == [*range(0, 221), *range(250, 471)]
     owner = {s: a - s for a, f, t in zip(at, first, last) for s in range(f, t + 1)}
     assert all(owner[s] == owner[s + 250] for s in range(50, 121))
+
+
+def occurrences(raws, string):
+    return {(doc, k) for doc, raw in raws.items() for k in range(len(raw) - len(string) + 1)
+            if raw[k:k + len(string)] == string}
+
+
+@pytest.mark.parametrize("large", [300_000, 2])
+def test_groups_hold_every_occurrence(spark, large, small_batches):
+    rng = random.Random(4)
+    base = ["".join(rng.choice("abcd") for _ in range(rng.randrange(10, 90))) for _ in range(9)]
+    rows = [(k, "".join(rng.choice(base) for _ in range(rng.randrange(5))), None) for k in range(25)]
+    rows += [(100, None, None), (101, "", None), (102, "é" * 40, None)]
+    raws = {doc: (t or "").encode() for doc, t, _ in rows}
+    found = {}
+    for r in suffixes.group_members(frame(spark, rows), length=20, gram=6, large=large).collect():
+        members = found.setdefault(bytes(r.group), [])
+        members.append((r.doc_id, r.start, raws[r.doc_id][r.start:r.end]))
+    assert found
+    strings = {}
+    for members in found.values():
+        [string] = {x for _, _, x in members}
+        assert len(string) >= 20 and string not in strings
+        places = [(d, k) for d, k, _ in members]
+        assert len(places) == len(set(places)) > 1
+        assert set(places) == occurrences(raws, string)
+        strings[string] = places
+    # Every string that repeats is part of a group at each of its places.
+    held = {(d, k + j) for s, places in strings.items() for d, k in places for j in range(len(s) - 19)}
+    for doc, raw in raws.items():
+        for k in range(len(raw) - 19):
+            assert ((doc, k) in held) == (len(occurrences(raws, raw[k:k + 20])) > 1)
+
+
+def test_groups_of_an_empty_table(spark):
+    assert suffixes.group_members(frame(spark, [])).count() == 0
